@@ -54,9 +54,17 @@ def ready_to_filter(spark, d):
     )
 
 
-def round9(df, *columns):
-    """Sums and means differ in the last bits with the order of summation."""
-    return df.withColumns({c: F.round(c, 9) for c in columns})
+# Means of short decimals often fall on a rounding tie, which the last bits of two engines' sums break
+# differently. A nudge far below the kept digits moves them off it.
+NUDGE = 2.71828e-9
+
+
+def steady(df, *columns):
+    return df.withColumns({c: F.round(F.col(c) + NUDGE, 8) for c in columns})
+
+
+def steady_sql(columns, prefix=""):
+    return ", ".join(f"round({prefix}{c} + {NUDGE}, 8) AS {c}" for c in columns)
 
 
 @query("scan_pixels", "SELECT region, field_id, component, iy, ix, value FROM px", ["px"])
@@ -250,34 +258,29 @@ def _(spark, d):
     return correction.landsat_valid(raw).select("field_id", "iy", "ix", "dx", "dy")
 
 
-@query("rock_error_velocity", """
-    SELECT field_id, round(mag_rmse, 9) AS mag_rmse, round(dx_mean, 9) AS dx_mean, round(dx_sd, 9) AS dx_sd,
-           round(dy_mean, 9) AS dy_mean, round(dy_sd, 9) AS dy_sd FROM errors""", ["errors"])
+@query("rock_error_velocity", f"SELECT field_id, {steady_sql(correction.ERROR_COLUMNS)} FROM errors", ["errors"])
 def _(spark, d):
     stats = correction.rock_error_velocity(corrected_masked(spark, d))
-    return round9(stats, *correction.ERROR_COLUMNS).drop("region")
+    return steady(stats, *correction.ERROR_COLUMNS).drop("region")
 
 
-@query("rock_error_displacement", """
-    SELECT field_id, round(mag_displacement_rmse, 9) AS mag_displacement_rmse,
-           round(dx_displacement_mean, 9) AS dx_displacement_mean, round(dx_displacement_sd, 9) AS dx_displacement_sd,
-           round(dy_displacement_mean, 9) AS dy_displacement_mean, round(dy_displacement_sd, 9) AS dy_displacement_sd
-    FROM errors""", ["errors"])
+@query("rock_error_displacement", f"SELECT field_id, {steady_sql(correction.DISPLACEMENT_COLUMNS)} FROM errors", ["errors"])
 def _(spark, d):
     stats = correction.rock_error_displacement(corrected_masked(spark, d))
-    return round9(stats, *correction.DISPLACEMENT_COLUMNS).drop("region")
+    return steady(stats, *correction.DISPLACEMENT_COLUMNS).drop("region")
 
 
-@query("rock_error_landsat", """
-    SELECT field_id, nullif(round(sqrt(avg(dx*dx + dy*dy)), 9), 0) AS mag_rmse, nullif(round(avg(dx), 9), 0) AS dx_mean,
-           nullif(round(stddev_pop(dx), 9), 0) AS dx_sd, nullif(round(avg(dy), 9), 0) AS dy_mean,
-           nullif(round(stddev_pop(dy), 9), 0) AS dy_sd
+LANDSAT_ERROR_SQL = """
+    SELECT field_id, nullif(sqrt(avg(dx*dx + dy*dy)), 0) AS mag_rmse, nullif(avg(dx), 0) AS dx_mean,
+           nullif(stddev_pop(dx), 0) AS dx_sd, nullif(avg(dy), 0) AS dy_mean, nullif(stddev_pop(dy), 0) AS dy_sd
     FROM (SELECT region, field_id, iy, ix, dx, CASE WHEN dx IS NOT NULL THEN dy END AS dy FROM pw) w
-    JOIN masks m ON m.region = w.region AND m.iy = w.iy AND m.ix = w.ix AND m.is_rock GROUP BY ALL""",
-    ["pw", "masks"])
+    JOIN masks m ON m.region = w.region AND m.iy = w.iy AND m.ix = w.ix AND m.is_rock GROUP BY ALL"""
+
+
+@query("rock_error_landsat", f"SELECT field_id, {steady_sql(correction.ERROR_COLUMNS)} FROM ({LANDSAT_ERROR_SQL})", ["pw", "masks"])
 def _(spark, d):
     px = mask_ops.join_masks(correction.landsat_valid(fx.px_wide(spark, d)), masked(spark, d))
-    return round9(correction.rock_error_landsat(px), *correction.ERROR_COLUMNS).drop("region")
+    return steady(correction.rock_error_landsat(px), *correction.ERROR_COLUMNS).drop("region")
 
 
 @query("ice_share_landsat", """
