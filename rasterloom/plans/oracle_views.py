@@ -155,7 +155,7 @@ VIEWS = {
                CAST((c_custkey % 50) * 300 - 600 + 1500 + (c_custkey % 7) * 300 AS DOUBLE) AS x1,
                CAST(((c_custkey // 50) % 50) * 300 - 600 + 1500 AS DOUBLE) AS y1
         FROM customer"""),
-    "overlaps": (("foot", "reg"), """
+    "meets": (("foot", "reg"), """
         SELECT f.scene_no, r.region,
                (greatest(0, least(x1, xmax) - greatest(x0, xmin)) * greatest(0, least(y1, ymax) - greatest(y0, ymin)))
                / ((xmax - xmin) * (ymax - ymin)) AS frac

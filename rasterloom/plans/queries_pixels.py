@@ -12,6 +12,7 @@ from rasterloom.operators.quantiles import largest_group
 from rasterloom.operators.rasters import content_digest, shape_uniformity
 from rasterloom.plans import fixtures as fx
 from rasterloom.plans.registry import query
+from rasterloom.plans.rounding import steady, steady_sql
 from rasterloom.sources.pixels import scan_pixels
 
 W, H = fx.WIDTH, fx.HEIGHT
@@ -54,19 +55,6 @@ def ready_to_filter(spark, d):
     )
 
 
-# Means of short decimals often fall on a rounding tie, which the last bits of two engines' sums break
-# differently. A nudge far below the kept digits moves them off it.
-NUDGE = 2.71828e-9
-
-
-def steady(df, *columns):
-    return df.withColumns({c: F.round(F.col(c) + NUDGE, 8) for c in columns})
-
-
-def steady_sql(columns, prefix=""):
-    return ", ".join(f"round({prefix}{c} + {NUDGE}, 8) AS {c}" for c in columns)
-
-
 @query("scan_pixels", "SELECT region, field_id, component, iy, ix, value FROM px", ["px"])
 def _(spark, d):
     return scan_pixels(fx.chunks(spark, d), W, H, fx.NODATA)

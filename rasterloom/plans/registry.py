@@ -11,7 +11,7 @@ from rasterloom.session import tune
 QUERIES: dict = {}
 ORACLES: dict = {}
 MODULES = (
-    "queries_pixels", "queries_names",
+    "queries_pixels", "queries_names", "queries_geometry",
 )
 
 
