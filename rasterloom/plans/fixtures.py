@@ -33,6 +33,21 @@ def fields(spark, d):
     return orbit_pair_label(e)
 
 
+def field_times(spark, d):
+    """The pair table behind the fields: scene times, orbits, versions."""
+    v = F.col("field_id")
+    start = F.unix_micros(F.lit("2020-01-01 00:00:00").cast("timestamp")) + v * 3_600_000_000
+    days = (1 + v % 10) * 86_400_000_000
+    return fields(spark, d).select(
+        "*", F.timestamp_micros(start).alias("datetime_1"), F.timestamp_micros(start + days).alias("datetime_2"),
+        F.timestamp_micros((start + days / 2).cast("bigint")).alias("midpoint"), (-F.col("day_sep")).alias("baseline"),
+        F.when(v % 3 == 0, "S2A").otherwise("S2B").alias("satellite1"),
+        F.when(v % 5 == 0, "S2A").otherwise("S2B").alias("satellite2"), F.lit("MSIL2A").alias("source_product"),
+        F.concat(F.lit("02"), F.lpad((v % 15).cast("string"), 2, "0")).alias("processingbaseline1"),
+        F.lit("0214").alias("processingbaseline2"),
+    )
+
+
 def _raw(spark, d):
     cells = F.transform(
         "embedding",

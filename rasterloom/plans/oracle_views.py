@@ -170,6 +170,24 @@ VIEWS = {
                'SC' || event_id AS scene_id, 'item-' || event_id AS id,
                strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS datetime
         FROM events"""),
+    "times": (("fields",), """
+        SELECT *, t1 + to_hours(CAST(-day_sep * 24 AS BIGINT)) AS t2, t1 + to_hours(CAST(-day_sep * 12 AS BIGINT)) AS mid,
+               '00' || (field_id % 4) || '_Site_' || strftime(t1, '%Y%m%dT%H%M%S') || '_'
+               || strftime(t1 + to_hours(CAST(-day_sep * 24 AS BIGINT)), '%Y%m%dT%H%M%S') AS stem,
+               CASE WHEN field_id % 3 = 0 THEN 'S2A' ELSE 'S2B' END AS satellite1,
+               CASE WHEN field_id % 5 = 0 THEN 'S2A' ELSE 'S2B' END AS satellite2,
+               '02' || lpad(CAST(field_id % 15 AS VARCHAR), 2, '0') AS processingbaseline1, '0214' AS processingbaseline2
+        FROM (SELECT *, TIMESTAMP '2020-01-01' + to_hours(CAST(field_id AS BIGINT)) AS t1 FROM fields)"""),
+    # What the document of a corrected field says.
+    "docs": (("times", "errors", "coverage"), """
+        SELECT t.field_id, t.region, 'S2_' || t.stem AS id, t.t1, t.t2, t.mid, round_even(-t.day_sep, 2) AS baseline_days,
+               satellite1 AS scene_1_satellite, satellite2 AS scene_2_satellite, orbit1 AS scene_1_orbit, orbit2 AS scene_2_orbit,
+               processingbaseline1 AS scene_1_processing_version, processingbaseline2 AS scene_2_processing_version,
+               round_even(c.valid_ice_cells * 100.0 / c.ice_cells, 2) AS percent_ice_area_notnull,
+               round_even(mag_rmse, 2) AS error_mag_rmse, round_even(dx_mean, 2) + 0 AS error_dx_mean, round_even(dx_sd, 2) AS error_dx_sd,
+               round_even(dy_mean, 2) + 0 AS error_dy_mean, round_even(dy_sd, 2) AS error_dy_sd
+        FROM times t JOIN errors e ON e.field_id = t.field_id JOIN coverage c ON c.field_id = t.field_id
+        WHERE c.valid_ice_cells > 0 AND c.valid_ice_cells * 1.0 / c.ice_cells >= 0.01"""),
     # Large stack: one row per field and cell observation.
     "li": ((), """
         SELECT l_orderkey AS field_id, CAST(l_suppkey % 10 AS INTEGER) AS iy, CAST(l_partkey % 20 AS INTEGER) AS ix,

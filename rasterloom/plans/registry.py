@@ -11,7 +11,8 @@ from rasterloom.session import tune
 QUERIES: dict = {}
 ORACLES: dict = {}
 MODULES = (
-    "queries_pixels", "queries_names", "queries_geometry",
+    "queries_pixels", "queries_names", "queries_geometry", "queries_catalog", "queries_cube",
+    "queries_quality",
 )
 
 
