@@ -96,6 +96,11 @@ def masks(spark, d):
 
 
 def scenes(spark, d):
+    return name_scenes(table(spark, d, "events"))
+
+
+def name_scenes(events):
+    """Scene names from events, which may be a stream."""
     user = F.col("user_id")
     tile = (
         F.when(F.col("event_type") == "view", "22VFP").when(F.col("event_type") == "click", "24WWU")
@@ -107,7 +112,7 @@ def scenes(spark, d):
         F.date_format("ts", "yyyyMMdd'T'HHmmss"), F.lit("_N0"), (200 + user % 5).cast("string"),
         F.lit("_R"), F.lpad((1 + user % 143).cast("string"), 3, "0"), F.lit("_T"), tile,
     )
-    return table(spark, d, "events").select(
+    return events.select(
         "event_id", "ts", tile.alias("tile"), name.alias("name"),
         ((F.col("event_type") == "purchase") | (F.col("value") < 10)).alias("is_done"),
     )

@@ -80,7 +80,7 @@ def _(spark, d):
 # Three generations of ids, by event type.
 LANDSAT_ID_SQL = """
     SELECT event_id, CASE WHEN event_type IN ('view', 'click') THEN
-             '20200101000000_LC08' || lpad(CAST(user_id AS VARCHAR), 6, '0') || '2020001LGN00_LC08_L1TP_'
+             '20200101000000_LC8' || lpad(CAST(user_id AS VARCHAR), 6, '0') || '2020001LGN00_LC08_L1TP_'
              || lpad(CAST(user_id AS VARCHAR), 6, '0') || '_20200101_20200114_0' || (1 + user_id % 2) || '_T' || (1 + user_id % 2) || '_ortho'
            WHEN event_type = 'error' THEN '20200101000000_AST_' || event_id
            ELSE '20200101000000_LC' || (7 + user_id % 2) || lpad(CAST(user_id AS VARCHAR), 6, '0') || '2020001LGN00_ortho' END AS name
@@ -91,7 +91,7 @@ def landsat_ids(spark, d):
     user, path_row = F.col("user_id"), F.lpad(F.col("user_id").cast("string"), 6, "0")
     tier = (1 + user % 2).cast("string")
     kind = F.col("event_type")
-    current = F.concat(F.lit("20200101000000_LC08"), path_row, F.lit("2020001LGN00_LC08_L1TP_"), path_row,
+    current = F.concat(F.lit("20200101000000_LC8"), path_row, F.lit("2020001LGN00_LC08_L1TP_"), path_row,
                        F.lit("_20200101_20200114_0"), tier, F.lit("_T"), tier, F.lit("_ortho"))
     aster = F.concat(F.lit("20200101000000_AST_"), F.col("event_id").cast("string"))
     early = F.concat(F.lit("20200101000000_LC"), (7 + user % 2).cast("string"), path_row, F.lit("2020001LGN00_ortho"))

@@ -12,7 +12,7 @@ QUERIES: dict = {}
 ORACLES: dict = {}
 MODULES = (
     "queries_pixels", "queries_names", "queries_geometry", "queries_catalog", "queries_cube",
-    "queries_quality",
+    "queries_quality", "queries_chains",
 )
 
 
