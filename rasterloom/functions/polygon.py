@@ -21,32 +21,41 @@ def _box_planes(xmin, ymin, xmax, ymax):
     )
 
 
-def _next_point(ring, i):
-    return F.get(ring, (i + 1) % F.size(ring))
-
-
 def _clip(ring, plane):
     """Keep the part of the ring inside one half-plane."""
 
     def height(p):
         return plane["a"] * p["x"] + plane["b"] * p["y"] + plane["c"]
 
-    def edge(p, i):
-        q = _next_point(ring, i)
-        hp, hq = height(p), height(q)
-        s = F.try_divide(hp, hp - hq)
-        cut = F.struct(
-            (p["x"] + s * (q["x"] - p["x"])).alias("x"), (p["y"] + s * (q["y"] - p["y"])).alias("y")
-        )
-        kept = F.struct(q["x"].alias("x"), q["y"].alias("y"))
+    # Every corner with its height, so that an edge looks heights up instead of computing them again.
+    measured = F.transform(ring, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"), height(p).alias("h")))
+
+    def edge(p, q):
+        s = p["h"] / (p["h"] - q["h"])
+        cut = _point(p["x"] + s * (q["x"] - p["x"]), p["y"] + s * (q["y"] - p["y"]))
+        kept = _point(q["x"], q["y"])
         return (
-            F.when((hp >= 0) & (hq >= 0), F.array(kept))
-            .when(hp >= 0, F.array(cut))
-            .when(hq >= 0, F.array(cut, kept))
+            F.when((p["h"] >= 0) & (q["h"] >= 0), F.array(kept))
+            .when(p["h"] >= 0, F.array(cut))
+            .when(q["h"] >= 0, F.array(cut, kept))
             .otherwise(F.filter(F.array(kept), lambda _: F.lit(False)))
         )
 
-    return F.flatten(F.transform(ring, edge))
+    return F.flatten(_bind(measured, lambda m: F.zip_with(m, _rotated(m), edge)))
+
+
+def _point(x, y):
+    return F.struct(x.alias("x"), y.alias("y"))
+
+
+def _rotated(ring):
+    """Every point's successor."""
+    return F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
+
+
+def _bind(value, use):
+    """Evaluate an array expression once and hand it to ``use``, which may refer to it often."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def clip_to_box(ring, xmin, ymin, xmax, ymax):
@@ -55,14 +64,13 @@ def clip_to_box(ring, xmin, ymin, xmax, ymax):
 
 def ring_area(ring):
     """Shoelace formula; an empty ring has no area."""
-    crosses = F.transform(
-        ring, lambda p, i: p["x"] * _next_point(ring, i)["y"] - _next_point(ring, i)["x"] * p["y"]
-    )
+    def cross(p, q):
+        return p["x"] * q["y"] - q["x"] * p["y"]
+
+    crosses = _bind(ring, lambda r: F.zip_with(r, _rotated(r), cross))
     return F.abs(F.reduce(crosses, F.lit(0.0), lambda total, c: total + c)) / 2.0
 
 
 def box_ring(xmin, ymin, xmax, ymax):
-    def corner(x, y):
-        return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
-
-    return F.array(corner(xmin, ymin), corner(xmax, ymin), corner(xmax, ymax), corner(xmin, ymax))
+    x0, y0, x1, y1 = (c.cast("double") for c in (xmin, ymin, xmax, ymax))
+    return F.array(_point(x0, y0), _point(x1, y0), _point(x1, y1), _point(x0, y1))

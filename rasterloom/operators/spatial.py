@@ -45,7 +45,8 @@ def join_footprint_overlap(scenes: DataFrame, regions: DataFrame, bin_size: floa
     met = join_boxes(scenes, regions, bin_size)
     xmin, ymin, xmax, ymax = (F.col(c) for c in BOX)
     area = ring_area(clip_to_box(F.col(ring), xmin, ymin, xmax, ymax))
-    return met.withColumn("frac", area / ((xmax - xmin) * (ymax - ymin)))
+    # As a generated column the clip runs once per pair: a filter on it cannot be merged into the clip.
+    return met.withColumn("frac", F.explode(F.array(area / ((xmax - xmin) * (ymax - ymin)))))
 
 
 def filter_intersect_fraction(overlaps: DataFrame, threshold: float = 0.05) -> DataFrame:

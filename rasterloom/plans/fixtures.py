@@ -15,7 +15,10 @@ NODATA = (0.0, -9999.0)
 
 
 def table(spark, d, name):
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    """A given table. One that arrives in fewer splits than there are cores is spread over them."""
+    df = spark.read.parquet(f"{d}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if name != "nation" and df.rdd.getNumPartitions() < cores else df
 
 
 def _site(field_id):
