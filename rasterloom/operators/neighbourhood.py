@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK = 64
+# Cells a task holds as one dense block.
+CELLS_AT_ONCE = 1 << 20
 
 
 def _chunks_of(cell, size):
@@ -21,30 +23,37 @@ def _chunks_of(cell, size):
     return F.array_distinct(F.array(own, F.floor((cell - 1) / size), F.floor((cell + 1) / size)))
 
 
-def _median_of_nine(stack):
-    """Median along axis 0 without NaN; NaN where nothing is left."""
-    ordered = np.sort(stack, axis=0)
-    n = np.count_nonzero(~np.isnan(ordered), axis=0)
-    low = np.take_along_axis(ordered, np.maximum(n - 1, 0)[None] // 2, axis=0)[0]
-    high = np.take_along_axis(ordered, np.minimum(n // 2, 8)[None], axis=0)[0]
-    return np.where(n % 2 == 1, low, 0.5 * low + 0.5 * high)
-
-
-def _filter_chunk(cy, cx, ys, xs, values, width, height, size):
-    top, left = cy * size, cx * size
-    rows = min(size, height - top)
-    cols = min(size, width - left)
-    dense = np.full((rows + 2, cols + 2), np.nan)
-    dense[ys - top + 1, xs - left + 1] = values
-    # Edges repeat the outermost cell; inside the grid the halo already holds the neighbour.
-    pick_y = np.clip(np.arange(top - 1, top + rows + 1), 0, height - 1) - top + 1
-    pick_x = np.clip(np.arange(left - 1, left + cols + 1), 0, width - 1) - left + 1
-    dense = dense[np.ix_(pick_y, pick_x)]
-    stack = np.stack([dense[dy:dy + rows, dx:dx + cols] for dy in range(3) for dx in range(3)])
-    median = _median_of_nine(stack)
-    own = (ys >= top) & (ys < top + rows) & (xs >= left) & (xs < left + cols)
-    ys, xs, values = ys[own], xs[own], values[own]
-    return ys, xs, np.where(np.isnan(values), np.nan, median[ys - top, xs - left])
+def _median_of_nine(nine):
+    """Median of each row's nine values without NaN; NaN where nothing is left."""
+    ordered = np.sort(nine, axis=1)
+    n = np.count_nonzero(~np.isnan(ordered), axis=1)
+    row = np.arange(len(ordered))
+    return 0.5 * ordered[row, np.maximum(n - 1, 0) // 2] + 0.5 * ordered[row, np.minimum(n // 2, 8)]
+
+
+def _filter_chunks(chunks: pd.DataFrame, width, height, size):
+    """Filter a few chunks at once: row number in ``chunks``, iy, ix and median of every cell they own."""
+    lengths = chunks.v.str.len().to_numpy()
+    at = np.repeat(np.arange(len(chunks)), lengths)
+    top, left = chunks.cy.to_numpy() * size, chunks.cx.to_numpy() * size
+    rows, cols = np.minimum(size, height - top), np.minimum(size, width - left)
+    ys, xs, values = (np.concatenate(chunks[c].to_numpy()) for c in ("iy", "ix", "v"))
+    y, x = ys - top[at] + 1, xs - left[at] + 1
+
+    dense = np.full((len(chunks), rows.max() + 2, cols.max() + 2), np.nan)
+    dense[at, y, x] = values
+    # The grid's edges repeat the outermost cell; elsewhere the halo holds the neighbour.
+    first, last = top == 0, top + rows == height
+    dense[first, 0] = dense[first, 1]
+    dense[last, rows[last] + 1] = dense[last, rows[last]]
+    first, last = left == 0, left + cols == width
+    dense[first, :, 0] = dense[first, :, 1]
+    dense[last, :, cols[last] + 1] = dense[last, :, cols[last]]
+
+    own = (y >= 1) & (y <= rows[at]) & (x >= 1) & (x <= cols[at])
+    at, y, x, values = at[own], y[own], x[own], values[own]
+    nine = np.stack([dense[at, y + dy, x + dx] for dy in (-1, 0, 1) for dx in (-1, 0, 1)], axis=1)
+    return at, ys[own], xs[own], np.where(np.isnan(values), np.nan, _median_of_nine(nine))
 
 
 def box_median_3x3(px: DataFrame, keys, width: int, height: int, value="value", size=CHUNK) -> DataFrame:
@@ -67,18 +76,15 @@ def box_median_3x3(px: DataFrame, keys, width: int, height: int, value="value",
         F.collect_list(F.struct("iy", "ix", F.coalesce("v", F.lit(float("nan"))).alias("v"))).alias("cells")
     ).select(*keys, "cy", "cx", "cells.iy", "cells.ix", "cells.v")
 
+    step = max(1, CELLS_AT_ONCE // (size + 2) ** 2)
+
     def run(batches):
         for batch in batches:
-            parts = [
-                _filter_chunk(cy, cx, ys, xs, vs, width, height, size)
-                for cy, cx, ys, xs, vs in zip(batch.cy, batch.cx, batch.iy, batch.ix, batch.v)
-            ]
-            if not parts:
-                continue
-            counts = [len(p[0]) for p in parts]
-            out = {k: batch[k].repeat(counts).to_numpy() for k in keys}
-            out["iy"], out["ix"], out[value] = (np.concatenate([p[i] for p in parts]) for i in range(3))
-            yield pd.DataFrame(out)
+            for start in range(0, len(batch), step):
+                part = batch.iloc[start:start + step]
+                at, ys, xs, medians = _filter_chunks(part, width, height, size)
+                out = {k: part[k].to_numpy()[at] for k in keys}
+                yield pd.DataFrame({**out, "iy": ys, "ix": xs, value: medians})
 
     types = dict(chunks.dtypes)
     schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + ["iy int", "ix int", f"`{value}` double"])

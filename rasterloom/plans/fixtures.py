@@ -14,11 +14,30 @@ HALF = WIDTH * HEIGHT
 NODATA = (0.0, -9999.0)
 
 
+# Declared columns of the given tables, so that no read has to look into a file first.
+TABLES = {
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, "
+              "o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+                "l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT",
+}
+_splits = {}
+
+
 def table(spark, d, name):
     """A given table. One that arrives in fewer splits than there are cores is spread over them."""
-    df = spark.read.parquet(f"{d}/{name}.parquet")
+    path = f"{d}/{name}.parquet"
+    df = spark.read.schema(TABLES[name]).parquet(path)
+    if path not in _splits:
+        _splits[path] = df.rdd.getNumPartitions()
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if name != "nation" and df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if name != "nation" and _splits[path] < cores else df
 
 
 def _site(field_id):

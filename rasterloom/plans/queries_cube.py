@@ -8,7 +8,7 @@ from rasterloom import schemas
 from rasterloom.functions import temporal
 from rasterloom.operators import correction, cube as cube_ops, documents, offsets, pairs as pair_ops, regions as region_ops
 from rasterloom.plans import fixtures as fx
-from rasterloom.plans.queries_pixels import a_priori, corrected_masked
+from rasterloom.plans.queries_pixels import corrected_masked, shared_a_priori
 from rasterloom.plans.registry import query
 from rasterloom.session import scratch_dir
 from rasterloom.sources import sinks
@@ -25,7 +25,7 @@ def show(c):
 # ---- metadata documents ----
 
 def field_documents(spark, d, min_share=correction.MIN_ICE_SHARE):
-    reference = a_priori(spark, d)
+    reference = shared_a_priori(spark, d)
     px = correction.join_flow_reference(corrected_masked(spark, d, reference), offsets.flow_reference(reference))
     stats = correction.covered_fields(correction.field_statistics(px, fx.masks(spark, d)), min_share)
     known = fx.field_times(spark, d).join(stats, ["region", "field_id"])

@@ -8,9 +8,9 @@ from rasterloom.functions import vector
 from rasterloom.functions.grid import Grid
 from rasterloom.operators import correction, masks as mask_ops, offsets, pairs as pair_ops
 from rasterloom.operators.neighbourhood import box_median_3x3
-from rasterloom.operators.quantiles import largest_group
 from rasterloom.operators.rasters import content_digest, shape_uniformity
 from rasterloom.plans import fixtures as fx
+from rasterloom.plans.chains import materialise
 from rasterloom.plans.registry import query
 from rasterloom.plans.rounding import steady, steady_sql
 from rasterloom.sources.pixels import scan_pixels
@@ -48,8 +48,13 @@ def corrected_masked(spark, d, reference=None):
     return mask_ops.join_masks(corrected(spark, d, reference), masked(spark, d))
 
 
+def shared_a_priori(spark, d):
+    """The a priori field where several steps read it."""
+    return materialise(a_priori(spark, d), "a-priori")
+
+
 def ready_to_filter(spark, d):
-    reference = a_priori(spark, d)
+    reference = shared_a_priori(spark, d)
     return correction.join_flow_reference(
         corrected_masked(spark, d, reference), offsets.flow_reference(reference)
     )

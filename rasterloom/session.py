@@ -14,6 +14,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A row may be a whole chunk of cells, so few rows make a batch.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # A table partitioned by cell may join on (cell, orbit pair) without a second exchange.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
