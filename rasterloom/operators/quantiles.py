@@ -80,7 +80,7 @@ def _by_value_range(df, keys, columns, p):
             F.max(F.when(_covers("last", "start", "m"), F.col("v"))).alias("b"),
         )
     )
-    value = F.when(F.col("first") == F.col("last"), F.col("a")).otherwise(
+    value = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(
         (F.col("last") - rank) * F.col("a") + (rank - F.col("first")) * F.col("b")
     )
     answers = picked.select(*group, value.alias("q"))

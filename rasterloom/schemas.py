@@ -2,59 +2,68 @@
 
 from pyspark.sql import types as T
 
+S, D, F32, I, L, B = T.StringType(), T.DoubleType(), T.FloatType(), T.IntegerType(), T.LongType(), T.BooleanType()
+TS = T.TimestampType()
 
-def _struct(text):
-    return T.StructType.fromDDL(text)
-
-
-GOOD_LIST = _struct("id STRING, filter_ratio_1 DOUBLE, filter_ratio_2 DOUBLE")
-
-SCENE_LANDING = _struct("region STRING, subset_id STRING")
-
-# Nested catalogue item, as saved by a catalogue search. `href` sits under the band's asset.
-_ASSET = "STRUCT<href: STRING, alternate: STRUCT<s3: STRUCT<href: STRING>>>"
-CATALOG_ITEM = _struct(
-    "id STRING, bbox ARRAY<DOUBLE>, collection STRING,"
-    "geometry STRUCT<type: STRING, coordinates: ARRAY<ARRAY<ARRAY<DOUBLE>>>>,"
-    "properties STRUCT<datetime: STRING, `eo:cloud_cover`: DOUBLE, `view:sun_azimuth`: DOUBLE,"
-    " `view:sun_elevation`: DOUBLE, platform: STRING, instruments: ARRAY<STRING>,"
-    " `view:off_nadir`: DOUBLE, `landsat:cloud_cover_land`: DOUBLE, `landsat:wrs_type`: STRING,"
-    " `landsat:wrs_path`: STRING, `landsat:wrs_row`: STRING, `landsat:scene_id`: STRING,"
-    " `landsat:collection_category`: STRING, `landsat:collection_number`: STRING,"
-    " `landsat:correction`: STRING, `proj:code`: STRING, `proj:shape`: ARRAY<INT>,"
-    " `proj:transform`: ARRAY<DOUBLE>, created: STRING, updated: STRING>,"
-    f"assets STRUCT<nir08: {_ASSET}, pan: {_ASSET}>"
-)
-
-ASSET_ITEM = _struct(
-    "id STRING, properties STRUCT<datetime: STRING, `s2:product_uri`: STRING>,"
-    "assets MAP<STRING, STRUCT<href: STRING>>"
-)
-
-FIELD_DOCUMENT = _struct(
-    "field_info STRUCT<id: STRING, region_id: STRING, data: STRING, units: STRING,"
-    " source_product: STRING, scene_1_satellite: STRING, scene_2_satellite: STRING,"
-    " scene_1_datetime: STRING, scene_2_datetime: STRING, midpoint_datetime: STRING,"
-    " baseline_days: DOUBLE, scene_1_orbit: INT, scene_2_orbit: INT,"
-    " scene_1_processing_baseline: STRING, scene_2_processing_baseline: STRING,"
-    " percent_ice_area_notnull: DOUBLE>,"
-    "error_units_velocity STRUCT<mag_rmse: DOUBLE, dx_mean: DOUBLE, dx_sd: DOUBLE,"
-    " dy_mean: DOUBLE, dy_sd: DOUBLE>,"
-    "error_units_displacement STRUCT<mag_displacement_rmse: DOUBLE, dx_displacement_mean: DOUBLE,"
-    " dx_displacement_sd: DOUBLE, dy_displacement_mean: DOUBLE, dy_displacement_sd: DOUBLE>,"
-    "geospatial_info STRUCT<epsg: STRING, coordinate_unit: STRING, x_resolution: DOUBLE,"
-    " y_resolution: DOUBLE, extent: STRUCT<xmin: DOUBLE, ymin: DOUBLE, xmax: DOUBLE, ymax: DOUBLE>>,"
-    "project_info MAP<STRING, STRING>"
-)
+
+def struct(fields):
+    """Schema from name -> type."""
+    return T.StructType([T.StructField(n, t) for n, t in fields.items()])
+
+
+def same(names, data_type):
+    return dict.fromkeys(names, data_type)
+
+
+GOOD_LIST = struct({"id": S, "filter_ratio_1": D, "filter_ratio_2": D})
+
+# Nested catalogue item, as saved by a catalogue search. The links sit under the band's asset.
+_HREF = struct({"href": S})
+_ASSET = struct({"href": S, "alternate": struct({"s3": _HREF})})
+CATALOG_ITEM = struct({
+    "id": S,
+    "bbox": T.ArrayType(D),
+    "collection": S,
+    "geometry": struct({"type": S, "coordinates": T.ArrayType(T.ArrayType(T.ArrayType(D)))}),
+    "properties": struct({
+        "datetime": S, "eo:cloud_cover": D, "view:sun_azimuth": D, "view:sun_elevation": D, "platform": S,
+        "instruments": T.ArrayType(S), "view:off_nadir": D, "landsat:cloud_cover_land": D,
+        **same(("landsat:wrs_type", "landsat:wrs_path", "landsat:wrs_row", "landsat:scene_id",
+                "landsat:collection_category", "landsat:collection_number", "landsat:correction", "proj:code"), S),
+        "proj:shape": T.ArrayType(I), "proj:transform": T.ArrayType(D), "created": S, "updated": S,
+    }),
+    "assets": struct({"nir08": _ASSET, "pan": _ASSET}),
+})
+
+ASSET_ITEM = struct({
+    "id": S, "properties": struct({"datetime": S, "s2:product_uri": S}), "assets": T.MapType(S, _HREF),
+})
+
+FIELD_DOCUMENT = struct({
+    "field_info": struct({
+        **same(("id", "region_id", "data", "units", "source_product", "scene_1_satellite", "scene_2_satellite",
+                "scene_1_datetime", "scene_2_datetime", "midpoint_datetime"), S),
+        "baseline_days": D, "scene_1_orbit": I, "scene_2_orbit": I,
+        "scene_1_processing_baseline": S, "scene_2_processing_baseline": S, "percent_ice_area_notnull": D,
+    }),
+    "error_units_velocity": struct(same(("mag_rmse", "dx_mean", "dx_sd", "dy_mean", "dy_sd"), D)),
+    "error_units_displacement": struct(same(
+        ("mag_displacement_rmse", "dx_displacement_mean", "dx_displacement_sd", "dy_displacement_mean",
+         "dy_displacement_sd"), D)),
+    "geospatial_info": struct({
+        "epsg": S, "coordinate_unit": S, "x_resolution": D, "y_resolution": D,
+        "extent": struct(same(("xmin", "ymin", "xmax", "ymax"), D)),
+    }),
+    "project_info": T.MapType(S, S),
+})
 
 # Delivered cube: one row per field ...
-CUBE_FIELDS = _struct(
-    "index BIGINT, id STRING, scene_1_datetime TIMESTAMP, scene_2_datetime TIMESTAMP,"
-    "baseline_days BIGINT, midpoint_datetime TIMESTAMP, scene_1_satellite STRING,"
-    "scene_2_satellite STRING, scene_1_orbit STRING, scene_2_orbit STRING,"
-    "scene_1_processing_version STRING, scene_2_processing_version STRING,"
-    "percent_ice_area_notnull FLOAT, error_mag_rmse FLOAT, error_dx_mean FLOAT,"
-    "error_dx_sd FLOAT, error_dy_mean FLOAT, error_dy_sd FLOAT"
-)
+CUBE_FIELDS = struct({
+    "index": L, "id": S, "scene_1_datetime": TS, "scene_2_datetime": TS, "baseline_days": L, "midpoint_datetime": TS,
+    **same(("scene_1_satellite", "scene_2_satellite", "scene_1_orbit", "scene_2_orbit",
+            "scene_1_processing_version", "scene_2_processing_version"), S),
+    **same(("percent_ice_area_notnull", "error_mag_rmse", "error_dx_mean", "error_dx_sd", "error_dy_mean",
+            "error_dy_sd"), F32),
+})
 # ... and one row per field and cell.
-CUBE_PIXELS = _struct("index BIGINT, iy INT, ix INT, vx FLOAT, vy FLOAT")
+CUBE_PIXELS = struct({"index": L, "iy": I, "ix": I, "vx": F32, "vy": F32})

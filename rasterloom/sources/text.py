@@ -24,7 +24,8 @@ def good_list_rows(lists: DataFrame, root: str) -> DataFrame:
 
 def parse_good_lines(lines: DataFrame, root: str, line="line") -> DataFrame:
     """The same from raw text lines; blank ones are skipped."""
-    row = F.from_csv(F.col(line), schemas.GOOD_LIST.simpleString()[len("struct<"):-1].replace(":", " "), {"sep": "\t"})
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.GOOD_LIST)
+    row = F.from_csv(F.col(line), columns, {"sep": "\t"})
     filled = lines.where(F.length(F.trim(line)) > 0)
     return good_list_rows(filled.select(row.alias("r")).select("r.*"), root)
 
