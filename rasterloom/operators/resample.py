@@ -3,6 +3,8 @@
 Source cells push their value to the target cells they touch. A target is touched by neighbours that
 mostly sit in the same input partition, so Spark sums weights and values before the shuffle, and there
 is no join. Nearest neighbour needs no shuffle at all: each target lies in exactly one source cell.
+
+A grid's members may be numbers or columns; with columns every row can have a grid of its own.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ MIN_WEIGHT = 1e-6
 
 def _targets(df, cell, name, first, last, limit):
     """Explode to target positions ``first..last`` inside the grid."""
-    lo, hi = F.greatest(first, F.lit(0)), F.least(last, F.lit(limit - 1))
+    lo, hi = F.greatest(first, F.lit(0)), F.least(last, F.lit(limit) - 1)
     spread = df.withColumns({"_lo": lo.cast("int"), "_hi": hi.cast("int")}).where("_lo <= _hi")
     return spread.withColumn(name, F.explode(F.sequence("_lo", "_hi"))).drop("_lo", "_hi")
 

@@ -53,16 +53,22 @@ def scene_selection(catalog: DataFrame, regions: DataFrame, done: DataFrame, cfg
 
 
 def mosaic_clip(
-    px: DataFrame, scenes: DataFrame, regions: DataFrame, src: Grid, template: Grid, cell_m2: float, cfg=Settings()
+    px: DataFrame, scenes: DataFrame, regions: DataFrame, src: Grid, template: Grid | float, cell_m2: float, cfg=Settings()
 ):
     """Tiles to clipped mosaics with enough coverage, and their lineage: (pixels, lineage).
 
-    ``px`` holds ``name, tile, iy, ix, value``; ``scenes`` one row per tile image, ``name, tile``.
+    ``px`` holds ``name, tile, iy, ix, value`` on the grid ``src``; ``scenes`` one row per tile image,
+    ``name, tile``. ``template`` is one grid for all regions, or the cell size of each region's own.
+
+    Cells go onto the template before tiles are merged. Nearest neighbour only relabels cells, so the
+    result is the same, and what lies outside the region never reaches the shuffle.
     """
     tiles = scene_ops.tile_priority(regions)
     ranked = scene_ops.scenes_per_region(px, tiles).withColumn("mosaic_key", names.mosaic_key(F.col("name")))
-    merged = mosaic.mosaic_first_valid(ranked, ("region", "mosaic_key"))
-    clipped = mosaic.mosaic_match_template(merged, src, template)
+    if not isinstance(template, Grid):
+        grids = region_ops.grid_spec(regions, template, template).select("region", "xmin", "ymax", "res", "width", "height")
+        ranked, template = ranked.join(grids, "region"), Grid.of_columns()
+    clipped = mosaic.mosaic_first_valid(mosaic.mosaic_match_template(ranked, src, template), ("region", "mosaic_key"))
     areas = scene_ops.coverage_area(clipped, ["region", "mosaic_key"], cell_m2)
     kept = scene_ops.filter_coverage(scene_ops.coverage_fraction(areas, regions), cfg.min_coverage).select("region", "mosaic_key")
     keys = ["region", "mosaic_key"]
@@ -85,12 +91,13 @@ def orbit_pairs(scenes: DataFrame, good: DataFrame, start: str, end: str) -> Dat
 def offset_fields(px_wide: DataFrame, pairs: DataFrame, width: int, height: int, cfg=Settings()):
     """A priori field, reference direction and offsets: (a_priori, flow, offsets).
 
-    The a priori field is one value per region and cell and feeds three later steps, so it is written
-    once.
+    The a priori field is one value per region and cell and feeds three later steps; the offsets, one
+    vector per orbit pair and cell, are read by every pass over the pixels. Both are written once.
     """
     long = offsets.to_long(offsets.add_magnitude(px_wide))
     a_priori = materialise(offsets.a_priori_field(long, pairs, width, height), "a-priori")
-    return a_priori, offsets.flow_reference(a_priori), offsets.orbit_pair_offset(px_wide, pairs, a_priori, cfg.min_fields)
+    table = materialise(offsets.orbit_pair_offset(px_wide, pairs, a_priori, cfg.min_fields), "offsets")
+    return a_priori, offsets.flow_reference(a_priori), table
 
 
 def correct_fields(
@@ -100,11 +107,16 @@ def correct_fields(
 
     Errors are taken before the direction filter, coverage after it. ``masks`` carries ice and ocean,
     ``pairs`` the scene columns and the region's bounds.
+
+    Two passes over the corrected pixels: one for the statistics, a row per field and written once, one
+    for the output. Both read the same shuffle of the pixels.
     """
     flags = mask_ops.rock_mask(masks)
     corrected = correction.apply_offset(correction.join_offsets(px_wide, pairs, offset_table))
     ready = correction.join_flow_reference(mask_ops.join_masks(corrected, flags), flow)
-    stats = correction.covered_fields(correction.field_statistics(ready, masks), cfg.min_ice_share)
+    stats = materialise(
+        correction.covered_fields(correction.field_statistics(ready, masks), cfg.min_ice_share), "field-statistics"
+    )
     filtered = correction.flow_filter(ready, cfg.max_angle).join(stats.select(*FIELD), FIELD, "left_semi")
     px = offsets.add_magnitude(filtered).select(
         *FIELD, "iy", "ix", F.col("dx").alias("vx"), F.col("dy").alias("vy"), F.col("dmag").alias("vv")
@@ -153,6 +165,8 @@ def cube_landsat(
         "percent_ice_area_notnull", F.col("mag_rmse").alias("error_mag_rmse"),
         *[F.col(c).alias(f"error_{c}") for c in correction.ERROR_COLUMNS[1:]],
     )
+    # A row per field; stored, so that numbering does not run the pixels again.
+    meta = materialise(meta, "landsat-fields")
     indexed = cube.attach_attributes(cube.narrow_types(cube.cube_index(meta), schemas.CUBE_FIELDS))
     pixels = placed.withColumnsRenamed({"dx": "vx", "dy": "vy"}).join(indexed.select(*FIELD, "index"), FIELD)
     return cube.narrow_types(pixels, schemas.CUBE_PIXELS), indexed

@@ -35,19 +35,24 @@ def sink_field_metadata(documents: DataFrame, path: str, keys=("region",)) -> No
     documents.write.mode("overwrite").partitionBy(*keys).text(path)
 
 
-def sink_cube(pixels: DataFrame, fields: DataFrame, path: str, rows_per_slice: int = 64) -> None:
+def sink_cube(pixels: DataFrame, fields: DataFrame, path: str, rows_per_slice: int = 64, fields_per_slice: int = 1024) -> None:
     """Cube by public id and year: ``<path>/pixels`` and ``<path>/fields``.
 
-    Pixels are cut by blocks of grid rows, so large regions spread over tasks and readers can skip
-    files by ``iy``. Inside a file rows follow the field index and the cell, which packs well.
+    Pixels are cut by blocks of grid rows and of fields, so a dominant region or year spreads over many
+    tasks, and readers can skip files by ``iy`` and ``index``. Inside a file rows follow the field index
+    and the cell, which packs well.
     """
     where = ["public_id", "year"]
-    (
-        pixels.withColumn("_block", F.floor(F.col("iy") / rows_per_slice))
-        .repartition(*where, "_block").drop("_block").sortWithinPartitions(*where, "index", "iy", "ix")
-        .write.mode("overwrite").partitionBy(*where).option("compression", "zstd").parquet(f"{path}/pixels")
-    )
-    fields.repartition(*where).sortWithinPartitions(*where, "index").write.mode("overwrite").partitionBy(*where).parquet(f"{path}/fields")
+    blocks = {"_rows": F.floor(F.col("iy") / rows_per_slice), "_fields": F.floor(F.col("index") / fields_per_slice)}
+    _write_cube(pixels.withColumns(blocks).repartition(*where, *blocks).drop(*blocks), where, ["index", "iy", "ix"], f"{path}/pixels")
+    # A field is one row, so a slice of fields may be larger.
+    block = F.floor(F.col("index") / (fields_per_slice * 1024))
+    _write_cube(fields.withColumn("_fields", block).repartition(*where, "_fields").drop("_fields"), where, ["index"], f"{path}/fields")
+
+
+def _write_cube(df, where, order, path):
+    sorted_rows = df.sortWithinPartitions(*where, *order)
+    sorted_rows.write.mode("overwrite").partitionBy(*where).option("compression", "zstd").parquet(path)
 
 
 def split_failures(units: DataFrame, error="error"):

@@ -195,3 +195,12 @@ def test_projections_keep_known_lengths(spark):
     t = np.linspace(0, phi, 200001)
     curve = projection.A * (1 - projection.E2) / (1 - projection.E2 * np.sin(t) ** 2) ** 1.5
     assert one.select(north).first()[0] == pytest.approx(0.9996 * np.trapezoid(curve, t), abs=1e-2)
+
+
+def test_each_region_may_have_its_own_template(spark):
+    px = spark.createDataFrame([("a", 0, 0, 1.0), ("a", 0, 1, 2.0), ("b", 0, 0, 3.0), ("b", 0, 1, 4.0)], "region string, iy int, ix int, value double")
+    own = spark.createDataFrame([("a", 0.0, 100.0, 50.0, 2, 2), ("b", 100.0, 100.0, 100.0, 1, 1)],
+                                "region string, xmin double, ymax double, res double, width int, height int")
+    got = resample.resample_nearest(px.join(own, "region"), Grid(0.0, 100.0, 100.0, 2, 1), Grid.of_columns())
+    assert sorted((r.region, r.iy, r.ix, r.value) for r in got.collect()) == [
+        ("a", 0, 0, 1.0), ("a", 0, 1, 1.0), ("a", 1, 0, 1.0), ("a", 1, 1, 1.0), ("b", 0, 0, 4.0)]
