@@ -276,7 +276,7 @@ def _(spark, d):
 
 
 CELL_M2 = 200e6
-AREA_SQL = "SELECT region, field_id, count(*) FILTER (dx > 0) * 200.0 AS area_covered_km2, min(shipdate) AS acquired FROM li GROUP BY ALL"
+AREA_SQL = "SELECT region, field_id, count(*) FILTER (dx > 0) * CAST(200 AS DOUBLE) AS area_covered_km2, min(shipdate) AS acquired FROM li GROUP BY ALL"
 COVER_SQL = f"SELECT a.*, a.area_covered_km2 / r.area_km2 AS coverage FROM ({AREA_SQL}) a JOIN reg r ON r.region = a.region"
 
 

@@ -21,12 +21,16 @@ RUNTIME_CONF = {
 }
 
 
+# Settings fixed at start. Call sites recorded per column would double the time to build large plans.
+STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
 def build_session(app="rasterloom", master=None, **extra):
     """A session for jobs and tests. On a cluster the master comes from spark-submit."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **extra}.items():
+    for key, value in {**STATIC_CONF, **RUNTIME_CONF, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
