@@ -8,6 +8,7 @@ from rasterloom.functions import vector
 from rasterloom.functions.grid import Grid
 from rasterloom.operators import correction, masks as mask_ops, offsets, pairs as pair_ops
 from rasterloom.operators.neighbourhood import box_median_3x3
+from rasterloom.operators.quantiles import largest_group
 from rasterloom.operators.rasters import content_digest, shape_uniformity
 from rasterloom.plans import fixtures as fx
 from rasterloom.plans.chains import materialise
@@ -143,7 +144,8 @@ def _(spark, d):
 
 @query("median_composite", "SELECT region, component, iy, ix, median(value) AS value FROM px GROUP BY ALL", ["px"])
 def _(spark, d):
-    return offsets.median_composite(fx.px(spark, d))
+    # The field table bounds the groups, so the pixels are read once.
+    return offsets.median_composite(fx.px(spark, d), largest=largest_group(fx.fields(spark, d), ["region"], "field_id"))
 
 
 @query("box_median_3x3", """
