@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rasterloom.llm import decontaminate, hilbert, jaccard, packing, substrings, topk
+from rasterloom.llm import decontaminate, hilbert, jaccard, packing, quality, substrings, topk, toxicity
 
 
 def _read(spark, sf_dir, table):
@@ -46,11 +46,25 @@ def op7_sharding(spark, sf_dir):
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
+def op8_quality(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)) % 3 == 1
+    labels = _read(spark, sf_dir, "labels").filter(~held_out)
+    return quality.quality_scores(docs, labels).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_jaccard_join(spark, sf_dir):
     found = jaccard.near_duplicates(_read(spark, sf_dir, "documents"), shingle=4, num=85, den=100)
     names = found.groupBy("group").agg(F.min("doc_id").alias("component_id"))
     return found.join(names, "group").select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_topk, op3_packing, op4_decontamination, op6_substring_dedup, op7_sharding, op9_jaccard_join)}
+def op10_toxicity(spark, sf_dir):
+    found = toxicity.toxicity(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    return found.select("doc_id", "severe", "repeated", F.col("toxic").alias("probability"), (F.col("toxic") >= 0.5).alias("toxic"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_exact_topk, op3_packing, op4_decontamination, op6_substring_dedup, op7_sharding, op8_quality, op9_jaccard_join, op10_toxicity)}
 ORACLES = {}

@@ -55,9 +55,9 @@ class Runs:
 
 
 def byte_table(separators, lower=False):
-    """Two tables over byte values: is it part of a word, and its value in hashes."""
-    inside = np.ones(256, bool)
-    inside[list(separators)] = False
+    """Two tables over byte values: its kind (0: between words; a change of kind ends a word), and its value in hashes."""
+    inside = np.ones(256, np.int8)
+    inside[list(separators)] = 0
     values = BYTE_VALUES.copy()
     if lower:
         values[65:91] = values[97:123]
@@ -70,6 +70,8 @@ PLAIN = byte_table(SPACES)
 LOWER = byte_table(SPACES, lower=True)
 #: Words of digits, letters and everything beyond ASCII, A-Z lower-cased.
 ALNUM = byte_table([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)], lower=True)
+#: Runs of letters and digits, and runs of signs, as words of their own.
+SIGNED = ALNUM[0] + 2 * (PLAIN[0] - ALNUM[0]), ALNUM[1]
 
 
 def buffers(column):
@@ -104,16 +106,16 @@ class Words:
     def __init__(self, column, table):
         inside, values = table
         self.data, at = buffers(column)
+        self.values = values
         self.rows = len(at) - 1
-        mask = inside[self.data]
-        begins = mask.copy()
-        begins[1:] &= ~mask[:-1]
-        heads = at[:-1][at[:-1] < len(mask)]
-        begins[heads] = mask[heads]
-        ends = mask.copy()
-        ends[:-1] &= ~mask[1:]
+        kind = inside[self.data]
+        begins, ends = kind > 0, kind > 0
+        begins[1:] &= kind[1:] != kind[:-1]
+        heads = at[:-1][at[:-1] < len(kind)]
+        begins[heads] = kind[heads] > 0
+        ends[:-1] &= kind[1:] != kind[:-1]
         tails = at[1:][at[1:] > 0] - 1
-        ends[tails] = mask[tails]
+        ends[tails] = kind[tails] > 0
         self.start, self.end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         self.first = np.searchsorted(self.start, at)
         self.row = np.repeat(np.arange(self.rows), np.diff(self.first))
