@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rasterloom.llm import decontaminate, hilbert, jaccard, packing, quality, substrings, topk, toxicity
+from rasterloom.llm import decontaminate, hilbert, jaccard, packing, quality, substrings, topk, toxicity, urls
 
 
 def _read(spark, sf_dir, table):
@@ -36,6 +36,10 @@ def op4_decontamination(spark, sf_dir):
         F.col("items").isNotNull().alias("contaminated"))
 
 
+def op5_url_filter(spark, sf_dir):
+    return urls.verdicts(_read(spark, sf_dir, "pages"), _read(spark, sf_dir, "labels"))
+
+
 def op6_substring_dedup(spark, sf_dir):
     return substrings.repeated_passages(_read(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
@@ -66,5 +70,5 @@ def op10_toxicity(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_topk, op3_packing, op4_decontamination, op6_substring_dedup, op7_sharding, op8_quality, op9_jaccard_join, op10_toxicity)}
+    op1_exact_topk, op3_packing, op4_decontamination, op5_url_filter, op6_substring_dedup, op7_sharding, op8_quality, op9_jaccard_join, op10_toxicity)}
 ORACLES = {}
