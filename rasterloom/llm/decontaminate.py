@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from rasterloom.llm import words as W
-from rasterloom.llm.tables import numbered, stored
+from rasterloom.llm.tables import numbered, schema, stored
 
 WINDOW = 10
 #: The fingerprint bitmap grows with the benchmark up to this size (1 MB), then it only filters less.
@@ -45,7 +45,7 @@ def _item_windows(window):
     return run
 
 
-def _document_hits(bitmap, sizes):
+def _document_hits(bitmap, sizes, keep):
     def run(batches):
         bits = bitmap.value
         mask = W.U64(64 * len(bits) - 1)
@@ -56,8 +56,8 @@ def _document_hits(bitmap, sizes):
                 for size in sizes:
                     at, print_, h1, h2 = fingerprinted(words, size)
                     spot = print_ & mask
-                    keep = np.flatnonzero(bits[(spot >> W.U64(6)).astype(np.int64)] >> (spot & W.U64(63)) & W.U64(1))
-                    found.append((at[keep], np.full(len(keep), size, np.int32), W.signed(h1[keep]), W.signed(h2[keep])))
+                    near = np.flatnonzero(bits[(spot >> W.U64(6)).astype(np.int64)] >> (spot & W.U64(63)) & W.U64(1))
+                    found.append((at[near], np.full(len(near), size, np.int32), W.signed(h1[near]), W.signed(h2[near])))
                 at, size, h1, h2 = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 4
                 order = np.argsort(at, kind="stable")
                 at, size, h1, h2 = at[order], size[order], h1[order], h2[order]
@@ -65,15 +65,15 @@ def _document_hits(bitmap, sizes):
                 hits = pa.StructArray.from_arrays([pa.array(pos), pa.array(size.astype(np.int32)), pa.array(h1), pa.array(h2)], fields=list(HIT))
                 bounds = pa.array(np.searchsorted(at, words.first).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("uid"), part.column("doc_id"), pa.array(words.counts.astype(np.int64)), pa.ListArray.from_arrays(bounds, hits)],
-                    ["uid", "doc_id", "n_words", "hits"])
+                    [*(part.column(c) for c in keep), part.column("uid"), pa.array(words.counts.astype(np.int64)), pa.ListArray.from_arrays(bounds, hits)],
+                    [*keep, "uid", "n_words", "hits"])
     return run
 
 
-def contamination(docs, benchmark, window=WINDOW):
+def contamination(docs, benchmark, window=WINDOW, keep=("doc_id",)):
     """Words of each document that lie in an occurrence of a window of benchmark words.
 
-    ``docs``: doc_id, text; ``benchmark``: item_id, text. Other columns are ignored. A window is
+    ``docs``: text and the columns to ``keep``; ``benchmark``: item_id, text. Other columns are ignored. A window is
     ``window`` consecutive words of an item, or the whole of a shorter item. Null and empty texts
     have no words and hit nothing; a null item_id counts as the empty string; repeated rows are
     judged one by one; an empty benchmark leaves every document clean.
@@ -85,7 +85,7 @@ def contamination(docs, benchmark, window=WINDOW):
     extended to the windows that the fingerprint stands for, as 128-bit hashes of ten words, and
     joined exactly. Overlapping windows merge to spans.
 
-    Returns uid, doc_id, n_words, spans (array of struct(pos, end) in words), items (sorted ids).
+    Returns the kept columns, uid, n_words, spans (array of struct(pos, end) in words), items (sorted ids).
     """
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
@@ -97,8 +97,8 @@ def contamination(docs, benchmark, window=WINDOW):
     bitmap = np.zeros(bits // 64, W.U64)
     for r in cell.groupBy("cell").agg(F.bit_or("bit").alias("bit")).toLocalIterator():  # at most bits / 64 rows
         bitmap[r.cell] = r.bit % (1 << 64)
-    rows = numbered(docs, "doc_id", "text").mapInArrow(
-        _document_hits(spark.sparkContext.broadcast(bitmap), sizes), _with_id(docs, f"uid bigint, doc_id {{}}, n_words bigint, hits {HITS}"))
+    rows = numbered(docs, *dict.fromkeys([*keep, "text"])).mapInArrow(
+        _document_hits(spark.sparkContext.broadcast(bitmap), sizes, keep), schema(docs, keep, f"uid bigint, n_words bigint, hits {HITS}"))
     rows = stored(rows, "hits")
     found = rows.select("uid", F.explode("hits").alias("hit")).select("uid", "hit.*").join(known.select("h1", "h2", "item").distinct(), ["h1", "h2"])
     found = found.groupBy("uid").agg(
@@ -111,8 +111,3 @@ def contamination(docs, benchmark, window=WINDOW):
                       array(struct(done[size(done) - 1].pos as pos, greatest(x.end, done[size(done) - 1].end) as end))),
                concat(done, array(x))))""")
     return rows.drop("hits").join(found.select("uid", merged.alias("spans"), "items"), "uid", "left")
-
-
-def _with_id(docs, schema):
-    """A result schema with the type that doc_id has in the input."""
-    return schema.format(docs.schema["doc_id"].dataType.simpleString())

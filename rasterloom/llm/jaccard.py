@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rasterloom.llm import words as W
 from rasterloom.llm.components import components
-from rasterloom.llm.tables import Seen, numbered, stored
+from rasterloom.llm.tables import Seen, numbered, schema, stored
 
 #: A tile holds at most about so many documents and so many shingles.
 TILE_ROWS, TILE_SHINGLES = 512, 1 << 22
@@ -66,13 +66,13 @@ def _sets(part, size):
         yield row, values
 
 
-def _identities(size):
+def _identities(size, keep):
     def run(batches):
         for batch in batches:
             for part in W.slices(batch, "text"):
                 found = [(len(v), W.set_hash(v, 1), W.set_hash(v, 3)) for _, v in _sets(part, size)]
                 n, h1, h2 = (pa.array(x, pa.int64()) for x in zip(*found))
-                yield pa.RecordBatch.from_arrays([part.column("uid"), part.column("doc_id"), n, h1, h2], ["uid", "doc_id", "n", "h1", "h2"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), part.column("uid"), n, h1, h2], [*keep, "uid", "n", "h1", "h2"])
     return run
 
 
@@ -188,11 +188,12 @@ def _tiled(classes, num, den):
     return big.withColumn("tiles", F.when(F.col("small"), F.array(F.col("group").cast("string"))).otherwise(F.concat(own, up, down)))
 
 
-def near_duplicates(docs, shingle=5, num=80, den=100):
+def near_duplicates(docs, shingle=5, num=80, den=100, keep=("doc_id",)):
     """Groups of documents that are linked, directly or over others, by a Jaccard similarity of num / den or more.
 
-    ``docs``: doc_id, text; other columns are ignored. A document's set holds its distinct runs of
-    ``shingle`` white-space separated words, A-Z lower-cased; with fewer words, all of them as one.
+    ``docs``: doc_id, text and the columns to ``keep``; others are ignored. A document's set holds its
+    distinct runs of ``shingle`` white-space separated words, A-Z lower-cased; with fewer words, all of
+    them as one.
     Null and empty texts have the empty set and link with nothing. Repeated rows are rows like others:
     equal sets link.
 
@@ -202,12 +203,12 @@ def near_duplicates(docs, shingle=5, num=80, den=100):
     the sorted arrays are intersected. Pairs already joined within a tile are not tested again, so the
     links found are fewer than all pairs, but no two documents that links connect stay apart.
 
-    Returns uid, doc_id, n_shingles, group (a long, equal for linked documents).
+    Returns uid, the kept columns, n_shingles, group (a long, equal for linked documents).
     """
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+    rows = stored(numbered(docs, *dict.fromkeys([*keep, "text"])).mapInArrow(
+        _identities(shingle, keep), schema(docs, keep, "uid bigint, n bigint, h1 bigint, h2 bigint")), "sets")
     docs = docs.select("doc_id", "text")
     bands = Bands(num, den)
-    rows = stored(numbered(docs, "doc_id", "text").mapInArrow(_identities(shingle), f"uid bigint, doc_id {id_type}, n bigint, h1 bigint, h2 bigint"), "sets")
     keys = docs.select("text").mapInArrow(_keys(shingle, bands), "key bigint, h1 bigint")
     pairs = keys.repartition("key").sortWithinPartitions("key", "h1").mapInArrow(_chains, "a bigint, b bigint")
     groups = components(pairs).withColumnRenamed("node", "h1").withColumnRenamed("component", "group")
@@ -219,5 +220,5 @@ def near_duplicates(docs, shingle=5, num=80, den=100):
     links = sets.select("uid", F.explode("tiles").alias("tile"), "shingles").groupBy("tile").applyInArrow(_verify(num, den), "a bigint, b bigint")
     linked = components(links)
     named = classes.join(linked.withColumnRenamed("node", "uid"), "uid", "left").select("h1", "h2", F.coalesce("component", "uid").alias("group"))
-    full = rows.filter("n > 0").join(named, ["h1", "h2"]).select("uid", "doc_id", F.col("n").alias("n_shingles"), "group")
-    return full.unionByName(rows.filter("n = 0").select("uid", "doc_id", F.col("n").alias("n_shingles"), F.col("uid").alias("group")))
+    full = rows.filter("n > 0").join(named, ["h1", "h2"]).select("uid", *keep, F.col("n").alias("n_shingles"), "group")
+    return full.unionByName(rows.filter("n = 0").select("uid", *keep, F.col("n").alias("n_shingles"), F.col("uid").alias("group")))

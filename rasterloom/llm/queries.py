@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rasterloom.llm import decontaminate, hilbert, jaccard, packing, quality, substrings, topk, toxicity, urls
+from rasterloom.llm import decontaminate, hilbert, jaccard, packing, personal, quality, substrings, topk, toxicity, urls
 
 
 def _read(spark, sf_dir, table):
@@ -22,6 +22,14 @@ def op1_exact_topk(spark, sf_dir):
     return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"), k=20, scale=64)
 
 
+def op2_personal_data(spark, sf_dir):
+    found = personal.find_personal_data(_read(spark, sf_dir, "documents"))
+    digest = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("bigint").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, personal.KINDS), F.sha2(digest(base), 256).alias("base_sha256"), digest(F.col("spans")).alias("spans"))
+
+
 def op3_packing(spark, sf_dir):
     return packing.pack(_read(spark, sf_dir, "documents"), tokenizer_path()).drop("uid")
 
@@ -70,5 +78,5 @@ def op10_toxicity(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_topk, op3_packing, op4_decontamination, op5_url_filter, op6_substring_dedup, op7_sharding, op8_quality, op9_jaccard_join, op10_toxicity)}
+    op1_exact_topk, op2_personal_data, op3_packing, op4_decontamination, op5_url_filter, op6_substring_dedup, op7_sharding, op8_quality, op9_jaccard_join, op10_toxicity)}
 ORACLES = {}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rasterloom.session import scratch_dir
 
@@ -23,6 +24,22 @@ def numbered(docs, *columns):
     return docs.select(F.monotonically_increasing_id().alias("uid"), *columns)
 
 
+def schema(docs, columns, more):
+    """A result schema: ``columns`` as they are in ``docs``, then those of the DDL string ``more``."""
+    return T.StructType([docs.schema[c] for c in columns] + T.StructType.fromDDL(more).fields)
+
+
+def folded(docs):
+    """doc_id, text, and all other columns in one column ``rest``, so that no name can clash."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in others), F.lit(0).alias("")).alias("rest"))
+
+
+def unfolded(rows, columns):
+    """The columns that ``folded`` put away, in their old order."""
+    return rows.select(*(F.col(c) if c in ("doc_id", "text") else F.col("rest").getField(c).alias(c) for c in columns))
+
+
 class Seen:
     """Remembers up to ``limit`` values of one task, to send repeated rows once. Forgetting costs rows, not results."""
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from rasterloom.llm import words as W
-from rasterloom.llm.tables import stored
+from rasterloom.llm.tables import schema, stored
 from rasterloom.llm.training import labelled_sample
 
 #: Hash space of the features before selection, features kept, and labelled documents used for fitting.
@@ -143,7 +143,7 @@ def fit_chain(fold, row, at, value, hits, toxic):
     return models
 
 
-def _score(model):
+def _score(model, keep):
     def run(batches):
         place, chain = model.value
         for batch in batches:
@@ -152,14 +152,14 @@ def _score(model):
                 dense = np.zeros((rows, 0))
                 for m in chain:
                     dense = np.column_stack([dense, m.probability(row, at, value, dense)])
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(x) for x in dense.T)], ["doc_id", *(c for c, _ in CATEGORIES)])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *(pa.array(x) for x in dense.T)], [*keep, *(c for c, _ in CATEGORIES)])
     return run
 
 
-def toxicity(docs, labels, rows=SAMPLE_ROWS):
+def toxicity(docs, labels, rows=SAMPLE_ROWS, keep=("doc_id",)):
     """Probability of each category of the chain for each whole text.
 
-    ``docs``: doc_id, text; ``labels``: doc_id, toxic; other columns are ignored. The label knows one
+    ``docs``: doc_id, text and the columns to ``keep``; ``labels``: doc_id, toxic; others are ignored. The label knows one
     kind of toxicity; the chain's earlier categories grade it by how many telling words, as found in
     the labelled sample, a toxic document holds: severe, then repeated, then toxic.
 
@@ -168,7 +168,7 @@ def toxicity(docs, labels, rows=SAMPLE_ROWS):
     texts have no features and are as clean as a text without telling words; repeated rows score
     alike; without toxic labels nothing is toxic.
 
-    Returns doc_id, severe, repeated, toxic (probabilities).
+    Returns the kept columns, severe, repeated, toxic (probabilities).
     """
     spark = docs.sparkSession
     sample = stored(labelled_sample(docs, labels, ["toxic"], rows), "sample")
@@ -181,6 +181,6 @@ def toxicity(docs, labels, rows=SAMPLE_ROWS):
     toxic = table.column("toxic").to_numpy(zero_copy_only=False).astype(bool) if table.num_rows else np.zeros(0, bool)
     chain = fit_chain(fold, np.repeat(np.arange(len(size)), size), flat("at").astype(np.int64), flat("value").astype(float),
                       table.column("hits").to_numpy(zero_copy_only=False) if table.num_rows else np.zeros(0), toxic)
-    id_type = docs.schema["doc_id"].dataType.simpleString()
     columns = ", ".join(f"{c} double" for c, _ in CATEGORIES)
-    return docs.select("doc_id", "text").mapInArrow(_score(spark.sparkContext.broadcast((place, chain))), f"doc_id {id_type}, {columns}")
+    model = spark.sparkContext.broadcast((place, chain))
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(_score(model, keep), schema(docs, keep, columns))
