@@ -119,18 +119,17 @@ def _packed(size):
                     if W.set_hash(values, 1) == h1[row] and W.set_hash(values, 3) == h2[row]:
                         keep.append(row)
                         blobs.append(values.tobytes())
-                yield pa.RecordBatch.from_arrays([
-                    part.column("uid").take(pa.array(keep, pa.int64())), part.column("tiles").take(pa.array(keep, pa.int64())), pa.array(blobs, pa.binary()),
-                ], ["uid", "tiles", "shingles"])
+                yield pa.RecordBatch.from_arrays([part.column("uid").take(pa.array(keep, pa.int64())), pa.array(blobs, pa.binary())], ["uid", "shingles"])
     return run
 
 
-def tile_links(ids, sets, num, den):
+def tile_links(ids, sets, num, den, labels=None):
     """Edges that join all linked sets of a tile: a spanning forest of its links.
 
     Sets are taken by size, so partners of a set are a stretch of those behind it. Signatures bound
     each overlap from above: a bit set in one signature only stands for a shingle in that set only.
-    Pairs that are already joined need no test; all others that pass are intersected exactly.
+    Pairs that are already joined, by equal ``labels`` or by links found here, need no test; all others
+    that pass are intersected exactly.
     """
     order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), ids[i]))
     ids, sets = [ids[i] for i in order], [sets[i] for i in order]
@@ -139,7 +138,8 @@ def tile_links(ids, sets, num, den):
     for i, s in enumerate(sets):
         bits[i, (s % W.U64(SIGNATURE_BITS)).astype(np.int64)] = True
     bits = np.packbits(bits, axis=1).view(W.U64)
-    group, edges = np.arange(len(sets)), []
+    group = np.arange(len(sets)) if labels is None else np.unique([labels[i] for i in order], return_inverse=True)[1]
+    edges = []
     for i in range(len(sets) - 1):
         high = np.searchsorted(sizes, sizes[i] * den // num, "right")
         near = np.arange(i + 1, high)
@@ -155,37 +155,59 @@ def tile_links(ids, sets, num, den):
 
 def _verify(num, den):
     def run(table):
-        ids = table.column("uid").to_pylist()
-        sets = dict(zip(ids, (np.frombuffer(x.as_buffer(), W.U64) for c in table.column("shingles").chunks for x in c)))
-        edges = tile_links(list(sets), list(sets.values()), num, den)
+        rows = {u: (np.frombuffer(x.as_buffer(), W.U64), c) for u, x, c in zip(
+            table.column("uid").to_pylist(), (x for c in table.column("shingles").chunks for x in c), table.column("label").to_pylist())}
+        edges = tile_links(list(rows), [s for s, _ in rows.values()], num, den, [c for _, c in rows.values()])
         a, b = zip(*edges) if edges else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
     return run
 
 
-def _tiled(classes, num, den):
-    """Each class with the tiles that it takes part in.
+def _parts(rows, weight):
+    return F.ceil(F.greatest(rows / TILE_ROWS, weight / TILE_SHINGLES)).cast("int")
 
-    A small candidate group is one tile. A larger one is cut by size band and, inside a band, by hash;
-    tiles then meet tiles of their own and the neighbouring bands, so a group of any size is compared
-    in bounded pieces.
-    """
+
+def _celled(classes, num, den):
+    """Classes with their cell: candidate group and size band; k tiles of the cell; tile t of the class; is the group one tile?"""
     # Partners differ by a factor of at most den / num; a band is a little wider, against rounding.
     step = float(np.log(den / num) * 1.0001)
     classes = classes.withColumn("band", F.floor(F.log("n") / step).cast("int"))
     cells = stored(classes.groupBy("group", "band").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("weight")), "cells")
-    parts = F.ceil(F.greatest(F.col("rows") / TILE_ROWS, F.col("weight") / TILE_SHINGLES)).cast("int")
-    small = cells.groupBy("group").agg(F.sum("rows").alias("rows"), F.sum("weight").alias("weight")).select("group", (parts <= 1).alias("small"))
-    cells = cells.select("group", "band", parts.alias("k"))
-    for name, shift in (("up", 1), ("down", -1)):
-        cells = cells.join(cells.select("group", (F.col("band") - shift).alias("band"), F.col("k").alias(name)), ["group", "band"], "left")
-    at = F.expr("pmod(xxhash64(uid), k)")
-    tile = "concat_ws(':', group, {}, {}, {}, {})"
-    own = F.expr("transform(sequence(0, k - 1), x -> " + tile.format("band", "least(x, t)", "band", "greatest(x, t)") + ")")
-    up = F.expr("if(up is null, array(), transform(sequence(0, up - 1), x -> " + tile.format("band", "t", "band + 1", "x") + "))")
-    down = F.expr("if(down is null, array(), transform(sequence(0, down - 1), x -> " + tile.format("band - 1", "x", "band", "t") + "))")
-    big = classes.join(cells, ["group", "band"]).join(small, "group").withColumn("t", at)
-    return big.withColumn("tiles", F.when(F.col("small"), F.array(F.col("group").cast("string"))).otherwise(F.concat(own, up, down)))
+    whole = cells.groupBy("group").agg((_parts(F.sum("rows"), F.sum("weight")) <= 1).alias("small"))
+    cells = cells.select("group", "band", _parts(F.col("rows"), F.col("weight")).alias("k")).join(whole, "group")
+    return classes.join(cells, ["group", "band"]).withColumn("t", F.expr("cast(pmod(xxhash64(uid), k) as int)"))
+
+
+#: A small group is one tile. In a larger one, each tile of a cell meets the cell's first tile, and the first tiles of neighbouring bands meet.
+FIRST_TILES = """if(small, array(concat_ws(':', group)),
+    if(t > 0, array(concat_ws(':', group, band, t)),
+       concat(transform(sequence(0, k - 1), x -> concat_ws(':', group, band, x)),
+              array(concat_ws(':', group, band, 'up'), concat_ws(':', group, band - 1, 'up')))))"""
+
+
+def _rest_tiles(classes, labels):
+    """Tiles for what the first ones may have missed: classes outside their group's largest component against all of the group.
+
+    ``labels``: uid, label (component so far). A class outside, in tile i of its kind, meets tile j of all
+    classes of its own and the two neighbouring bands. Classes of one label need no test.
+    """
+    rows = classes.filter("not small").join(labels, "uid", "left").withColumn("label", F.coalesce("label", "uid"))
+    main = rows.groupBy("group", "label").count().groupBy("group").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
+    rows = stored(rows.join(main, "group").withColumn("outside", F.col("label") != F.col("main")), "labelled")
+    out = rows.filter("outside").groupBy("group", "band").agg(_parts(F.count(F.lit(1)), F.sum("n")).alias("m"))
+    cells = rows.groupBy("group", "band").agg(F.first("k").alias("m"))
+    near = F.explode(F.expr("sequence(band - 1, band + 1)"))
+
+    def meeting(rows, cells, tile):
+        """Each row with the tiles of the cells in its own and the neighbouring bands."""
+        cells = cells.withColumnRenamed("band", "other")
+        return rows.withColumn("other", near).join(cells, ["group", "other"]).withColumn("other_tile", F.explode(F.expr("sequence(0, m - 1)"))).select("uid", "label", tile.alias("tile"))
+
+    mine = F.expr("cast(pmod(xxhash64(uid), own) as int)")
+    outside = rows.filter("outside").join(out.withColumnRenamed("m", "own"), ["group", "band"])
+    a = meeting(outside, cells, F.concat_ws(":", "group", "band", mine, "other", "other_tile"))
+    b = meeting(rows, out, F.concat_ws(":", "group", "other", "other_tile", "band", "t"))
+    return a.unionByName(b).distinct()
 
 
 def near_duplicates(docs, shingle=5, num=80, den=100, keep=("doc_id",)):
@@ -199,9 +221,11 @@ def near_duplicates(docs, shingle=5, num=80, den=100, keep=("doc_id",)):
 
     Sets that are equal are one class. Classes are cut into hash ranges (see ``Bands``), which finds
     every pair above the limit; classes that share a range form candidate groups. Inside a group, tiles
-    of one or two neighbouring size bands are compared: a bitmap bounds each overlap from above before
-    the sorted arrays are intersected. Pairs already joined within a tile are not tested again, so the
-    links found are fewer than all pairs, but no two documents that links connect stay apart.
+    of one size band or of two neighbouring ones are compared: a bitmap bounds each overlap from above
+    before the sorted arrays are intersected. Large groups are mostly copies of one text, so their tiles
+    first meet one tile of their band only; then everything outside of the largest component so found
+    meets all of the group. Pairs already joined are not tested, so the links found are fewer than all
+    pairs, but no two documents that links connect stay apart, and a group costs about its size.
 
     Returns uid, the kept columns, n_shingles, group (a long, equal for linked documents).
     """
@@ -214,11 +238,13 @@ def near_duplicates(docs, shingle=5, num=80, den=100, keep=("doc_id",)):
     groups = components(pairs).withColumnRenamed("node", "h1").withColumnRenamed("component", "group")
     classes = rows.filter("n > 0").groupBy("h1", "h2").agg(F.min("uid").alias("uid"), F.min_by("doc_id", "uid").alias("own_id"), F.first("n").alias("n"))
     classes = stored(classes, "classes")
-    candidates = stored(_tiled(classes.join(groups, "h1"), num, den).select("uid", "own_id", "h1", "h2", "tiles"), "candidates")
-    sets = docs.join(candidates, F.col("doc_id").eqNullSafe(F.col("own_id"))).select("uid", "text", "h1", "h2", "tiles") \
-        .mapInArrow(_packed(shingle), "uid bigint, tiles array<string>, shingles binary")
-    links = sets.select("uid", F.explode("tiles").alias("tile"), "shingles").groupBy("tile").applyInArrow(_verify(num, den), "a bigint, b bigint")
-    linked = components(links)
+    candidates = stored(_celled(classes.join(groups, "h1"), num, den), "candidates")
+    sets = docs.join(candidates, F.col("doc_id").eqNullSafe(F.col("own_id"))).select("uid", "text", "h1", "h2").mapInArrow(_packed(shingle), "uid bigint, shingles binary")
+    sets = stored(sets, "shingles")
+    compare = lambda tiles: sets.join(tiles, "uid").select("uid", "tile", "label", "shingles").groupBy("tile").applyInArrow(_verify(num, den), "a bigint, b bigint")
+    links = stored(compare(candidates.select("uid", F.col("uid").alias("label"), F.explode(F.expr(FIRST_TILES)).alias("tile"))), "links")
+    rest = _rest_tiles(candidates, components(links).withColumnsRenamed({"node": "uid", "component": "label"}))
+    linked = components(links.unionByName(compare(rest)))
     named = classes.join(linked.withColumnRenamed("node", "uid"), "uid", "left").select("h1", "h2", F.coalesce("component", "uid").alias("group"))
     full = rows.filter("n > 0").join(named, ["h1", "h2"]).select("uid", *keep, F.col("n").alias("n_shingles"), "group")
     return full.unionByName(rows.filter("n = 0").select("uid", *keep, F.col("n").alias("n_shingles"), F.col("uid").alias("group")))

@@ -40,7 +40,7 @@ def products(a, b):
             return (a.astype(np.float32) @ b.astype(np.float32).T).astype(np.float64)
         if most < EXACT:
             return a @ b.T
-        a, b = (np.array([[int(x) for x in r] for r in m.tolist()], object).reshape(m.shape) for m in (a, b))
+    a, b = (np.array([[int(x) for x in r] for r in m.tolist()], object).reshape(m.shape) for m in (a, b))
     return a.dot(b.T)
 
 
@@ -75,7 +75,8 @@ def bounds(queries, centres, radii):
     width = min(queries.shape[1], centres.shape[1])
     norms = np.sqrt((queries ** 2).sum(axis=1))[:, None]
     reach = norms * radii[None, :]
-    return (queries[:, :width] @ centres[:, :width].T + reach) + 1e-9 * (norms * np.sqrt((centres ** 2).sum(axis=1))[None, :] + reach) + 1e-6
+    upper = (queries[:, :width] @ centres[:, :width].T + reach) + 1e-9 * (norms * np.sqrt((centres ** 2).sum(axis=1))[None, :] + reach) + 1e-6
+    return np.nan_to_num(upper, nan=np.inf, posinf=np.inf, neginf=np.inf)  # beyond doubles nothing is ruled out
 
 
 class Best:
@@ -95,11 +96,13 @@ class Best:
         if not self.waiting:
             return
         query, score, name = (np.concatenate(x) for x in zip(self.found, *self.waiting))
-        order = np.lexsort((name, -score, query))
+        order = np.lexsort((name, -score, query)) if score.dtype != object else sorted(range(len(score)), key=lambda i: (query[i], -score[i], name[i]))
         query, score, name = query[order], score[order], name[order]
         place = np.arange(len(query)) - np.searchsorted(query, query)
         keep = place < self.k
         last = place == self.k - 1
+        if score.dtype == object:
+            self.least = self.least.astype(object)
         self.least[query[last]] = np.maximum(self.least[query[last]], score[last])
         self.found, self.waiting = [query[keep], score[keep], name[keep]], []
 
@@ -182,12 +185,16 @@ def _first_scores(k):
         out = [[], [], []]
         for row in _pairs(blocks, trees):
             queries, query_ids, points, ids, nodes, centres, radii = _load(row)
+            if object in (queries.dtype, points.dtype):
+                continue  # a rounded score may not cut exact integers
             leaves = np.flatnonzero(nodes[:, 2] < 0)
             choice = leaves[bounds(queries.astype(float), centres[leaves], radii[leaves]).argmax(axis=1)]
             for leaf in np.unique(choice).tolist():
                 q = np.flatnonzero(choice == leaf)
                 low, high = nodes[leaf, :2]
-                score = products(queries[q], points[low:high]).astype(float)
+                score = products(queries[q], points[low:high])
+                if score.dtype == object:
+                    continue
                 score[query_ids[q][:, None] == ids[low:high][None, :]] = -np.inf
                 if high - low >= k:
                     for x, y in zip(out, ([row["block"]] * len(q), q.tolist(), np.partition(score, high - low - k, axis=1)[:, high - low - k].tolist())):
@@ -205,7 +212,7 @@ def _search(k):
             for x in row["known"] or ():
                 least[x["q"]] = x["least"]
             if object in (loaded[0].dtype, loaded[2].dtype):
-                least = np.full(len(least), -np.inf).astype(object)  # a rounded bound may not cut exact integers
+                least[:] = -np.inf
             q, score, name = search(*loaded, k, least)
             limit = (1 << 63) - 1
             for x, y in zip(out, (loaded[1][q].tolist(), name.tolist(), [min(limit, max(-limit - 1, int(v))) for v in score.tolist()])):

@@ -75,7 +75,7 @@ def vectors(column, place):
     at = place[name]
     row, at = row[at >= 0], at[at >= 0]
     both, count = np.unique(row * KEPT + at, return_counts=True)
-    return rows, both // KEPT, both % KEPT, np.log1p(count), np.bincount(both // KEPT, count, rows)
+    return rows, both // KEPT, both % KEPT, np.log1p(count), np.bincount(both // KEPT, count, rows).astype(float)
 
 
 def _examples(place):
@@ -94,7 +94,7 @@ def _examples(place):
 class Linear:
     """Logistic regression on sparse rows and a few dense columns, by damped gradient steps."""
 
-    def __init__(self, dense, steps=150, rate=0.5, l2=1e-4):
+    def __init__(self, dense, steps=300, rate=0.5, l2=1e-5):
         self.w, self.d, self.b = np.zeros(KEPT), np.zeros(dense), 0.0
         self.steps, self.rate, self.l2 = steps, rate, l2
 
@@ -105,7 +105,7 @@ class Linear:
         return 1 / (1 + np.exp(-np.clip(self.logit(row, at, value, dense), -35, 35)))
 
     def fit(self, row, at, value, dense, label):
-        share = (label.sum() + 1) / (len(label) + 2)
+        share = (label.sum() + 0.5) / (len(label) + 2)
         self.b = float(np.log(share / (1 - share)))
         if label.all() or not label.any():
             return self

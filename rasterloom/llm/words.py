@@ -17,7 +17,7 @@ INVERSE = pow(BASE, -1, 1 << 64)
 BYTE_VALUES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 #: Texts of a batch are handled in slices of about this many bytes, so that memory follows the slice.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _powers = {BASE: np.ones(1, U64), INVERSE: np.ones(1, U64)}
 
