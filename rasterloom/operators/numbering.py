@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rasterloom.operators.joins import null_safe_join
 from rasterloom.session import scratch_dir
 
 # Most rows of one group that a single task may sort.
@@ -16,7 +17,7 @@ def group_row_number(df: DataFrame, group, order, out="index", limit=MAX_SORTED_
 
     A window sorts a whole group in one task, so it serves only while the largest group is small enough
     (one number to the driver). Beyond, the table is sorted over all tasks and each slice is told how
-    many rows of its groups come before it.
+    many rows of its groups come before it. Both plans give the same rows; null groups are groups.
     """
     group, order = list(group), list(order)
     largest = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
@@ -39,6 +40,6 @@ def _by_sorted_slices(df, group, order, out):
     before = Window.partitionBy(*group).orderBy("_slice")
     starts = placed.groupBy(*group, "_slice").agg(F.count("*").alias("_n"), F.min("_pos").alias("_first"))
     shifts = starts.select(*group, "_slice", (F.sum("_n").over(before) - F.col("_n") - F.col("_first")).alias("_shift"))
-    return placed.join(shifts, [*group, "_slice"]).withColumn(out, F.col("_pos") + F.col("_shift")).drop(
+    return null_safe_join(placed, shifts, [*group, "_slice"]).withColumn(out, F.col("_pos") + F.col("_shift")).drop(
         "_at", "_slice", "_pos", "_shift"
     )

@@ -3,11 +3,12 @@
 Spark's own ``percentile`` keeps every distinct value of a group in one buffer. That is the fastest
 plan while groups are small, and the wrong one once a group outgrows an executor. ``grouped_quantile``
 therefore looks at the size of the largest group first (one number to the driver) and takes one of two
-exact plans:
+physical plans, which give the same rows, for null keys too:
 
 * small groups: one shuffle, built-in ``percentile``;
-* large groups: cut each group's value range into buckets, count per bucket (combined before the
-  shuffle), find the bucket that holds the wanted rank, and rank only the values in it.
+* large groups: a sketch brackets the wanted rank; what lies below is counted, equal values inside are
+  counted together, and only the distinct values inside are ranked. The bracket follows ranks, not
+  values, so outliers do not widen it.
 """
 
 from __future__ import annotations
@@ -15,9 +16,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rasterloom.operators.joins import null_safe_join
+
 # Most values a group may hold for the in-memory plan: some 50 MB of buffer.
 MAX_BUFFERED_VALUES = 1_000_000
-VALUE_BUCKETS = 1 << 20
+# The bracket's half width and the sketch's accuracy, as shares of a group; the width allows for the sketch's error.
+BRACKET, SKETCH = 0.002, 10_000
 
 
 def largest_group(df: DataFrame, group, member) -> int:
@@ -38,10 +42,10 @@ def grouped_quantile(
         largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     if largest <= limit:
         return df.groupBy(*keys).agg(*[F.percentile(c, F.lit(p)).alias(o) for o, c in columns.items()])
-    return _by_value_range(df, list(keys), columns, p)
+    return _by_bracket(df, list(keys), columns, p)
 
 
-def _by_value_range(df, keys, columns, p):
+def _by_bracket(df, keys, columns, p):
     names = list(columns)
     long = df.select(
         *keys,
@@ -51,48 +55,38 @@ def _by_value_range(df, keys, columns, p):
     group = [*keys, "series"]
     values = long.where(F.col("v").isNotNull())
 
-    span = values.groupBy(*group).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    # Monotone in v, so bucket order is value order.
-    slot = F.floor(F.try_divide(F.col("v") - F.col("lo"), F.col("hi") - F.col("lo")) * VALUE_BUCKETS)
-    placed = values.join(span, group).select(*group, "v", F.coalesce(slot, F.lit(0)).alias("bucket"))
-
-    upto = Window.partitionBy(*group).orderBy("bucket")
-    whole = Window.partitionBy(*group)
-    rank = p * (F.col("n") - 1)
-    wanted = (
-        placed.groupBy(*group, "bucket").agg(F.count("*").alias("m"))
-        .withColumn("below", F.sum("m").over(upto) - F.col("m"))
-        .withColumn("n", F.sum("m").over(whole))
-        .withColumn("first", F.floor(rank))
-        .withColumn("last", F.ceil(rank))
-        .where(_covers("first", "below", "m") | _covers("last", "below", "m"))
-        .drop("m")
+    # Sketches of bounded size, combined before the shuffle, bracket the wanted ranks.
+    near = [max(0.0, p - BRACKET), min(1.0, p + BRACKET)]
+    span = values.groupBy(*group).agg(F.percentile_approx("v", near, SKETCH).alias("span"), F.count("*").alias("n"))
+    lo, hi = F.get("span", F.lit(0)), F.get("span", F.lit(1))
+    # Equal values inside are one row, and so is all that lies below and all that lies above. In a small
+    # group the wanted ranks may be the last value below or the first one above.
+    side = F.when(F.col("v") < lo, -1).when(F.col("v") > hi, 1).otherwise(0)
+    counted = (
+        null_safe_join(values, span, group)
+        .groupBy(*group, "n", side.alias("side"), F.when(F.col("v").between(lo, hi), F.col("v")).alias("inside"))
+        .agg(F.count("*").alias("m"), F.min("v").alias("least"), F.max("v").alias("most"))
     )
+    upto = Window.partitionBy(*group).orderBy("side", "inside")
+    rank = p * (F.col("n") - 1)
+    ranked = counted.withColumns({
+        "start": F.sum("m").over(upto) - F.col("m"), "first": F.floor(rank), "last": F.ceil(rank),
+    })
 
-    in_bucket = Window.partitionBy(*group, "bucket").orderBy("v")
-    picked = (
-        placed.join(wanted, [*group, "bucket"])
-        .groupBy(*group, "bucket", "below", "n", "first", "last", "v").agg(F.count("*").alias("m"))
-        .withColumn("start", F.col("below") + F.sum("m").over(in_bucket) - F.col("m"))
-        .groupBy(*group, "n", "first", "last")
-        .agg(
-            F.max(F.when(_covers("first", "start", "m"), F.col("v"))).alias("a"),
-            F.max(F.when(_covers("last", "start", "m"), F.col("v"))).alias("b"),
-        )
-    )
+    def at(wanted):
+        first_of, last_of = F.col(wanted) == F.col("start"), F.col(wanted) == F.col("start") + F.col("m") - 1
+        inside = (F.col("side") == 0) & _covers(wanted, "start", "m")
+        return F.max(F.when(inside | ((F.col("side") == 1) & first_of), F.col("least")).when((F.col("side") == -1) & last_of, F.col("most")))
+
+    picked = ranked.groupBy(*group, "n", "first", "last").agg(at("first").alias("a"), at("last").alias("b"))
     value = F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(
         (F.col("last") - rank) * F.col("a") + (rank - F.col("first")) * F.col("b")
     )
-    answers = picked.select(*group, value.alias("q"))
-    # Groups without any value stay in the result, with nulls.
-    return (
-        long.select(*keys).distinct().join(
-            answers.groupBy(*keys).agg(
-                *[F.max(F.when(F.col("series") == i, F.col("q"))).alias(o) for i, o in enumerate(names)]
-            ),
-            keys, "left",
-        )
+    answers = picked.select(*group, value.alias("q")).groupBy(*keys).agg(
+        *[F.max(F.when(F.col("series") == i, F.col("q"))).alias(o) for i, o in enumerate(names)]
     )
+    # Groups without any value stay in the result, with nulls.
+    return null_safe_join(long.select(*keys).distinct(), answers, keys, "left")
 
 
 def _covers(rank, start, count):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rasterloom.functions import names
@@ -53,10 +53,12 @@ def difference_processed(keys: DataFrame, done: DataFrame) -> DataFrame:
 def anti_new_scenes(catalog: DataFrame, done: DataFrame) -> DataFrame:
     """Scenes whose time stamp (14 characters of the subset id) is not stored yet.
 
-    Only the stamp counts, so two scenes of one second are one.
+    Only the stamp counts, so a scene is dropped with any stored one of its second; several new scenes
+    of one second all stay. ``done`` without a region counts for all regions.
     """
     stamp = F.substring("subset_id", 1, names.STAMP_LENGTH).alias("stamp")
-    return catalog.withColumn("stamp", stamp).join(done.select("region", stamp), ["region", "stamp"], "left_anti").drop("stamp")
+    keys = ["region", "stamp"] if "region" in done.columns else ["stamp"]
+    return catalog.withColumn("stamp", stamp).join(done.withColumn("stamp", stamp).select(*keys), keys, "left_anti").drop("stamp")
 
 
 def shared_tiles(scenes: DataFrame, region_tiles: DataFrame) -> DataFrame:
@@ -123,8 +125,3 @@ def filter_coverage(coverage: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 def filter_template_coverage(coverage: DataFrame, threshold: float = 0.95) -> DataFrame:
     return coverage.where(F.col("coverage") >= threshold)
-
-
-def row_numbers(df: DataFrame, order, partition=()) -> DataFrame:
-    """0-based position. Without a partition it sorts one task's worth of rows: region lists only."""
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*partition).orderBy(*order)) - 1)

@@ -45,7 +45,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 def scene_selection(catalog: DataFrame, regions: DataFrame, done: DataFrame, cfg=Settings()) -> DataFrame:
     """Catalogue to new scenes per region: platform, overlap, id, minus what is stored.
 
-    ``catalog`` is flat and carries the footprint ring with its bounding box.
+    ``catalog`` is flat and carries the footprint ring with its bounding box. ``done`` holds stored
+    subset ids, with a ``region`` if they count for that region only.
     """
     usable = cat_ops.filter_platforms(catalog)
     near = spatial.filter_intersect_fraction(spatial.join_footprint_overlap(usable, regions, cfg.bin_size), cfg.min_overlap)

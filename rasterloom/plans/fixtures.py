@@ -27,17 +27,11 @@ TABLES = {
     "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
     "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT",
 }
-_splits = {}
 
 
 def table(spark, d, name):
-    """A given table. One that arrives in fewer splits than there are cores is spread over them."""
-    path = f"{d}/{name}.parquet"
-    df = spark.read.schema(TABLES[name]).parquet(path)
-    if path not in _splits:
-        _splits[path] = df.rdd.getNumPartitions()
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if name != "nation" and _splits[path] < cores else df
+    """A given table."""
+    return spark.read.schema(TABLES[name]).parquet(f"{d}/{name}.parquet")
 
 
 def _site(field_id):

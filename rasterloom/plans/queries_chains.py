@@ -34,17 +34,17 @@ def _(spark, d):
     catalog = fx.catalog(spark, d).withColumn("instruments", F.array("instrument")).withColumn("scene_no", F.col("user_id") + 1)
     regions = fx.regions(spark, d)
     # What is stored counts for every region.
-    stored = fx.done(spark, d).select(F.date_format("ts", "yyyyMMddHHmmss").alias("subset_id"))
-    names = F.split(F.lit(",".join(f"{k:03d}_NATION_{k}" for k in range(25))), ",")
-    done = stored.select(F.explode(names).alias("region"), "subset_id")
+    done = fx.done(spark, d).select(F.date_format("ts", "yyyyMMddHHmmss").alias("subset_id"))
     picked = chains.scene_selection(catalog.join(boxes, "scene_no"), regions, done)
     return picked.select("region", "subset_id")
 
 
 @query("chain_mosaic_clip", """
     WITH t AS (SELECT s.event_id, s.name, left(s.name, 37) AS k, s.tile, e.iy, e.ix, e.value
-               FROM scenes s JOIN (SELECT field_id, iy, ix, CASE WHEN abs(value) >= 1 THEN abs(value) END AS value FROM px WHERE component = 'dx') e
-               ON e.field_id = s.event_id),
+               FROM (SELECT name, tile, min(event_id) AS event_id FROM scenes GROUP BY ALL) s
+               JOIN (SELECT field_id, iy, ix, CASE WHEN speed >= 1 THEN speed END AS value
+                                   FROM (SELECT *, sqrt(dx * dx + dy * dy) AS speed FROM pw)) e
+               ON e.field_id = s.event_id % (SELECT count(*) FROM fields)),
     m AS (SELECT p.region, t.k, t.iy, t.ix, arg_min(t.value, p.rank) FILTER (t.value IS NOT NULL) AS value
           FROM t JOIN tiles p ON p.tile = t.tile GROUP BY ALL),
     c AS (SELECT m.*, r.area_km2 FROM m JOIN reg r USING (region) WHERE m.ix >= 1 AND m.iy >= 1),
@@ -52,15 +52,16 @@ def _(spark, d):
     lin AS (SELECT region, k, string_agg(name || '_B08.tif', ',' ORDER BY rank, name) AS sources
             FROM (SELECT DISTINCT p.region, t.k, p.rank, t.name FROM t JOIN tiles p ON p.tile = t.tile) GROUP BY ALL)
     SELECT c.region, c.k AS mosaic_key, c.iy - 1 AS iy, c.ix - 1 AS ix, c.value, lin.sources
-    FROM c JOIN good USING (region, k) JOIN lin USING (region, k)""", ["scenes", "px", "tiles", "reg"])
+    FROM c JOIN good USING (region, k) JOIN lin USING (region, k)""", ["scenes", "pw", "fields", "tiles", "reg"])
 def _(spark, d):
-    scenes = fx.scenes(spark, d).select("event_id", "name", "tile")
-    cells = fx.px(spark, d).where("component = 'dx'").select(
-        F.col("field_id").alias("event_id"), "iy", "ix", F.when(F.abs("value") >= 1, F.abs("value")).alias("value"))
-    px = scenes.join(cells, "event_id").drop("event_id")
+    # Every scene has an image: the speed of one of the fields.
+    n = fx.fields(spark, d).count()
+    scenes = fx.scenes(spark, d).groupBy("name", "tile").agg((F.min("event_id") % n).alias("field_id"))
+    speed = F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy"))
+    cells = fx.px_wide(spark, d).select("field_id", "iy", "ix", F.when(speed >= 1, speed).alias("value"))
+    px = scenes.join(cells, "field_id").drop("field_id")
     template = Grid(100.0, 700.0, 100.0, W - 1, H - 1)
-    used = scenes.join(fx.fields(spark, d).select(F.col("field_id").alias("event_id")), "event_id", "left_semi")
-    clipped, lineage = chains.mosaic_clip(px, used.drop("event_id"), fx.regions(spark, d), SRC, template, 40e6)
+    clipped, lineage = chains.mosaic_clip(px, scenes.drop("field_id"), fx.regions(spark, d), SRC, template, 40e6)
     return clipped.join(lineage.select("region", "mosaic_key", "sources"), ["region", "mosaic_key"])
 
 
@@ -127,7 +128,7 @@ def _(spark, d):
 # Landsat metas: the first scene of a field by its number, the second fixed; every seventh is of another instrument.
 META_SQL = """
     SELECT field_id, region, t1, t2, -day_sep AS day_sep, 'LC08' AS satellite1, lpad(CAST(field_id % 1000 AS VARCHAR), 6, '0') AS orbit1
-    FROM times WHERE orbit1 <> 7 AND t1 >= TIMESTAMP '2020-01-02' AND t2 <= TIMESTAMP '2022-01-01'"""
+    FROM times WHERE orbit1 <> 7 AND t1 >= TIMESTAMP '2020-01-02' AND t2 <= (SELECT date_trunc('day', max(t1)) FROM times)"""
 WEIGHTED_SQL = """
     WITH k AS (SELECT a.iy AS ty, a.ix AS tx, c.iy, c.ix, (1 - abs(a.iy + 0.25 - c.iy)) * (1 - abs(a.ix + 0.25 - c.ix)) AS w
                FROM cells a JOIN cells c ON abs(a.iy + 0.25 - c.iy) < 1 AND abs(a.ix + 0.25 - c.ix) < 1),
@@ -151,11 +152,13 @@ def _(spark, d):
     times = fx.field_times(spark, d)
     stamp = "yyyyMMddHHmmss"
     good = times.select("region", "field_id", F.concat_ws("_", F.lit("pair"), F.date_format("datetime_1", stamp), F.date_format("datetime_2", stamp)).alias("id"))
+    # The period ends with the data: on the day the last pair begins.
+    last = str(times.agg(F.max("datetime_1").cast("date")).first()[0])
     path_row = F.lpad((F.col("field_id") % 1000).cast("string"), 6, "0")
     current = F.concat(F.lit("20200101000000_LC8"), path_row, F.lit("2020001LGN00_LC08_L1TP_"), path_row, F.lit("_20200101_20200114_01_T1_ortho"))
     aster = F.lit("20200101000000_AST_scene")
     metas = times.select("region", "field_id", F.array(F.when(F.col("orbit1") == 7, aster).otherwise(current), current).alias("ids"))
-    pixels, fields = chains.cube_landsat(fx.px_wide(spark, d), good, metas, fx.masks(spark, d), SRC, SHIFTED, "2020-01-02", "2022-01-01")
+    pixels, fields = chains.cube_landsat(fx.px_wide(spark, d), good, metas, fx.masks(spark, d), SRC, SHIFTED, "2020-01-02", last)
     cells = pixels.groupBy("region", "field_id").agg(F.count("vx").alias("n_cells"))
     return fields.join(cells, ["region", "field_id"]).select(
         "id", "index", "scene_1_orbit", "scene_1_satellite", "baseline_days",
@@ -178,12 +181,17 @@ def _(spark, d):
 
 
 @query("stream_new_scenes", """
-    SELECT region, min(name) AS name, strftime(min(ts), '%Y%m%d%H%M%S') AS stamp FROM scene_cols GROUP BY region, datetime""", ["scene_cols"])
+    SELECT region, name, strftime(ts, '%Y%m%d%H%M%S') AS stamp FROM scene_cols s
+    WHERE NOT EXISTS (SELECT 1 FROM scene_cols d WHERE d.is_done AND d.region = s.region AND d.datetime = s.datetime)
+    GROUP BY ALL
+    UNION ALL SELECT region, name, strftime(ts, '%Y%m%d%H%M%S') FROM scene_cols WHERE is_done GROUP BY ALL""", ["scene_cols"])
 def _(spark, d):
-    schema = fx.table(spark, d, "events").schema
-    landed = new_scenes.read_landing(spark, d, schema, "events.parquet")
-    scenes = fx.name_scenes(landed).select(F.col("tile").alias("region"), "name")
+    # A first job stores the finished scenes; a second one finds all scenes, in several batches.
     out = scratch_dir(spark, "new-scenes")
-    job = new_scenes.stream_new_scenes(scenes, f"{out}/table", f"{out}/checkpoint")
-    job.awaitTermination()
+    events = fx.table(spark, d, "events")
+    for job, rows in (("stored", fx.done(spark, d).select("event_id")), ("landing", events.select("event_id"))):
+        events.join(rows, "event_id").repartition(4).write.parquet(f"{out}/{job}")
+        landed = new_scenes.read_landing(spark, f"{out}/{job}", events.schema, files_per_batch=1)
+        scenes = fx.name_scenes(landed).select(F.col("tile").alias("region"), "name")
+        new_scenes.stream_new_scenes(scenes, f"{out}/table", f"{out}/checkpoint-{job}").awaitTermination()
     return spark.read.parquet(f"{out}/table").select("region", "name", "stamp")

@@ -219,17 +219,17 @@ def _(spark, d):
     return kept.select("field_id", "component", "iy", "ix", "value")
 
 
-# Four neighbouring fields form one mosaic; weak cells lie outside their tile.
+# Four neighbouring fields form one mosaic of each component; weak cells lie outside their tile.
 TILE_SQL = """
-    SELECT field_id // 4 AS mosaic_key, field_id AS tile, (field_id * 7) % 4 AS rank, iy, ix,
-           CASE WHEN abs(value) >= 1 THEN value END AS value FROM px WHERE component = 'dx'"""
+    SELECT (field_id // 4) || component AS mosaic_key, field_id AS tile, (field_id * 7) % 4 AS rank, iy, ix,
+           CASE WHEN abs(value) >= 1 THEN value END AS value FROM px"""
 FIRST_SQL = "arg_min(value, {order}) FILTER (value IS NOT NULL)"
 
 
 def tile_px(spark, d):
     f = F.col("field_id")
-    return fx.px(spark, d).where("component = 'dx'").select(
-        F.floor(f / 4).alias("mosaic_key"), f.alias("tile"), ((f * 7) % 4).alias("rank"), "iy", "ix",
+    return fx.px(spark, d).select(
+        F.concat(F.floor(f / 4), "component").alias("mosaic_key"), f.alias("tile"), ((f * 7) % 4).alias("rank"), "iy", "ix",
         F.when(F.abs("value") >= 1, F.col("value")).alias("value"))
 
 
@@ -269,8 +269,9 @@ def _(spark, d):
     east = F.when(F.col("zone") == 22, 612000.0).otherwise(384000.0)
     placed = px.withColumns({"x": east + (F.col("ix") + 0.5) * 2000, "y": 7776000.0 - (F.col("iy") + 0.5) * 2000})
     f = F.col("field_id")
-    tiles = fx.fields(spark, d).select(
-        F.floor(f / 4).alias("mosaic_key"), f.alias("tile"), ((f * 7) % 4).alias("rank"),
+    component = F.explode(F.array(F.lit("dx"), F.lit("dy"))).alias("component")
+    tiles = fx.fields(spark, d).select("field_id", component).select(
+        F.concat(F.floor(f / 4), "component").alias("mosaic_key"), f.alias("tile"), ((f * 7) % 4).alias("rank"),
     ).withColumn("zone", F.when(F.col("rank") < 2, 22).otherwise(23))
     return mosaic.mosaic_two_zone(placed.select("mosaic_key", "tile", "x", "y", "value"), tiles, POLAR)
 

@@ -152,17 +152,18 @@ def _(spark, d):
     return quality.qa_validate_spec(observed(spark, d), customers(spark, d).select("unit"), ["unit"], ATTRIBUTES)
 
 
-# Rasters: one per field; some blank, some constant, some written twice.
+# Rasters: one per field and component; some blank, some constant, some written twice.
 def rasters(spark, d):
-    px = imagery(spark, d).where("component = 'dx'")
-    f = F.col("field_id")
+    px = imagery(spark, d)
+    f = F.col("field_id") * 2 + (F.col("component") == "dy").cast("int")
     v = F.when(f % 31 == 3, 0).when(f % 31 == 5, 7).when(f % 31 == 9, F.col("iy") * 10 + F.col("ix")).otherwise(F.col("v"))
     return px.select("region", f.alias("raster"), "iy", "ix", v.alias("value"))
 
 
 RASTER_SQL = """
-    SELECT region, field_id AS raster, iy, ix, CASE field_id % 31 WHEN 3 THEN 0 WHEN 5 THEN 7 WHEN 9 THEN iy * 10 + ix
-           ELSE CAST(floor(abs(coalesce(value, 0)) * 1000) AS INTEGER) END AS v FROM px WHERE component = 'dx'"""
+    SELECT region, raster, iy, ix, CASE raster % 31 WHEN 3 THEN 0 WHEN 5 THEN 7 WHEN 9 THEN iy * 10 + ix
+           ELSE CAST(floor(abs(coalesce(value, 0)) * 1000) AS INTEGER) END AS v
+    FROM (SELECT *, field_id * 2 + CASE component WHEN 'dy' THEN 1 ELSE 0 END AS raster FROM px)"""
 
 
 @query("qa_raster_sanity", f"""
@@ -174,8 +175,8 @@ RASTER_SQL = """
              CASE WHEN valid = 0 THEN 'entirely nodata' WHEN lo = hi THEN 'constant ' || lo END,
              CASE WHEN raster <> first THEN 'same as ' || first END) AS problems FROM k""", ["px"])
 def _(spark, d):
-    f = F.col("field_id")
-    meta = fx.fields(spark, d).select(
+    f = F.col("raster")
+    meta = fx.fields(spark, d).withColumn("raster", F.explode(F.array(F.col("field_id") * 2, F.col("field_id") * 2 + 1))).select(
         "region", f.alias("raster"), F.lit("EPSG:3413").alias("crs"), F.when(f % 23 == 1, 15.0).otherwise(10.0).alias("res"),
         F.when(f % 29 == 2, "float32").otherwise("uint16").alias("dtype"), F.lit(0).alias("nodata"), F.lit(1).alias("bands"))
     return quality.qa_raster_sanity(rasters(spark, d), meta, quality.RASTER_RULES["sentinel2"])

@@ -5,19 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Cuts one region's rows into several files and tasks, so a large region is never one task.
-REGION_SLICES = 16
+def _rebalanced(df: DataFrame, *keys) -> DataFrame:
+    """Rows of one key together, as far as a task's fair share allows: Spark cuts large keys by measured size and joins small ones."""
+    return df.hint("rebalance", *[F.col(k) for k in keys])
 
 
-def sink_by_region(df: DataFrame, path: str, order=(), slices: int = REGION_SLICES) -> None:
-    """One folder per region.
+def _overwrite(df: DataFrame, *keys):
+    """Replaces the folders that the rows belong to, and leaves all others alone."""
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys)
 
-    Rows go to (region, slice of their content), which spreads a dominant region over many tasks and
-    still leaves few files per region.
+
+def sink_by_region(df: DataFrame, path: str, order=()) -> None:
+    """One folder per region, with as many files as its size asks for.
+
+    Files are sorted; across the files of a region the order is that of ``order`` only within each.
     """
-    key = F.pmod(F.xxhash64(*[c for c in df.columns if c != "region"]), F.lit(slices))
-    placed = df.withColumn("_slice", key).repartition("region", "_slice").drop("_slice")
-    placed.sortWithinPartitions("region", *order).write.mode("overwrite").partitionBy("region").parquet(path)
+    _overwrite(_rebalanced(df, "region").sortWithinPartitions("region", *order), "region").parquet(path)
 
 
 def sink_catalog_results(catalog: DataFrame, path: str) -> None:
@@ -32,7 +35,7 @@ def sink_lineage(lineage: DataFrame, path: str) -> None:
 
 def sink_field_metadata(documents: DataFrame, path: str, keys=("region",)) -> None:
     """One JSON document per field, as JSON lines."""
-    documents.write.mode("overwrite").partitionBy(*keys).text(path)
+    _overwrite(_rebalanced(documents, *keys), *keys).text(path)
 
 
 def sink_cube(pixels: DataFrame, fields: DataFrame, path: str, rows_per_slice: int = 64, fields_per_slice: int = 1024) -> None:
@@ -51,8 +54,8 @@ def sink_cube(pixels: DataFrame, fields: DataFrame, path: str, rows_per_slice: i
 
 
 def _write_cube(df, where, order, path):
-    sorted_rows = df.sortWithinPartitions(*where, *order)
-    sorted_rows.write.mode("overwrite").partitionBy(*where).option("compression", "zstd").parquet(path)
+    """Years that are not delivered again stay as they are."""
+    _overwrite(df.sortWithinPartitions(*where, *order), *where).option("compression", "zstd").parquet(path)
 
 
 def split_failures(units: DataFrame, error="error"):
@@ -61,6 +64,6 @@ def split_failures(units: DataFrame, error="error"):
     return good, units.where(F.col(error).isNotNull())
 
 
-def sink_failures(failures: DataFrame, path: str) -> None:
-    """Append to the failure table."""
-    failures.write.mode("append").parquet(path)
+def sink_failures(failures: DataFrame, path: str, run: str) -> None:
+    """Add a run's failures to the table. A retry of the run replaces its own rows."""
+    failures.write.mode("overwrite").parquet(f"{path}/run={run}")

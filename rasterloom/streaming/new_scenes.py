@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,31 +11,46 @@ from pyspark.sql import types as T
 from rasterloom.functions import names
 
 
-def read_landing(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet") -> DataFrame:
+def read_landing(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
     """File stream over a landing folder."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
 
 
 def stream_new_scenes(scenes: DataFrame, table: str, checkpoint: str, key: str = "stamp"):
-    """Append scenes with a new key to a Parquet table, then stop once the folder is drained.
+    """Append scenes whose key is not stored yet to a Parquet table, then stop once the folder is drained.
+
+    ``scenes`` holds ``region, name``. As in ``anti_new_scenes``, stored means stored before the job
+    began: several new scenes of one second are all kept, however the files fall into batches. Within
+    the job a scene is kept once by its full name.
 
-    ``scenes`` holds ``region, name``. The state is the table itself: each batch drops what the table
-    has, so no streaming state grows with time. A batch writes its own folder and overwrites it on a
-    retry, which keeps every scene exactly once after a failure.
+    The state is the table itself, so no streaming state grows with time. It is partitioned by day and
+    job and batch; a batch reads the days it holds scenes of, and no others. A job that fails is started
+    again on its checkpoint: what it stored then counts as stored, and a batch is stored whole or not
+    at all, so every scene is kept exactly once.
     """
     parsed = scenes.select("*", *names.scene_name_columns(F.col("name")))
     keyed = parsed.withColumn(key, F.regexp_replace("datetime", r"\D", ""))
+    keyed = keyed.withColumn("day", F.substring(key, 1, 8))
 
     spark = scenes.sparkSession
-    # An empty first folder gives the table its columns; a later run leaves the table as it is.
-    spark.createDataFrame([], keyed.schema).write.mode("ignore").parquet(f"{table}/batch=-1")
-    columns = T.StructType([*keyed.schema.fields, T.StructField("batch", T.LongType())])
+    rest = [f for f in keyed.schema.fields if f.name != "day"]
+    columns = T.StructType([*rest, T.StructField("day", T.StringType()), T.StructField("job", T.StringType()), T.StructField("batch", T.LongType())])
+    # An empty folder gives the table its columns; a later job leaves the table as it is.
+    spark.createDataFrame([], T.StructType(rest)).write.mode("ignore").parquet(f"{table}/day=none/job=none/batch=-1")
+    job = f"{time.time_ns()}"
 
     def append(batch: DataFrame, batch_id: int):
-        first = batch.groupBy("region", key).agg(F.min_by(F.struct(*batch.columns), "name").alias("s")).select("s.*")
+        once = batch.groupBy("region", "name").agg(F.any_value(F.struct(*batch.columns)).alias("s")).select("s.*")
+        days = [r.day for r in once.select("day").distinct().collect()]  # a batch spans few days, and at most all days
+        stored = batch.sparkSession.read.schema(columns).parquet(table).where(F.col("day").isin(days))
+        before = stored.where(F.col("job") != job).select("region", key)
         # Only earlier batches count, so a retried batch is not its own past.
-        stored = batch.sparkSession.read.schema(columns).parquet(table).where(F.col("batch") < batch_id)
-        fresh = first.join(stored.select("region", key), ["region", key], "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
+        mine = stored.where((F.col("job") == job) & (F.col("batch") < batch_id)).select("region", "name")
+        fresh = once.join(before, ["region", key], "left_anti").join(mine, ["region", "name"], "left_anti")
+        fresh = fresh.select(*[f.name for f in rest], "day", F.lit(job).alias("job"), F.lit(batch_id).alias("batch"))
+        fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "job", "batch").parquet(table)
 
     return keyed.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -20,20 +20,20 @@ def skewed(spark, n=6000):
     key = np.where(rng.random(n) < 1 / 3, 0, rng.integers(1, 40, n))
     v = np.round(rng.normal(size=n), 2)
     v[::50] = np.nan
-    v[1] = 1e9
+    v[1] = 1e300
     frame = pd.DataFrame({"k": key, "v": v, "w": rng.integers(0, 9, n).astype(float)})
     df = spark.createDataFrame(frame).withColumn("v", F.when(~F.isnan("v"), F.col("v")))
-    empty = spark.createDataFrame([(99, None, None)], "k long, v double, w double")
-    return df.union(empty)
+    more = [(99, None, None), (None, 5.0, 1.0), (None, 7.0, None), (None, None, 2.0)]
+    return df.union(spark.createDataFrame(more, "k long, v double, w double"))
 
 
 @pytest.mark.parametrize("p", [0.0, 0.25, 0.5, 0.95, 1.0])
-def test_quantile_by_value_range_is_exact(spark, p):
+def test_quantile_by_bracket_is_exact(spark, p):
     df = skewed(spark).cache()
     columns = {"a": "v", "b": "w"}
     small = {r.k: (r.a, r.b) for r in quantiles.grouped_quantile(df, ["k"], columns, p).collect()}
     large = {r.k: (r.a, r.b) for r in quantiles.grouped_quantile(df, ["k"], columns, p, limit=0).collect()}
-    assert small == large and large[99] == (None, None)
+    assert small == large and large[99] == (None, None) and large[None][0] is not None and len(large) == 42
 
 
 def test_median_does_not_depend_on_order(spark):
@@ -47,7 +47,9 @@ def test_numbering_by_sorted_slices(spark):
     df = skewed(spark).withColumn("id", F.monotonically_increasing_id())
     small = group_row_number(df, ["k"], ["w", "id"])
     large = group_row_number(df, ["k"], ["w", "id"], limit=0)
-    assert {(r.id, r["index"]) for r in small.collect()} == {(r.id, r["index"]) for r in large.collect()}
+    rows = {(r.id, r["index"]) for r in large.collect()}
+    assert {(r.id, r["index"]) for r in small.collect()} == rows and len(rows) == 6004
+    assert sorted(r["index"] for r in large.where("k is null").collect()) == [0, 1, 2]
 
 
 def brute_median(grid):

@@ -41,22 +41,23 @@ def test_listing_reads_names_only(spark, tmp_path):
 def test_a_large_region_is_written_by_many_tasks(spark, tmp_path):
     df = spark.range(2000).select(F.when(F.col("id") < 1900, "big").otherwise("small").alias("region"), "id")
     out = str(tmp_path / "t")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small slices would be merged
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")  # what a task's share is
     try:
-        sinks.sink_by_region(df, out)
+        sinks.sink_by_region(df.repartition(8), out)
+        sinks.sink_by_region(df.where("region = 'small'"), out)
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     back = spark.read.parquet(out)
     assert back.count() == 2000
     assert back.where("region = 'big'").select(F.input_file_name()).distinct().count() > 1
 
 
-def test_failures_append_and_keep_the_rest(spark, tmp_path):
+def test_failures_add_up_by_run_and_keep_the_rest(spark, tmp_path):
     units = spark.createDataFrame([("a", None), ("b", "broken")], "unit string, error string")
     good, failed = sinks.split_failures(units)
     out = str(tmp_path / "f")
-    sinks.sink_failures(failed, out)
-    sinks.sink_failures(failed, out)
+    for run in ("1", "2", "2"):  # a retry of the second
+        sinks.sink_failures(failed, out, run)
     assert [r.unit for r in good.collect()] == ["a"] and spark.read.parquet(out).count() == 2
 
 
@@ -74,8 +75,8 @@ def test_scratch_follows_the_cluster_setting():
 NAME = "S2A_MSIL2A_202001{:02d}T101010_N0214_R083_T22VFP"
 
 
-def run(spark, tmp_path):
-    scenes = new_scenes.read_landing(spark, str(tmp_path / "in"), schemas.struct({"region": schemas.S, "name": schemas.S}))
+def run(spark, tmp_path, **options):
+    scenes = new_scenes.read_landing(spark, str(tmp_path / "in"), schemas.struct({"region": schemas.S, "name": schemas.S}), **options)
     job = new_scenes.stream_new_scenes(scenes, str(tmp_path / "table"), str(tmp_path / "cp"))
     job.awaitTermination()
     return spark.read.parquet(str(tmp_path / "table"))
@@ -110,3 +111,15 @@ def test_a_repeated_batch_adds_nothing(spark, tmp_path):
 @pytest.mark.parametrize("name", ["vx", "vy"])
 def test_cube_schema_is_narrow(name):
     assert schemas.CUBE_PIXELS[name].dataType.typeName() == "float"
+
+
+def test_stream_keeps_all_scenes_of_a_second_whatever_the_batches(spark, tmp_path):
+    land(spark, tmp_path, [1])
+    assert run(spark, tmp_path).count() == 1
+    # The same second as a stored scene, and two new scenes of one second, each in a file of its own.
+    for orbit, day in (("R077", 1), ("R077", 5), ("R078", 5), ("R078", 5)):
+        name = NAME.format(day).replace("R083", orbit)
+        spark.createDataFrame([("r", name)], "region string, name string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    found = run(spark, tmp_path, files_per_batch=1).collect()
+    assert sorted((r.stamp[:8], r.orbits) for r in found) == [("20200101", "083"), ("20200105", "077"), ("20200105", "078")]
+    assert len({(r.job, r.batch) for r in found}) == 3
