@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rasterloom.functions import vector
+from rasterloom.operators.offsets import area
 
 FIELD = ["region", "field_id"]
-CELL = ["region", "iy", "ix"]
 MAX_ANGLE = 20.0
 MIN_ICE_SHARE = 0.01
 ERROR_COLUMNS = ("mag_rmse", "dx_mean", "dx_sd", "dy_mean", "dy_sd")
@@ -19,9 +19,10 @@ DISPLACEMENT_COLUMNS = (
 
 
 def join_offsets(px_wide: DataFrame, pairs: DataFrame, offsets: DataFrame) -> DataFrame:
-    """Attach the orbit pair's offset; fields of pairs without one are dropped."""
-    known = pairs.select(*FIELD, "orbit_pair", "day_sep")
-    return px_wide.join(known, FIELD).join(offsets, ["region", "orbit_pair", "iy", "ix"])
+    """Attach the orbit pair's offset, of the field's epoch if there are epochs; fields of pairs without one are dropped."""
+    keys = [*area(pairs), "orbit_pair"]
+    known = pairs.select(*keys, "field_id", "day_sep")
+    return px_wide.join(known, FIELD).join(offsets, [*keys, "iy", "ix"])
 
 
 def apply_offset(px_wide: DataFrame) -> DataFrame:
@@ -76,7 +77,7 @@ def landsat_valid(px_wide: DataFrame) -> DataFrame:
 
 
 def join_flow_reference(px_wide: DataFrame, flow: DataFrame) -> DataFrame:
-    return px_wide.join(flow, CELL, "left")
+    return px_wide.join(flow, [*area(flow), "iy", "ix"], "left")
 
 
 def flow_filter(px: DataFrame, max_angle: float = MAX_ANGLE) -> DataFrame:

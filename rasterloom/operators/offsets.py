@@ -13,6 +13,11 @@ from rasterloom.operators.quantiles import grouped_quantile, largest_group
 CELL = ["region", "iy", "ix"]
 
 
+def area(df: DataFrame) -> list:
+    """What is estimated apart: the region and, where rows carry one, the elevation-model epoch."""
+    return ["region", "epoch"] if "epoch" in df.columns else ["region"]
+
+
 def median_composite(px: DataFrame, keys=("region", "component", "iy", "ix"), largest=None) -> DataFrame:
     """Per-cell median over all fields, nulls ignored.
 
@@ -46,27 +51,29 @@ def a_priori_field(px: DataFrame, pairs: DataFrame, width: int, height: int) ->
     """Median of the repeat-track fields per cell, 3x3-filtered before and after.
 
     ``px`` is long with components dx, dy and dmag: speed is the median of speeds, not the speed of
-    the medians.
+    the medians. Pairs with an ``epoch`` give one field per epoch.
     """
-    repeat = pairs.where("orbit_match = 1").select("region", "field_id")
-    largest = largest_group(repeat, ["region"], "field_id")
+    keys = area(pairs)
+    repeat = pairs.where("orbit_match = 1").select(*keys, "field_id")
+    largest = largest_group(repeat, keys, "field_id")
     smooth = box_median_3x3(
-        px.join(repeat, ["region", "field_id"]), ["region", "field_id", "component"], width, height
+        px.join(repeat, ["region", "field_id"]), [*keys, "field_id", "component"], width, height
     )
-    composite = median_composite(smooth, largest=largest)
-    return box_median_3x3(composite, ["region", "component"], width, height)
+    composite = median_composite(smooth, [*keys, "component", "iy", "ix"], largest)
+    return box_median_3x3(composite, [*keys, "component"], width, height)
 
 
 def flow_reference(a_priori: DataFrame) -> DataFrame:
     """Reference direction per cell from the a priori components."""
-    wide = to_wide(a_priori, CELL)
-    return wide.select(*CELL, vector.flow_direction(F.col("dx"), F.col("dy")).alias("flow_ref"))
+    keys = [*area(a_priori), "iy", "ix"]
+    wide = to_wide(a_priori, keys)
+    return wide.select(*keys, vector.flow_direction(F.col("dx"), F.col("dy")).alias("flow_ref"))
 
 
 def join_a_priori(px: DataFrame, a_priori: DataFrame) -> DataFrame:
     """Difference of every value from the a priori field (a priori minus value)."""
     reference = a_priori.withColumnRenamed("value", "median")
-    return px.join(reference, ["region", "component", "iy", "ix"]).withColumn("diff", F.col("median") - F.col("value"))
+    return px.join(reference, [*area(a_priori), "component", "iy", "ix"]).withColumn("diff", F.col("median") - F.col("value"))
 
 
 def to_displacement(px: DataFrame, pairs: DataFrame, columns=("value",)) -> DataFrame:
@@ -81,24 +88,27 @@ def orbit_pair_offset(
     """Per cell, the median displacement offset of every orbit pair with enough fields.
 
     Both components travel in one row. The fields of an orbit pair bound each group, and they are
-    counted on the pair table, before any pixel is read.
+    counted on the pair table, before any pixel is read. Pairs with an ``epoch`` are counted, compared
+    and averaged within it.
     """
-    enough = min_samples(pairs, min_fields)
-    used = pairs.join(enough, ["region", "orbit_pair"]).select("region", "field_id", "orbit_pair", "day_sep")
+    keys = [*area(pairs), "orbit_pair"]
+    enough = min_samples(pairs, min_fields, keys)
+    used = pairs.join(enough, keys).select(*keys, "field_id", "day_sep")
     largest = enough.agg(F.max("n_fields")).first()[0] or 0
-    reference = to_wide(a_priori, CELL, suffix="_ref")
-    moved = px_wide.join(used, ["region", "field_id"]).join(reference, CELL).select(
-        "region", "orbit_pair", "iy", "ix",
+    cell = [*area(pairs), "iy", "ix"]
+    reference = to_wide(a_priori, cell, suffix="_ref")
+    moved = px_wide.join(used, ["region", "field_id"]).join(reference, cell).select(
+        *keys, "iy", "ix",
         *[((F.col(f"{c}_ref") - F.col(c)) * F.col("day_sep")).alias(c) for c in ("dx", "dy")],
     )
     return grouped_quantile(
-        moved, ["region", "orbit_pair", "iy", "ix"], {"dx_offset": "dx", "dy_offset": "dy"}, largest=largest
+        moved, [*keys, "iy", "ix"], {"dx_offset": "dx", "dy_offset": "dy"}, largest=largest
     )
 
 
 def offset_magnitude(offsets: DataFrame) -> DataFrame:
     return offsets.select(
-        "region", "orbit_pair", "iy", "ix",
+        *area(offsets), "orbit_pair", "iy", "ix",
         vector.magnitude(F.col("dx_offset"), F.col("dy_offset")).alias("offset_mag"),
     )
 
@@ -106,5 +116,6 @@ def offset_magnitude(offsets: DataFrame) -> DataFrame:
 def speed_p95_ceil10(a_priori: DataFrame, largest=None) -> DataFrame:
     """95th percentile of the a priori speed per region, up to the next ten."""
     speed = a_priori.where("component = 'dmag'")
-    top = grouped_quantile(speed, ["region"], {"p95": "value"}, p=0.95, largest=largest)
-    return top.select("region", "p95", (F.ceil(F.col("p95") / 10) * 10.0).cast("double").alias("vmax"))
+    keys = area(a_priori)
+    top = grouped_quantile(speed, keys, {"p95": "value"}, p=0.95, largest=largest)
+    return top.select(*keys, "p95", (F.ceil(F.col("p95") / 10) * 10.0).cast("double").alias("vmax"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from rasterloom.functions.grid import Grid
 from rasterloom.functions.kernels import KERNELS
+from rasterloom.sources.pixels import scan_pixels
 
 MIN_WEIGHT = 1e-6
 
@@ -43,8 +44,11 @@ def resample_nearest(px: DataFrame, src: Grid, dst: Grid) -> DataFrame:
 def resample_weighted(px: DataFrame, src: Grid, dst: Grid, method: str, keys, values=("value",)) -> DataFrame:
     """Kernel-weighted mean of the non-null source cells around every target centre.
 
-    For targets of about the source's cell size or finer, as the kernel is not widened.
+    For targets of about the source's cell size or finer, as the kernel is not widened: grids of numbers
+    that are coarser by more than a fifth are refused.
     """
+    if all(isinstance(g.res, (int, float)) for g in (src, dst)) and dst.res > 1.2 * src.res:
+        raise ValueError(f"cells of {src.res} cannot be resampled to cells of {dst.res}: average them first")
     kernel, support = KERNELS[method]
     shifts = {"iy": src.ymax - dst.ymax, "ix": dst.xmin - src.xmin}
     sizes = {"iy": dst.height, "ix": dst.width}
@@ -93,7 +97,7 @@ def _index_range(grid: Grid, bounds):
 
 
 def clip_to_bounds(px: DataFrame, grid: Grid, bounds) -> DataFrame:
-    """Cells inside ``(xmin, ymin, xmax, ymax)``. A plain range on ``iy, ix``, which reaches the scan."""
+    """Cells inside ``(xmin, ymin, xmax, ymax)``: a plain range on ``iy, ix``. Stored chunks are pruned by ``clip_chunks``."""
     (y0, y1), (x0, x1) = _index_range(grid, bounds)
     return px.where(F.col("iy").between(y0, y1) & F.col("ix").between(x0, x1))
 
@@ -104,3 +108,8 @@ def prune_chunks(chunks: DataFrame, grid: Grid, bounds, width: int, height: int)
     return chunks.where(
         F.col("chunk_y").between(y0 // height, y1 // height) & F.col("chunk_x").between(x0 // width, x1 // width)
     )
+
+
+def clip_chunks(chunks: DataFrame, grid: Grid, bounds, width: int, height: int, nodata=()) -> DataFrame:
+    """Cells inside the bounds, from stored chunks of ``width`` x ``height`` cells. The chunk range reaches the scan."""
+    return clip_to_bounds(scan_pixels(prune_chunks(chunks, grid, bounds, width, height), width, height, nodata), grid, bounds)

@@ -1,4 +1,8 @@
-"""The composed jobs a user calls. Regions, epochs and orbit pairs are columns throughout."""
+"""The composed jobs a user calls.
+
+Regions, orbit pairs and, where ``Settings.dem_switch`` is set, elevation-model epochs are columns, so one
+plan serves all of them. Jobs whose intermediates feed several steps write them while being called.
+"""
 
 from __future__ import annotations
 
@@ -30,6 +34,9 @@ class Settings:
     max_angle: float = correction.MAX_ANGLE
     min_ice_share: float = correction.MIN_ICE_SHARE
     bin_size: float = 3000.0
+    # Day from which pairs were made with another elevation model; offsets are estimated apart before and after.
+    dem_switch: str | None = None
+    dem_date: str = "datetime_1"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -89,12 +96,23 @@ def orbit_pairs(scenes: DataFrame, good: DataFrame, start: str, end: str) -> Dat
     return pair_ops.orbit_pair_label(pair_ops.pair_temporal(pair_ops.join_pair_orbits(dated, orbits)))
 
 
-def offset_fields(px_wide: DataFrame, pairs: DataFrame, width: int, height: int, cfg=Settings()):
+def _epochs(pairs: DataFrame, cfg) -> DataFrame:
+    return pair_ops.split_dem_epoch(pairs, cfg.dem_switch, cfg.dem_date) if cfg.dem_switch else pairs
+
+
+def _masked(px_wide: DataFrame, field_mask, keep_only_one=False) -> DataFrame:
+    """Companion masks of single fields, where there are any."""
+    return px_wide if field_mask is None else mask_ops.apply_field_mask(px_wide, field_mask, ["dx", "dy"], keep_only_one)
+
+
+def offset_fields(px_wide: DataFrame, pairs: DataFrame, width: int, height: int, cfg=Settings(), field_mask: DataFrame | None = None):
     """A priori field, reference direction and offsets: (a_priori, flow, offsets).
 
-    The a priori field is one value per region and cell and feeds three later steps; the offsets, one
+    ``field_mask`` holds the fields' companion masks, applied before any median. The a priori field is one
+    value per region and cell and feeds three later steps; the offsets, one
     vector per orbit pair and cell, are read by every pass over the pixels. Both are written once.
     """
+    px_wide, pairs = _masked(px_wide, field_mask), _epochs(pairs, cfg)
     long = offsets.to_long(offsets.add_magnitude(px_wide))
     a_priori = materialise(offsets.a_priori_field(long, pairs, width, height), "a-priori")
     table = materialise(offsets.orbit_pair_offset(px_wide, pairs, a_priori, cfg.min_fields), "offsets")
@@ -102,19 +120,26 @@ def offset_fields(px_wide: DataFrame, pairs: DataFrame, width: int, height: int,
 
 
 def correct_fields(
-    px_wide: DataFrame, pairs: DataFrame, offset_table: DataFrame, masks: DataFrame, flow: DataFrame, res: float, cfg=Settings()
+    px_wide: DataFrame, pairs: DataFrame, offset_table: DataFrame, masks: DataFrame, flow: DataFrame, res: float, cfg=Settings(),
+    field_mask: DataFrame | None = None, src: Grid | None = None, dst: Grid | None = None,
 ):
     """Correct, measure error on rock, filter by direction and coverage: (pixels, documents).
 
     Errors are taken before the direction filter, coverage after it. ``masks`` carries ice and ocean,
     ``pairs`` the scene columns and the region's bounds.
 
-    Two passes over the corrected pixels: one for the statistics, a row per field and written once, one
-    for the output. Both read the same shuffle of the pixels.
+    With ``src`` and ``dst`` fields are brought onto the region's grid first, by cubic resampling;
+    ``field_mask`` is applied after that, on the region's grid.
+
+    The corrected pixels are written once; the statistics, a row per field, and the output are read from
+    there.
     """
     flags = mask_ops.rock_mask(masks)
-    corrected = correction.apply_offset(correction.join_offsets(px_wide, pairs, offset_table))
-    ready = correction.join_flow_reference(mask_ops.join_masks(corrected, flags), flow)
+    if src is not None and dst is not None:
+        px_wide = resample.resample_cubic(px_wide, src, dst, FIELD, ("dx", "dy"))
+    px_wide, marked = _masked(px_wide, field_mask), _epochs(pairs, cfg)
+    corrected = correction.apply_offset(correction.join_offsets(px_wide, marked, offset_table))
+    ready = materialise(correction.join_flow_reference(mask_ops.join_masks(corrected, flags), flow), "corrected")
     stats = materialise(
         correction.covered_fields(correction.field_statistics(ready, masks), cfg.min_ice_share), "field-statistics"
     )
@@ -140,9 +165,10 @@ def cube_sentinel(px: DataFrame, docs: DataFrame):
 
 
 def cube_landsat(
-    px_wide: DataFrame, good: DataFrame, metas: DataFrame, masks: DataFrame, src: Grid, dst: Grid, start: str, end: str
+    px_wide: DataFrame, good: DataFrame, metas: DataFrame, masks: DataFrame, src: Grid, dst: Grid, start: str, end: str,
+    field_mask: DataFrame | None = None,
 ):
-    """Landsat fields to a typed, indexed cube: (pixels, fields).
+    """Landsat fields to a typed, indexed cube: (pixels, fields). Of a field with a companion mask only cells marked 1 count.
 
     ``good`` holds ``region, field_id, id`` with two 14-digit stamps in the id, ``metas`` the two scene
     ids per field as ``region, field_id, ids``.
@@ -151,7 +177,7 @@ def cube_landsat(
     parsed = metas.select(*FIELD, *names.landsat_id_columns(scene[0], "1"), *names.landsat_id_columns(scene[1], "2"))
     dated = pair_ops.filter_pair_dates(pair_ops.parse_landsat_dates(good), start, end)
     fields = pair_ops.pair_temporal_landsat(pair_ops.drop_aster_pairs(dated.join(parsed, FIELD)))
-    valid = correction.landsat_valid(px_wide).join(fields.select(*FIELD), FIELD, "left_semi")
+    valid = correction.landsat_valid(_masked(px_wide, field_mask, keep_only_one=True)).join(fields.select(*FIELD), FIELD, "left_semi")
     placed = resample.resample_bilinear(valid, src, dst, FIELD, ("dx", "dy"))
     flags = mask_ops.rock_mask(masks)
     errors = correction.rock_error_landsat(mask_ops.join_masks(placed, flags))
