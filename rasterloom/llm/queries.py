@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rasterloom.llm import decontaminate, hilbert, jaccard, packing, personal, quality, substrings, topk, toxicity, urls
+from rasterloom.llm.oracles import ORACLES  # noqa: F401
 
 
 def _read(spark, sf_dir, table):
@@ -79,4 +80,3 @@ def op10_toxicity(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_exact_topk, op2_personal_data, op3_packing, op4_decontamination, op5_url_filter, op6_substring_dedup, op7_sharding, op8_quality, op9_jaccard_join, op10_toxicity)}
-ORACLES = {}
