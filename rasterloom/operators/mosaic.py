@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rasterloom.functions.grid import Grid, world_to_cell
-from rasterloom.functions.projection import polar_from_utm
-from rasterloom.operators.resample import resample_nearest
+from rasterloom.functions.grid import Grid, cell_to_world, world_to_cell
+from rasterloom.functions.kernels import KERNELS
+from rasterloom.functions.projection import polar_from_utm, utm_from_polar
+from rasterloom.operators.resample import MIN_WEIGHT, resample_nearest
 
 
 def mosaic_first_valid(px: DataFrame, keys=("mosaic_key",), order=("rank",), value="value") -> DataFrame:
@@ -24,23 +25,45 @@ def zone_ranks(tiles: DataFrame, keys=("mosaic_key",)) -> DataFrame:
     ).drop("_first")
 
 
-def to_polar_cells(px: DataFrame, dst: Grid) -> DataFrame:
-    """Move cells given by UTM centre and zone onto the polar grid."""
-    x, y = polar_from_utm(F.col("x"), F.col("y"), F.col("zone"))
-    placed = px.withColumns({"_px": x, "_py": y})
-    iy, ix = world_to_cell(F.col("_px"), F.col("_py"), dst.xmin, dst.ymax, dst.res)
-    return placed.withColumns({"iy": iy, "ix": ix}).drop("_px", "_py")
+def to_polar_grid(px: DataFrame, res: float, dst: Grid, keys) -> DataFrame:
+    """Cells of UTM rasters, given by centre and zone, resampled cubically to a polar grid.
+
+    Each source cell meets the target cells around its place on the polar grid; a target's centre goes
+    back to the source's zone, which gives its exact distance in source cells and so its weight. Every
+    target whose centre lies in a source cell gets a value if any of the cells around is valid: a
+    rotated grid leaves no holes. Weights combine before the shuffle.
+    """
+    kernel, support = KERNELS["cubic"]
+    centre_x, centre_y = polar_from_utm(F.col("x"), F.col("y"), F.col("zone"))
+    # The kernel's square may stand at any angle; its half diagonal bounds the reach.
+    reach = int(support * 2 ** 0.5 * res / dst.res + 1.0)
+    iy, ix = world_to_cell(F.col("_cx"), F.col("_cy"), dst.xmin, dst.ymax, dst.res)
+    near = px.withColumns({"_cx": centre_x, "_cy": centre_y})
+    for name, at, limit in (("iy", iy, dst.height), ("ix", ix, dst.width)):
+        low, high = F.greatest(at - reach, F.lit(0)), F.least(at + reach, F.lit(limit) - 1)
+        near = near.withColumns({"_lo": low, "_hi": high}).where("_lo <= _hi").withColumn(name, F.explode(F.sequence("_lo", "_hi")))
+    tx, ty = cell_to_world(F.col("iy"), F.col("ix"), dst.xmin, dst.ymax, dst.res)
+    back_x, back_y = utm_from_polar(tx, ty, F.col("zone"))
+    near = near.withColumns({"_u": (back_x - F.col("x")) / res, "_v": (back_y - F.col("y")) / res})
+    near = near.where((F.abs("_u") < support) & (F.abs("_v") < support))
+    weight = kernel(F.col("_u")) * kernel(F.col("_v"))
+    sums = near.groupBy(*keys, "iy", "ix").agg(
+        F.sum(weight * F.col("value")).alias("_s"), F.sum(F.when(F.col("value").isNotNull(), weight)).alias("_n"),
+        F.max(F.when((F.abs("_u") <= 0.5) & (F.abs("_v") <= 0.5), F.col("value").isNotNull())).alias("_own"),
+    )
+    value = F.when(F.col("_own") & (F.col("_n") > MIN_WEIGHT), F.col("_s") / F.col("_n"))
+    return sums.where("_own is not null").select(*keys, "iy", "ix", value.alias("value"))
 
 
-def mosaic_two_zone(px: DataFrame, tiles: DataFrame, dst: Grid, keys=("mosaic_key",)) -> DataFrame:
+def mosaic_two_zone(px: DataFrame, tiles: DataFrame, res: float, dst: Grid, keys=("mosaic_key",)) -> DataFrame:
     """Tiles of the first zone win over those of the other zone, then the tile order counts.
 
-    ``px`` holds ``mosaic_key, tile, x, y, value``, ``tiles`` ``mosaic_key, tile, zone, rank``.
+    ``px`` holds ``mosaic_key, tile, x, y, value`` with cells of ``res``, ``tiles`` ``mosaic_key, tile, zone,
+    rank``. Tiles are brought onto the polar grid one by one, so each keeps its own edge.
     """
     ranked = zone_ranks(tiles, keys)
-    cells = to_polar_cells(px.join(ranked, [*keys, "tile"]), dst)
-    # Two cells of one tile may land in one target cell: the western, then southern one wins.
-    return mosaic_first_valid(cells, keys, order=("zone_rank", "rank", "x", "y"))
+    cells = to_polar_grid(px.join(ranked, [*keys, "tile"]), res, dst, [*keys, "tile", "zone_rank", "rank"])
+    return mosaic_first_valid(cells, keys, order=("zone_rank", "rank", "tile"))
 
 
 def mosaic_match_template(mosaic: DataFrame, src: Grid, template: Grid) -> DataFrame:

@@ -23,3 +23,23 @@ def utm_to_polar(source, keep):
     FROM (SELECT *, {A} / (1 + n) * (1 + n*n/4 + pow(n,4)/64) AS r
     FROM (SELECT *, sqrt(f * (2 - f)) AS e, f / (2 - f) AS n
     FROM (SELECT *, 1 / {F_INV} :: DOUBLE AS f FROM ({source}))))))))))"""
+
+
+def polar_to_utm(source, keep):
+    """``source`` is a query with columns px, py, zone and those in ``keep``; yields keep, x, y."""
+    kept = ", ".join(keep)
+    return f"""
+    SELECT {kept}, 500000 + 0.9996 * r * (eta + a1*cos(2*xi)*sinh(2*eta) + a2*cos(4*xi)*sinh(4*eta) + a3*cos(6*xi)*sinh(6*eta)) AS x,
+           0.9996 * r * (xi + a1*sin(2*xi)*cosh(2*eta) + a2*sin(4*xi)*cosh(4*eta) + a3*sin(6*xi)*cosh(6*eta)) AS y
+    FROM (SELECT *, atan2(t, cos(dl)) AS xi, atanh(sin(dl) / sqrt(1 + t*t)) AS eta,
+                 n/2 - 2*n*n/3 + 5*pow(n,3)/16 AS a1, 13*n*n/48 - 3*pow(n,3)/5 AS a2, 61*pow(n,3)/240 AS a3
+    FROM (SELECT *, radians(lon - (zone * 6 - 183)) AS dl, sinh(atanh(sin(phi)) - k * atanh(k * sin(phi))) AS t
+    FROM (SELECT *, 2 * sqrt(n) / (1 + n) AS k, {A} / (1 + n) * (1 + n*n/4 + pow(n,4)/64) AS r,
+                 chi + (e2/2 + 5*pow(e2,2)/24 + pow(e2,3)/12 + 13*pow(e2,4)/360) * sin(2*chi)
+                 + (7*pow(e2,2)/48 + 29*pow(e2,3)/240 + 811*pow(e2,4)/11520) * sin(4*chi)
+                 + (7*pow(e2,3)/120 + 81*pow(e2,4)/1120) * sin(6*chi) + 4279*pow(e2,4)/161280 * sin(8*chi) AS phi
+    FROM (SELECT *, pi()/2 - 2 * atan(sqrt(px*px + py*py) * tc / ({A} * mc)) AS chi, -45 + degrees(atan2(px, -py)) AS lon
+    FROM (SELECT *, cos(radians(70)) / sqrt(1 - e2 * pow(sin(radians(70)), 2)) AS mc,
+                 tan(pi() / 4 - radians(70) / 2) / pow((1 - e * sin(radians(70))) / (1 + e * sin(radians(70))), e / 2) AS tc
+    FROM (SELECT *, sqrt(f * (2 - f)) AS e, f * (2 - f) AS e2, f / (2 - f) AS n
+    FROM (SELECT *, 1 / {F_INV} :: DOUBLE AS f FROM ({source}))))))))"""

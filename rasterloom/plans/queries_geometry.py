@@ -10,7 +10,7 @@ from rasterloom.functions.grid import Grid
 from rasterloom.functions.polygon import box_ring
 from rasterloom.operators import masks as mask_ops, mosaic, regions as region_ops, resample, scenes as scene_ops, spatial
 from rasterloom.plans import fixtures as fx
-from rasterloom.plans.oracle_geo import utm_to_polar
+from rasterloom.plans.oracle_geo import polar_to_utm, utm_to_polar
 from rasterloom.plans.registry import query
 from rasterloom.plans.rounding import NUDGE, steady
 
@@ -254,26 +254,35 @@ def _(spark, d):
 
 # Tiles of two neighbouring zones at their common meridian, cells of 2 km.
 POLAR = Grid(-130000.0, -2000000.0, 2000.0, 40, 200)
-TWO_ZONE_SQL = """
-    SELECT *, CASE WHEN zone = 22 THEN 612000 ELSE 384000 END + (ix + 0.5) * 2000 AS x, 7776000 - (iy + 0.5) * 2000 AS y
-    FROM (SELECT *, CASE WHEN rank < 2 THEN 22 ELSE 23 END AS zone FROM ({}))""".format(TILE_SQL)
+EASTS = {22: 612000.0, 23: 384000.0}
+TARGETS_SQL = polar_to_utm("""
+    SELECT z AS zone, CAST(i AS INTEGER) AS ty, CAST(j AS INTEGER) AS tx, -130000 + (j + 0.5) * 2000.0 AS px, -2000000 - (i + 0.5) * 2000.0 AS py
+    FROM range(200) a(i), range(40) b(j), (VALUES (22), (23)) c(z)""", ["zone", "ty", "tx"])
 
 
 @query("mosaic_two_zone", f"""
-    WITH z AS (SELECT DISTINCT mosaic_key, arg_min(zone, rank) OVER (PARTITION BY mosaic_key) AS first_zone FROM ({TWO_ZONE_SQL}))
-    SELECT mosaic_key, CAST(floor((-2000000 - px_y) / 2000) AS INTEGER) AS iy, CAST(floor((px_x + 130000) / 2000) AS INTEGER) AS ix,
-           {FIRST_SQL.format(order='ROW(CASE WHEN zone = first_zone THEN 0 ELSE 1 END, rank, x, y)')} AS value
-    FROM ({utm_to_polar(TWO_ZONE_SQL, ['mosaic_key', 'rank', 'zone', 'value', 'x', 'y'])}) JOIN z USING (mosaic_key) GROUP BY ALL""", ["px"])
+    WITH s AS (SELECT *, CASE WHEN rank < 2 THEN 22 ELSE 23 END AS zone FROM ({TILE_SQL})),
+    z AS (SELECT DISTINCT mosaic_key, arg_min(zone, rank) OVER (PARTITION BY mosaic_key) AS first_zone FROM s),
+    t AS (SELECT *, (x - CASE zone WHEN 22 THEN 612000 ELSE 384000 END) / 2000 - 0.5 AS fx, (7776000 - y) / 2000 - 0.5 AS fy FROM ({TARGETS_SQL})),
+    k AS (SELECT t.zone, ty, tx, c.iy, c.ix, fy - c.iy AS v, fx - c.ix AS u FROM t JOIN cells c ON abs(fy - c.iy) < 2 AND abs(fx - c.ix) < 2),
+    w AS (SELECT *, ({cubic_sql('v')}) * ({cubic_sql('u')}) AS w, abs(u) <= 0.5 AND abs(v) <= 0.5 AS inside FROM k),
+    p AS (SELECT s.mosaic_key, s.tile, s.rank, s.zone, w.ty, w.tx,
+                 CASE WHEN bool_or(inside AND s.value IS NOT NULL) AND sum(w.w) FILTER (s.value IS NOT NULL) > 1e-6 THEN sum(w.w * s.value) / sum(w.w) FILTER (s.value IS NOT NULL) END AS value
+          FROM w JOIN s ON s.zone = w.zone AND s.iy = w.iy AND s.ix = w.ix GROUP BY ALL HAVING bool_or(inside))
+    SELECT mosaic_key, ty AS iy, tx AS ix,
+           round({NUDGE} + {FIRST_SQL.format(order='ROW(CASE WHEN zone = first_zone THEN 0 ELSE 1 END, rank, tile)')}, 8) AS value
+    FROM p JOIN z USING (mosaic_key) GROUP BY ALL""", ["px", "cells"])
 def _(spark, d):
     px = tile_px(spark, d).withColumn("zone", F.when(F.col("rank") < 2, 22).otherwise(23))
-    east = F.when(F.col("zone") == 22, 612000.0).otherwise(384000.0)
+    east = F.when(F.col("zone") == 22, EASTS[22]).otherwise(EASTS[23])
     placed = px.withColumns({"x": east + (F.col("ix") + 0.5) * 2000, "y": 7776000.0 - (F.col("iy") + 0.5) * 2000})
     f = F.col("field_id")
     component = F.explode(F.array(F.lit("dx"), F.lit("dy"))).alias("component")
     tiles = fx.fields(spark, d).select("field_id", component).select(
         F.concat(F.floor(f / 4), "component").alias("mosaic_key"), f.alias("tile"), ((f * 7) % 4).alias("rank"),
     ).withColumn("zone", F.when(F.col("rank") < 2, 22).otherwise(23))
-    return mosaic.mosaic_two_zone(placed.select("mosaic_key", "tile", "x", "y", "value"), tiles, POLAR)
+    out = mosaic.mosaic_two_zone(placed.select("mosaic_key", "tile", "x", "y", "value"), tiles, 2000.0, POLAR)
+    return steady(out, "value")
 
 
 CELL_M2 = 200e6

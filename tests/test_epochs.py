@@ -70,3 +70,21 @@ def test_clip_prunes_stored_chunks(spark, tmp_path):
     assert "GreaterThanOrEqual(chunk_y,2), LessThanOrEqual(chunk_y,7" in plan
     whole = resample.clip_to_bounds(resample.scan_pixels(stored, 4, 4, (-1.0,)), grid, bounds)
     assert {tuple(r) for r in clipped.collect()} == {tuple(r) for r in whole.collect()} and clipped.count() > 0
+
+
+def test_two_zone_mosaics_have_no_holes(spark):
+    """A full tile, on a polar grid of equal cells that stands at an angle to it."""
+    from rasterloom.functions.projection import polar_from_utm, utm_from_polar
+    from rasterloom.operators import mosaic
+
+    px = spark.range(900).select(
+        F.lit("k").alias("mosaic_key"), F.lit(1).alias("tile"), (612000.0 + (F.col("id") % 30 + 0.5) * 2000).alias("x"),
+        (7776000.0 - (F.floor(F.col("id") / 30) + 0.5) * 2000).alias("y"), F.lit(5.0).alias("value"))
+    tiles = spark.createDataFrame([("k", 1, 22, 0)], "mosaic_key string, tile int, zone int, rank int")
+    corner = px.select(*polar_from_utm(F.col("x"), F.col("y"), F.lit(22))).toDF("a", "b").agg(F.min("a"), F.max("b")).first()
+    dst = Grid(corner[0] - 4000, corner[1] + 4000, 2000.0, 60, 60)
+    got = {(r.iy, r.ix): r.value for r in mosaic.mosaic_two_zone(px, tiles, 2000.0, dst).collect()}
+    cells = spark.range(3600).select((F.col("id") / 60).cast("int").alias("iy"), (F.col("id") % 60).cast("int").alias("ix"))
+    x, y = utm_from_polar(F.lit(dst.xmin) + (F.col("ix") + 0.5) * 2000, F.lit(dst.ymax) - (F.col("iy") + 0.5) * 2000, F.lit(22))
+    inside = cells.withColumns({"x": x, "y": y}).where("x > 612000 and x < 672000 and y < 7776000 and y > 7716000")
+    assert set(got) == {(r.iy, r.ix) for r in inside.collect()} and all(abs(v - 5) < 1e-9 for v in got.values())
