@@ -8,11 +8,11 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 
-import __spark_entry__ as entry
 from check_oracle import TABLES, rows
+from rasterloom.plans import registry
 
 DATA = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.load()
 
 pytestmark = pytest.mark.skipif(not Path(DATA).exists(), reason="test tables are not here")
 
