@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from rasterloom.llm import words as W
-from rasterloom.llm.tables import numbered, stored
+from rasterloom.llm.tables import numbered, spread_join, stored
 
 WINDOW = 35
 
@@ -140,13 +140,13 @@ def repeated_passages(docs, window=WINDOW):
     blocks = index.filter(F.col("n_words") >= window).groupBy("h1", "h2").agg(F.min("uid").alias("uid"), F.count(F.lit(1)).alias("copies"))
     seeds = index.join(blocks.select("uid"), "uid").select("uid", F.explode(F.arrays_zip("gram", "pos")).alias("x")).select("uid", "x.*")
     common = seeds.groupBy("gram").count().filter("count > 1").select("gram")
-    seeds = stored(seeds.join(common, "gram").groupBy("uid").agg(F.collect_list("pos").alias("seeds")), "seeds")
+    seeds = stored(spread_join(seeds, common, ["gram"]).groupBy("uid").agg(F.collect_list("pos").alias("seeds")), "seeds")
     seeds = index.select("uid", "doc_id", "h1", "h2").join(seeds, "uid")
     texts = docs.select("doc_id", "text")
     texts = texts.join(seeds.withColumnRenamed("doc_id", "own_id"), F.col("doc_id").eqNullSafe(F.col("own_id"))).select("uid", "text", "h1", "h2", "seeds")
     windows = texts.mapInArrow(_candidates(window), "uid bigint, start int, w1 bigint, w2 int")
     again = windows.groupBy("w1", "w2").count().filter("count > 1").drop("count")
-    starts = stored(windows.join(again, ["w1", "w2"]).groupBy("uid").agg(F.collect_set("start").alias("starts")), "starts")
+    starts = stored(spread_join(windows, again, ["w1", "w2"]).groupBy("uid").agg(F.collect_set("start").alias("starts")), "starts")
     # Every copy of a word sequence shares its block's parse, or is gone whole.
     starts = starts.join(index.select("uid", "doc_id", "h1", "h2"), "uid").join(blocks.filter("copies = 1").select("uid"), "uid")
     texts = docs.select("doc_id", "text").join(starts.withColumnRenamed("doc_id", "own_id"), F.col("doc_id").eqNullSafe(F.col("own_id")))

@@ -40,6 +40,18 @@ def unfolded(rows, columns):
     return rows.select(*(F.col(c) if c in ("doc_id", "text") else F.col("rest").getField(c).alias(c) for c in columns))
 
 
+def spread_join(left, right, keys):
+    """Inner join on integer keys, in which a hot key of ``left`` can be split.
+
+    A table that was grouped by the keys lies partitioned by them, and a join on them would take it as
+    it lies; then adaptive execution may not split a hot partition. Joined on the complements of the
+    keys, both sides get an exchange of their own.
+    """
+    names = [f"_{k}" for k in keys]
+    right = right.select(*(F.bitwise_not(F.col(k)).alias(n) for k, n in zip(keys, names)), *(c for c in right.columns if c not in keys))
+    return left.withColumns({n: F.bitwise_not(F.col(k)) for k, n in zip(keys, names)}).join(right, names).drop(*names)
+
+
 class Seen:
     """Remembers up to ``limit`` values of one task, to send repeated rows once. Forgetting costs rows, not results."""
 
