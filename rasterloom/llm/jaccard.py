@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_right
+from math import exp, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ from rasterloom.llm.tables import Seen, numbered, schema, stored
 
 #: A tile holds at most about so many documents and so many shingles.
 TILE_ROWS, TILE_SHINGLES = 512, 1 << 22
-#: Bits of a document's signature.
+#: Bits of a document's signature, at least.
 SIGNATURE_BITS = 1024
 
 
@@ -23,20 +24,30 @@ class Bands:
 
     Let two sets of sizes x <= y link at a similarity of num / den. Then they differ in at most
     (x + y) (den - num) / (den + num) shingles. Cut into more hash ranges than that, at least one
-    range holds the same shingles in both. ``spare`` more ranges allow for as many that are empty in
-    both; a set with more empty ranges than that names its empty ranges as well.
+    range holds the same shingles in both. So many more ranges are added that hardly any set has that
+    many empty ones, and empty ranges need no key; a set that has more names its empty ranges too.
     """
 
     def __init__(self, num, den):
         self.num, self.den = num, den
         self.edges = [1]
         while self.edges[-1] < 1 << 40:
-            self.edges.append(max(self.edges[-1] + 1, self.edges[-1] * 3 // 2))
+            self.edges.append(max(self.edges[-1] + 1, self.edges[-1] * 7 // 5))
 
     def differing(self, band):
         x = self.edges[band + 1] - 1
         return (x + x * self.den // self.num) * (self.den - self.num) // (self.den + self.num)
 
+    def ranges(self, band):
+        """Number of ranges, and how many of them may be empty in both sets."""
+        differing = self.differing(band)
+        spare = 1
+        for _ in range(3):  # more ranges leave more of them empty
+            m = differing + 1 + spare
+            empty = m * exp(-self.edges[band] / m)
+            spare = int(empty + 3 * sqrt(empty) + 2)
+        return differing + 1 + spare, spare
+
     def of(self, n):
         """Bands in which a set of n shingles has partners at least as small as itself, and its own."""
         low = -(-n * self.num // self.den)
@@ -48,11 +59,9 @@ def range_keys(values, bands):
     content = np.zeros(len(values) + 1, W.U64)
     np.cumsum(W.mix(values, 7), out=content[1:])
     for band in bands.of(len(values)):
-        differing = bands.differing(band)
-        if differing == 0:
+        if bands.differing(band) == 0:
             continue  # only equal sets link
-        spare = 1 + differing // 20
-        m = differing + 1 + spare
+        m, spare = bands.ranges(band)
         place = (values >> W.U64(32)) * W.U64(m) >> W.U64(32)
         bound = np.searchsorted(place, np.arange(m + 1, dtype=W.U64))
         filled = bound[1:] > bound[:-1]
@@ -66,13 +75,50 @@ def _sets(part, size):
         yield row, values
 
 
+def signature(values):
+    """A set as a bitmap, in 64-bit words: SIGNATURE_BITS, or for larger sets the next power of two above their size."""
+    bits = np.zeros(max(SIGNATURE_BITS, 1 << (len(values) - 1).bit_length()), bool)
+    bits[(values % W.U64(len(bits))).astype(np.int64)] = True
+    return np.packbits(bits).view(W.U64)
+
+
+class Signatures:
+    """Signatures of sets in order of size. Sets that may link are of like size; the longer bitmap is folded to the shorter."""
+
+    def __init__(self, bits):
+        self.bits = bits
+        self.words = np.array([len(b) for b in bits])
+        self.at = {}
+
+    def among(self, i, near):
+        """Bitmap of set i, and those of the later sets ``near`` folded to its length."""
+        words = self.words[i]
+        if words not in self.at:
+            rows = np.flatnonzero(self.words >= words)
+            self.at[words] = rows[0], np.array([np.bitwise_or.reduce(self.bits[r].reshape(-1, words), axis=0) for r in rows])
+        first, folded = self.at[words]
+        return self.bits[i], folded[near - first]
+
+
+def least_overlap(a, b, num, den):
+    """Shingles that sets of sizes a and b must share to link."""
+    return -(-num * (a + b) // (num + den))
+
+
+def most_overlap(bits, size, others, sizes):
+    """Upper bound of the overlaps of a set with others: a bit set in one signature only is a shingle in that set only."""
+    return np.minimum(size - np.bitwise_count(bits & ~others).sum(axis=1), sizes - np.bitwise_count(others & ~bits).sum(axis=1))
+
+
 def _identities(size, keep):
     def run(batches):
         for batch in batches:
             for part in W.slices(batch, "text"):
-                found = [(len(v), W.set_hash(v, 1), W.set_hash(v, 3)) for _, v in _sets(part, size)]
-                n, h1, h2 = (pa.array(x, pa.int64()) for x in zip(*found))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), part.column("uid"), n, h1, h2], [*keep, "uid", "n", "h1", "h2"])
+                found = [(len(v), W.set_hash(v, 1), W.set_hash(v, 3), signature(v).tobytes()) for _, v in _sets(part, size)]
+                n, h1, h2, bits = zip(*found)
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in keep), part.column("uid"), *(pa.array(x, pa.int64()) for x in (n, h1, h2)), pa.array(bits, pa.binary())],
+                    [*keep, "uid", "n", "h1", "h2", "bits"])
     return run
 
 
@@ -92,21 +138,87 @@ def _keys(size, bands):
     return run
 
 
-def _chains(batches):
-    """Edges between neighbours of a run of equal keys; rows come sorted by key and owner."""
-    seen, last = Seen(), None
+def _runs(batches):
+    """Sets that share a key, as tiles: rows come sorted by key and owner.
+
+    Near copies share many keys; keys with the same owners make one tile. A key with more owners than
+    a tile holds is cut into blocks, and each pair of blocks is a tile.
+    """
+    seen, key, owner = Seen(), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def tiles(key, owner):
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+        key, owner = key[fresh], owner[fresh]
+        start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        end = np.append(start[1:], len(key))
+        large = end - start > 1
+        sums = W.Runs(W.mix(owner.view(W.U64), 12))
+        names = W.signed(sums.hashes(start[large], end[large], 13))
+        out = [[], []]
+        for low, high, name in zip(start[large].tolist(), end[large].tolist(), names.tolist()):
+            if not seen.add(name):
+                continue
+            half = TILE_ROWS // 2 or 1
+            blocks = [owner[i:i + half] for i in range(low, high, half)] if high - low > TILE_ROWS else [owner[low:high]]
+            for i in range(len(blocks)):
+                for j in range(i + 1 if len(blocks) > 1 else i, len(blocks)):
+                    members = np.concatenate([blocks[i], blocks[j]]) if i < j else blocks[i]
+                    out[0].append(np.full(len(members), int(W.mix(np.array([name], np.int64).view(W.U64) + W.U64(i << 32 | j), 14).view(np.int64)[0])))
+                    out[1].append(members)
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["tile", "h1"])
+
     for batch in batches:
-        key, h1 = (batch.column(c).to_numpy() for c in ("key", "h1"))
+        key, owner = (np.append(x, batch.column(c).to_numpy()) for x, c in ((key, "key"), (owner, "h1")))
         if not len(key):
             continue
-        if last is not None:
-            key, h1 = np.append(last[0], key), np.append(last[1], h1)
-        last = key[-1:], h1[-1:]
-        at = np.flatnonzero((key[1:] == key[:-1]) & (h1[1:] != h1[:-1]))
-        pairs = [p for p in zip(h1[at].tolist(), h1[at + 1].tolist()) if seen.add(p)]
-        if pairs:
-            a, b = zip(*pairs)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        last = np.searchsorted(key, key[-1])  # the last key may go on in the next batch
+        yield from tiles(key[:last], owner[:last])
+        key, owner = key[last:], owner[last:]
+    if len(key):
+        yield from tiles(key, owner)
+
+
+def _plausible(num, den):
+    """Edges that join all sets of a tile whose signatures do not rule out a link; rows come sorted by tile and size."""
+    def edges(tile, owner, n, bits):
+        cut = np.flatnonzero(np.append(True, tile[1:] != tile[:-1]))
+        for low, high in zip(cut.tolist(), [*cut[1:].tolist(), len(tile)]):
+            group, signs = np.arange(low, high), Signatures([np.frombuffer(b, W.U64) for b in bits[low:high]])
+            for i in range(low, high - 1):
+                near = np.arange(i + 1, low + np.searchsorted(n[low:high], n[i] * den // num, "right"))
+                near = near[group[near - low] != group[i - low]]
+                if not len(near):
+                    continue
+                own, others = signs.among(i - low, near - low)
+                near = near[most_overlap(own, n[i], others, n[near]) >= least_overlap(n[i], n[near], num, den)]
+                for j in near.tolist():
+                    if group[j - low] != group[i - low]:
+                        yield int(owner[i]), int(owner[j])
+                        group[group == group[j - low]] = group[i - low]
+
+    def run(batches):
+        seen, held = Seen(), None
+        for batch in _and_end(batches):
+            now = None if batch is None else tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("tile", "h1", "n", "bits"))
+            if held is not None and now is not None:
+                now = tuple(np.concatenate(x) for x in zip(held, now))
+            rows, held = (held, None) if now is None else (now, None)
+            if rows is None or not len(rows[0]):
+                continue
+            if now is not None:
+                last = int(np.argmax(rows[0] == rows[0][-1]))  # the last tile may go on
+                rows, held = tuple(x[:last] for x in rows), tuple(x[last:] for x in rows)
+            pairs = [p for p in edges(*rows) if seen.add(p)] if len(rows[0]) else []
+            if pairs:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*pairs)], ["a", "b"])
+    return run
+
+
+def _and_end(batches):
+    yield from batches
+    yield None
 
 
 def _packed(size):
@@ -127,25 +239,24 @@ def tile_links(ids, sets, num, den, labels=None):
     """Edges that join all linked sets of a tile: a spanning forest of its links.
 
     Sets are taken by size, so partners of a set are a stretch of those behind it. Signatures bound
-    each overlap from above: a bit set in one signature only stands for a shingle in that set only.
-    Pairs that are already joined, by equal ``labels`` or by links found here, need no test; all others
+    each overlap from above. Pairs that are already joined, by equal ``labels`` or by links found here, need no test; all others
     that pass are intersected exactly.
     """
     order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), ids[i]))
     ids, sets = [ids[i] for i in order], [sets[i] for i in order]
     sizes = np.array([len(s) for s in sets])
-    bits = np.zeros((len(sets), SIGNATURE_BITS), bool)
-    for i, s in enumerate(sets):
-        bits[i, (s % W.U64(SIGNATURE_BITS)).astype(np.int64)] = True
-    bits = np.packbits(bits, axis=1).view(W.U64)
+    signs = Signatures([signature(s) for s in sets])
     group = np.arange(len(sets)) if labels is None else np.unique([labels[i] for i in order], return_inverse=True)[1]
     edges = []
     for i in range(len(sets) - 1):
         high = np.searchsorted(sizes, sizes[i] * den // num, "right")
         near = np.arange(i + 1, high)
         near = near[group[near] != group[i]]
-        need = -(-num * (sizes[i] + sizes[near]) // (num + den))
-        bound = np.minimum(sizes[i] - np.bitwise_count(bits[i] & ~bits[near]).sum(axis=1), sizes[near] - np.bitwise_count(bits[near] & ~bits[i]).sum(axis=1))
+        need = least_overlap(sizes[i], sizes[near], num, den)
+        if not len(near):
+            continue
+        own, others = signs.among(i, near)
+        bound = most_overlap(own, sizes[i], others, sizes[near])
         for j, least in zip(near[bound >= need].tolist(), need[bound >= need].tolist()):
             if group[i] != group[j] and len(np.intersect1d(sets[i], sets[j], assume_unique=True)) >= least:
                 edges.append((ids[i], ids[j]))
@@ -220,7 +331,8 @@ def near_duplicates(docs, shingle=5, num=80, den=100, keep=("doc_id",)):
     equal sets link.
 
     Sets that are equal are one class. Classes are cut into hash ranges (see ``Bands``), which finds
-    every pair above the limit; classes that share a range form candidate groups. Inside a group, tiles
+    every pair above the limit. Classes that share a range and whose signatures do not rule out a link
+    form candidate groups; so a shingle that many texts hold joins none of them. Inside a group, tiles
     of one size band or of two neighbouring ones are compared: a bitmap bounds each overlap from above
     before the sorted arrays are intersected. Large groups are mostly copies of one text, so their tiles
     first meet one tile of their band only; then everything outside of the largest component so found
@@ -230,21 +342,28 @@ def near_duplicates(docs, shingle=5, num=80, den=100, keep=("doc_id",)):
     Returns uid, the kept columns, n_shingles, group (a long, equal for linked documents).
     """
     rows = stored(numbered(docs, *dict.fromkeys([*keep, "text"])).mapInArrow(
-        _identities(shingle, keep), schema(docs, keep, "uid bigint, n bigint, h1 bigint, h2 bigint")), "sets")
+        _identities(shingle, keep), schema(docs, keep, "uid bigint, n bigint, h1 bigint, h2 bigint, bits binary")), "sets")
     docs = docs.select("doc_id", "text")
     bands = Bands(num, den)
     keys = docs.select("text").mapInArrow(_keys(shingle, bands), "key bigint, h1 bigint")
-    pairs = keys.repartition("key").sortWithinPartitions("key", "h1").mapInArrow(_chains, "a bigint, b bigint")
-    groups = components(pairs).withColumnRenamed("node", "h1").withColumnRenamed("component", "group")
-    classes = rows.filter("n > 0").groupBy("h1", "h2").agg(F.min("uid").alias("uid"), F.min_by("doc_id", "uid").alias("own_id"), F.first("n").alias("n"))
+    runs = keys.repartition("key").sortWithinPartitions("key", "h1").mapInArrow(_runs, "tile bigint, h1 bigint").distinct()
+    classes = rows.filter("n > 0").groupBy("h1", "h2").agg(
+        F.min("uid").alias("uid"), F.min_by("doc_id", "uid").alias("own_id"), F.first("n").alias("n"), F.first("bits").alias("bits"))
     classes = stored(classes, "classes")
+    signed = runs.join(classes.select("h1", "n", "bits"), "h1").repartition("tile").sortWithinPartitions("tile", "n", "h1")
+    groups = components(signed.mapInArrow(_plausible(num, den), "a bigint, b bigint")).withColumnRenamed("node", "h1").withColumnRenamed("component", "group")
+    classes = classes.drop("bits")
     candidates = stored(_celled(classes.join(groups, "h1"), num, den), "candidates")
-    sets = docs.join(candidates, F.col("doc_id").eqNullSafe(F.col("own_id"))).select("uid", "text", "h1", "h2").mapInArrow(_packed(shingle), "uid bigint, shingles binary")
+    # Candidates grow with the corpus, so they are never broadcast: texts travel once at every size.
+    sets = docs.join(candidates.hint("merge"), F.col("doc_id").eqNullSafe(F.col("own_id"))).select("uid", "text", "h1", "h2").mapInArrow(_packed(shingle), "uid bigint, shingles binary")
     sets = stored(sets, "shingles")
     compare = lambda tiles: sets.join(tiles, "uid").select("uid", "tile", "label", "shingles").groupBy("tile").applyInArrow(_verify(num, den), "a bigint, b bigint")
     links = stored(compare(candidates.select("uid", F.col("uid").alias("label"), F.explode(F.expr(FIRST_TILES)).alias("tile"))), "links")
-    rest = _rest_tiles(candidates, components(links).withColumnsRenamed({"node": "uid", "component": "label"}))
-    linked = components(links.unionByName(compare(rest)))
+    linked = stored(components(links), "linked")
+    rest = _rest_tiles(candidates, linked.withColumnsRenamed({"node": "uid", "component": "label"}))
+    more = stored(compare(rest), "links")
+    if not more.isEmpty():
+        linked = components(links.unionByName(more))
     named = classes.join(linked.withColumnRenamed("node", "uid"), "uid", "left").select("h1", "h2", F.coalesce("component", "uid").alias("group"))
     full = rows.filter("n > 0").join(named, ["h1", "h2"]).select("uid", *keep, F.col("n").alias("n_shingles"), "group")
     return full.unionByName(rows.filter("n = 0").select("uid", *keep, F.col("n").alias("n_shingles"), F.col("uid").alias("group")))
