@@ -1,5 +1,6 @@
 """Search, packing, urls, personal data and the classifiers."""
 
+import itertools
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -158,6 +159,36 @@ def test_url_rules_are_mined(spark):
     assert urls.mine(pages).count() == 0 and urls.mine(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("good, bad", [
+    ("http://a.test/x/y/fine", "http://a.test/x/y/spam"), ("http://a.test/x/{}-fine-{}", "http://a.test/x/{}-spam-{}"), ("http://a.test/x/{}/y/2", "http://a.test/x/{}/y/3"),
+    ("http://a.test/?a={}&b=1&c=1&fine=1", "http://a.test/?a={}&b=1&c=1&spam=1"), ("http://a.test/?a=fine-{}", "http://a.test/?a=spam-{}"),
+    ("http://w{}.x.fine.b.c.test/", "http://w{}.x.spam.b.c.test/"), ("http://a.test/#fine", "http://a.test/#spam")])
+def test_url_rules_see_every_part(spark, good, bad):
+    rows = [(i, (bad if i % 3 == 0 else good).format(i, i), int(i % 3 > 0), 0) for i in range(120)]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, quality int, toxic int")
+    found = urls.verdicts(frame, frame.filter("page_id < 90").selectExpr("page_id as doc_id", "quality", "toxic")).collect()
+    assert all((x.verdict == "block") == (x.page_id % 3 == 0) for x in found)
+
+
+def test_url_rules_of_many_tokens(spark):
+    """Every frequent set is tried: rules without a part that is one are those of brute force; equal long urls stay cheap."""
+    r = random.Random(8)
+    rows = []
+    for _ in range(400):
+        items = [t for t in "abcde" if r.random() < 0.7]
+        rows.append((items + ["every", *(["x", "y"] if "a" in items else [])], "abcd" == "".join(items)[:4] or r.random() < 0.05))
+    rows += [([f"long{i}" for i in range(40)], i % 2 == 0) for i in range(60)]
+    mined = urls.mine(spark.createDataFrame(rows, "tokens array<string>, bad boolean"), 10, 0.7).collect()
+    found = {tuple(x["items"]): (x["support"], round(x["support"] / x["confidence"])) for x in mined}
+    sets = {}
+    for n in range(1, 9):
+        for items in itertools.combinations(["a", "b", "c", "d", "e", "every", "x", "y"], n):
+            on = [bad for t, bad in rows if set(items) <= set(t)]
+            if sum(on) >= 10 and sum(on) >= 0.7 * len(on) and not any(set(s) <= set(items) for s in sets):
+                sets[items] = sum(on), len(on)
+    assert len(max(sets, key=len)) > 3 and found == sets
+
+
 def test_base_spans():
     r = random.Random(2)
     parts = ["a", "Z", ".", "@", "1", "25", "0", "-", "+", " ", "(", ")", "%", "é", "٣", "4111111111111111", "1.2.3.4", "a@b.c", "+1 (319) 555-5132"]
