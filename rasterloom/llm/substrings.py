@@ -1,4 +1,4 @@
-"""Removal of passages that occur more than once, by relative Lempel-Ziv parsing."""
+"""Removal of passages that occur more than once, by counting the windows that share an anchor."""
 
 from __future__ import annotations
 
@@ -62,7 +62,7 @@ def _same(part, words):
 
 
 def _candidates(window):
-    """Windows whose anchor lies in another reference block too."""
+    """Windows whose anchor's hash occurs elsewhere too."""
     def run(batches):
         for batch in batches:
             for part in W.slices(batch, "text"):
@@ -82,13 +82,11 @@ def _candidates(window):
     return run
 
 
-def factors(starts, window):
-    """Greedy parse of one document: the factors of at least ``window`` words.
+def covered(starts, window):
+    """Stretches of one document that windows cover.
 
-    ``starts``: sorted first words of windows that occur elsewhere. From such a word the factor runs on
-    as long as the next word starts one too, and ends with the last window. Windows that cross the end
-    of a factor have been looked up as any other, so a new factor may begin inside the old one's tail;
-    it is joined to it.
+    ``starts``: sorted first words of windows that occur elsewhere. Windows that overlap or touch make
+    one stretch, whatever documents their other occurrences are in.
     """
     cut = np.flatnonzero(np.diff(starts) > window) + 1
     return [(int(x[0]), int(x[-1]) + window) for x in np.split(starts, cut)] if len(starts) else []
@@ -103,7 +101,7 @@ def _parse(window):
                 out = []
                 for row in np.flatnonzero(same).tolist():
                     starts = np.sort(part.column("starts")[row].values.to_numpy())
-                    spans = factors(starts, window)
+                    spans = covered(starts, window)
                     gone = np.zeros(words.first[row + 1] - words.first[row], bool)
                     for low, high in spans:
                         gone[low:high] = True
@@ -118,19 +116,20 @@ PARSED_NAMES = ["uid", "spans", "n_removed", "kept_sha256"]
 
 
 def repeated_passages(docs, window=WINDOW):
-    """Factors of each document, of at least ``window`` words, that occur anywhere else in the corpus.
+    """Stretches of each document covered by windows of ``window`` words that occur anywhere else in the corpus.
 
     ``docs``: doc_id, text; other columns are ignored. Words are runs of other than white space. Null
     texts have no words. Each word covered by a window of ``window`` words that also starts elsewhere
     (same document included) is removed; windows are judged on the input. Repeated rows are copies of
     each other, so nothing of them is kept if they are long enough.
 
-    Every document is a reference block. A block's index is its winnowed anchors: the least k-gram hash
-    of each window, so two equal windows have equal anchors in equal places and a block without a
-    common anchor cannot hold a factor. Documents with the same word sequence count as one block. The
-    parse then looks up each window that has a common anchor, those across factor boundaries too, and
-    grows factors greedily. Only windows with common anchors travel, and all groupings are counts
-    combined before the shuffle and joined back, so a passage in a third of all documents splits.
+    A document's index is its winnowed anchors: the least k-gram hash of each window, so two equal windows
+    have equal anchors in equal places, and a window without a common anchor occurs once. Documents with
+    the same word sequence count as one. Each window that has a common anchor is hashed, and those hashed
+    alike are counted. This is not a relative Lempel-Ziv parse: no window has a source, and a span may join
+    passages from several documents, so it need not occur elsewhere as a whole. Only windows with common
+    anchors travel, and all groupings are counts combined before the shuffle and joined back, so a passage
+    in a third of all documents splits.
 
     Returns uid, doc_id, n_words, n_removed, kept_sha256, spans (struct(pos, end) in words).
     """
@@ -147,7 +146,7 @@ def repeated_passages(docs, window=WINDOW):
     windows = texts.mapInArrow(_candidates(window), "uid bigint, start int, w1 bigint, w2 int")
     again = windows.groupBy("w1", "w2").count().filter("count > 1").drop("count")
     starts = stored(spread_join(windows, again, ["w1", "w2"]).groupBy("uid").agg(F.collect_set("start").alias("starts")), "starts")
-    # Every copy of a word sequence shares its block's parse, or is gone whole.
+    # Every copy of a word sequence shares its first row's parse, or is gone whole.
     starts = starts.join(index.select("uid", "doc_id", "h1", "h2"), "uid").join(blocks.filter("copies = 1").select("uid"), "uid")
     texts = docs.select("doc_id", "text").join(starts.withColumnRenamed("doc_id", "own_id"), F.col("doc_id").eqNullSafe(F.col("own_id")))
     parsed = texts.select("uid", "text", "h1", "h2", "starts").mapInArrow(
