@@ -54,12 +54,27 @@ def curve_index(cells, bits=BITS):
 
 
 def _number(df, column):
-    """A column as an ordered long: text by its first seven bytes, nulls first."""
-    if isinstance(df.schema[column].dataType, T.StringType):
-        code = F.conv(F.rpad(F.substring(F.hex(F.encode(F.col(column), "UTF-8")), 1, 14), 14, "0"), 16, 10).cast("long")
-    else:
-        code = F.col(column).cast("long")
-    return F.coalesce(code, F.lit(-1).cast("long"))
+    """A column of numbers in order, as longs or doubles: nulls first, NaN last."""
+    if isinstance(df.schema[column].dataType, T.IntegralType):
+        return F.coalesce(F.col(column).cast("long"), F.lit(-(1 << 63)))
+    code = F.col(column).cast("double")
+    return F.when(F.isnan(code), float("inf")).otherwise(F.coalesce(code, F.lit(float("-inf"))))
+
+
+def _quantile_values(df, column, n):
+    """The values, null first, that hold the 1/n, 2/n, ... quantiles of a column of any ordered type.
+
+    Whole values are counted and ranked, and the counts summed along the ranks. Only the at most n
+    values found meet in one place, and one number for each 4096 ranks.
+    """
+    laid = stored(ranked(df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows")), ["value"]).withColumn("block", F.shiftright("rank", 12)), "values")
+    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = laid.groupBy("block").agg(F.sum("rows").alias("in_block")).select("block", F.coalesce(F.sum("in_block").over(before), F.lit(0)).alias("before"))
+    total = laid.agg(F.sum("rows")).first()[0] or 1
+    inside = Window.partitionBy("block").orderBy("rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = laid.join(blocks, "block").withColumn("upto", F.col("before") + F.sum("rows").over(inside))
+    cell = lambda rows: F.floor(rows * F.lit(n) / F.lit(total))
+    return [r.value for r in upto.filter(cell(F.col("upto")) > cell(F.col("upto") - F.col("rows"))).orderBy("rank").select("value").collect()]
 
 
 def ranked(df, order):
@@ -81,8 +96,8 @@ def ranked(df, order):
 def hilbert_shards(docs, dimensions, shards=40, bits=BITS):
     """Cut ``docs`` into shards whose row counts are at most one apart, along a Hilbert curve.
 
-    ``docs`` has doc_id, text and the named dimensions (numbers or text). Each dimension is quantised
-    to 2 ** bits cells by its own quantiles, so hot values do not leave the other cells empty. Rows are
+    ``docs`` has doc_id, text and the named dimensions (of any ordered type). Each dimension is quantised
+    to 2 ** bits cells by the quantiles of its whole values, so hot values do not leave the other cells empty. Rows are
     sorted by curve index, then equal texts stand together, and the order is cut into equal runs: a
     shard spans a compact box of the dimensions, which is what min/max statistics of files prune by.
     A hot value is cut like any other stretch of the order. Null dimensions come first; null texts
@@ -92,13 +107,14 @@ def hilbert_shards(docs, dimensions, shards=40, bits=BITS):
     """
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 16
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    number = [d == "size" or isinstance(docs.schema[d].dataType, (T.IntegralType, T.FloatType, T.DoubleType)) for d in dimensions]
     rows = docs.select("doc_id", size.alias("size"), crc.alias("text_crc32"), *(
-        (size if d == "size" else _number(docs, d)).alias(f"_d{i}") for i, d in enumerate(dimensions)), F.monotonically_increasing_id().alias("_uid"))
+        (size if d == "size" else _number(docs, d) if plain else F.col(d)).alias(f"_d{i}") for i, (d, plain) in enumerate(zip(dimensions, number))), F.monotonically_increasing_id().alias("_uid"))
     cuts = [i / (1 << bits) for i in range(1, 1 << bits)]
-    bounds = rows.agg(*(F.percentile_approx(f"_d{i}", cuts, 1000).alias(f"_d{i}") for i in range(len(dimensions)))).first()
-    cells = [
-        sum((F.when(F.col(f"_d{i}") > b, 1).otherwise(0) for b in sorted(set(bounds[f"_d{i}"] or []))), F.lit(0)).cast("int")
-        for i in range(len(dimensions))]
+    found = rows.agg(F.count(F.lit(1)), *(F.percentile_approx(f"_d{i}", cuts, 1000).alias(f"_d{i}") for i, plain in enumerate(number) if plain)).first()
+    bounds = [sorted(set(found[f"_d{i}"] or [])) if plain else _quantile_values(rows, f"_d{i}", 1 << bits) for i, plain in enumerate(number)]
+    above = lambda i, b: F.col(f"_d{i}").isNotNull() if b is None else F.col(f"_d{i}") > F.lit(b)
+    cells = [sum((F.when(above(i, b), 1).otherwise(0) for b in bounds[i]), F.lit(0)).cast("int") for i in range(len(dimensions))]
     cells = rows.select("doc_id", "size", "text_crc32", "_uid", *(c.alias(f"_c{i}") for i, c in enumerate(cells)))
     cells = cells.select("doc_id", "size", "text_crc32", "_uid", curve_index([F.col(f"_c{i}") for i in range(len(dimensions))], bits).alias("curve"))
     laid = ranked(cells, ["curve", "text_crc32", "size", "doc_id", "_uid"])

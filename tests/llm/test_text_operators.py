@@ -137,6 +137,16 @@ def test_shards_prune(spark):
         assert sum(r[f"min({d})"] <= 500 <= r[f"max({d})"] for r in boxes) <= 20
 
 
+@pytest.mark.parametrize("value", ["concat('https://common.example/', lpad(cast(v as string), 4, '0'))", "v / 1000", "cast(v / 1000 as decimal(12, 4))", "v / 1000 - 5", "date_add(date'2020-01-01', v)"])
+def test_shards_order_whole_values(spark, value):
+    """One dimension whose values share a long beginning or lie between two whole numbers; every tenth is null."""
+    rows = spark.range(4000).selectExpr("id as doc_id", "'t' as text", "cast(id * 7919 % 1000 as int) as v").selectExpr("doc_id", "text", f"if(v % 10 = 0, null, {value}) as x", "if(v % 10 = 0, -1, v) as at")
+    found = hilbert.hilbert_shards(rows, ["x"], shards=16).join(rows, "doc_id").groupBy("curve").agg({"at": "min", "*": "count"}).orderBy("curve").collect()
+    low = [r["min(at)"] for r in found]
+    assert low == sorted(low) and low[0] == -1 and len(low) >= 25
+    assert max(r["count(1)"] for r in found[1:]) <= 4000 / 16
+
+
 def test_digest_is_of_the_kept_words():
     column = pa.array(["a  b\tc", None, "é ü"])
     w = words.Words(column, words.PLAIN)
