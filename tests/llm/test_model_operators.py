@@ -12,6 +12,7 @@ import pytest
 
 from rasterloom.llm import packing, personal, quality, topk, toxicity, urls
 from rasterloom.llm.queries import tokenizer_path
+from rasterloom.llm.training import labelled_sample
 
 
 def vectors(spark, rows):
@@ -295,3 +296,11 @@ def test_chain_reads_out_of_fold_predictions():
     # In-fold predictions would be perfect and their weight large; out of fold they say nothing.
     assert abs(models[-1].d[0]) < 0.5 * np.abs(models[0].w[:n]).mean() + 1.0
     assert [len(m.d) for m in models] == [0, 1, 2]
+
+
+def test_sample_is_bounded_on_repeated_ids(spark):
+    docs = spark.range(600).selectExpr("if(id < 500, 0, id) as doc_id", "if(id % 7 = 3, null, concat('text ', id)) as text")
+    labels = spark.range(600).selectExpr("if(id < 3, 0, id + 480) as doc_id", "cast(id % 2 as int) as quality")
+    found = labelled_sample(docs, labels, ["quality"], 600).collect()
+    chosen = Counter(x.doc_id for x in labels.collect() if x.doc_id == 0 or 500 <= x.doc_id < 600)
+    assert Counter(x.doc_id for x in found) == chosen and len({x.text for x in found if x.doc_id == 0}) == 1
