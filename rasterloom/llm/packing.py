@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import json
 import zlib
 
 import numpy as np
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from rasterloom.llm import words as W
 from rasterloom.llm.hilbert import ranked
 from rasterloom.llm.tables import numbered, stored
+from rasterloom.llm.tokens import LIMIT, PieceIds, cached, encoder, load
 
 LENGTH = 1024
 END_ID = 0
@@ -21,23 +22,20 @@ LETTER, NUMBER, OTHER, SPACE = range(4)
 class TokenCache:
     """Token ids of texts, by way of the distinct pieces that the tokenizer's pattern cuts them into.
 
-    A piece is encoded by the tokenizer once and then looked up, by a 64-bit hash of its code points.
-    Kept for the life of a Python worker; emptied when it holds ``limit`` pieces.
+    A piece is encoded by the tokenizer once and then looked up by its string. Kept for the life of a
+    Python worker; emptied when it holds ``limit`` pieces. The pattern is that of byte-level tokenizers
+    with ``use_regex``; a file with another one is refused.
     """
 
-    def __init__(self, path, limit=3 << 19):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.limit = limit
+    def __init__(self, path, limit=LIMIT):
+        self.tokenizer = load(path)
+        with open(path, encoding="utf-8") as file:
+            settings = json.load(file)
+        cut = settings["pre_tokenizer"] or {}
+        if settings["normalizer"] or (cut.get("type"), cut.get("use_regex", True), cut.get("add_prefix_space")) != ("ByteLevel", True, False):
+            raise ValueError(f"{path} does not cut texts by the byte-level pattern")
+        self.parts = PieceIds(encoder(self.tokenizer), limit)
         self.kinds = np.full(0x110000, -1, np.int8)
-        self.clear()
-
-    def clear(self):
-        self.known, self.used = {}, 0
-        self.ids, self.bounds = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64)
 
     def kind(self, codes):
         """Class of each code point, as the tokenizer sees it: does it join a letter, a digit or a sign?"""
@@ -92,39 +90,13 @@ class TokenCache:
             return np.zeros(0, np.uint32), np.zeros(len(at), np.int64)
         start = self.pieces(codes, at)
         end = np.append(start[1:], len(codes))
-        name = W.Runs(W.mix(codes.astype(W.U64), 11)).hashes(start, end)
-        name, first, place = np.unique(name, return_index=True, return_inverse=True)
-        if len(self.known) >= self.limit:
-            self.clear()
-        names = name.tolist()
-        number = list(map(self.known.get, names, [-1] * len(names)))
-        new = [i for i, x in enumerate(number) if x < 0]
-        strings = [text[start[first[i]]:end[first[i]]] for i in new]
-        for i, made in zip(new, self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)):
-            number[i] = self.known[names[i]] = len(self.known)
-            ids = made.ids
-            if self.used + len(ids) > len(self.ids):
-                self.ids = np.append(self.ids, np.zeros(max(len(ids), len(self.ids)), np.uint32))
-            if len(self.known) >= len(self.bounds):
-                self.bounds = np.append(self.bounds, np.zeros_like(self.bounds))
-            self.ids[self.used:self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.bounds[len(self.known)] = self.used
-        bounds = self.bounds
-        number = np.array(number)[place]
-        size = bounds[number + 1] - bounds[number]
-        to = np.append(0, np.cumsum(size))
-        ids = self.ids[np.arange(to[-1]) + np.repeat(bounds[number] - to[:-1], size)]
+        lead = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # byte at which each code point begins
+        ids, to = self.parts.of(data, lead[start], lead[end])
         return ids, to[np.searchsorted(start, at)]
 
 
-_caches = {}
-
-
 def token_cache(path):
-    if path not in _caches:
-        _caches[path] = TokenCache(path)
-    return _caches[path]
+    return cached(TokenCache, path)
 
 
 def _pieces(tokenizer, length, end_id, keep_ids):

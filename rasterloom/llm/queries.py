@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rasterloom.llm import decontaminate, hilbert, jaccard, packing, personal, quality, substrings, topk, toxicity, urls
+from rasterloom.llm import (
+    alignment,
+    complement,
+    decontaminate,
+    hilbert,
+    jaccard,
+    packing,
+    personal,
+    quality,
+    substrings,
+    topk,
+    toxicity,
+    urls,
+    whitening,
+)
 from rasterloom.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -12,10 +26,10 @@ def _read(spark, sf_dir, table):
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def tokenizer_path():
+def tokenizer_path(name="byte_bpe_50k.json"):
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_exact_topk(spark, sf_dir):
@@ -78,5 +92,20 @@ def op10_toxicity(spark, sf_dir):
     return found.select("doc_id", "severe", "repeated", F.col("toxic").alias("probability"), (F.col("toxic") >= 0.5).alias("toxic"))
 
 
+def op11_whitening(spark, sf_dir):
+    # Beyond a long, which takes some 100 million distinct vectors, deviation is null here.
+    found = whitening.whiten(_read(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+def op12_complements(spark, sf_dir):
+    return complement.pack_complements(_read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json")).drop("uid")
+
+
+def op13_alignment(spark, sf_dir):
+    return alignment.align(_read(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model")).drop("uid")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_exact_topk, op2_personal_data, op3_packing, op4_decontamination, op5_url_filter, op6_substring_dedup, op7_sharding, op8_quality, op9_jaccard_join, op10_toxicity)}
+    op1_exact_topk, op2_personal_data, op3_packing, op4_decontamination, op5_url_filter, op6_substring_dedup, op7_sharding, op8_quality, op9_jaccard_join, op10_toxicity,
+    op11_whitening, op12_complements, op13_alignment)}

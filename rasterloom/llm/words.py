@@ -96,17 +96,16 @@ def slices(batch, text):
         yield batch.slice(low, high - low)
 
 
-class Words:
-    """The words of a slice of texts.
+class Spans:
+    """Where the words of a slice of texts lie.
 
     start, end: byte bounds in ``data``; row: of each word; first: index of each row's first word,
-    with the total as last entry; hash: of each word; runs: hashes of runs of words.
+    with the total as last entry.
     """
 
     def __init__(self, column, table):
-        inside, values = table
+        inside = table[0]
         self.data, at = buffers(column)
-        self.values = values
         self.rows = len(at) - 1
         kind = inside[self.data]
         begins, ends = kind > 0, kind > 0
@@ -119,8 +118,6 @@ class Words:
         self.start, self.end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         self.first = np.searchsorted(self.start, at)
         self.row = np.repeat(np.arange(self.rows), np.diff(self.first))
-        self.hash = Runs(values[self.data]).hashes(self.start, self.end)
-        self.runs = Runs(self.hash)
 
     def __len__(self):
         return len(self.start)
@@ -129,6 +126,15 @@ class Words:
     def counts(self):
         return np.diff(self.first)
 
+
+class Words(Spans):
+    """The words of a slice of texts with their hashes. hash: of each word; runs: hashes of runs of words."""
+
+    def __init__(self, column, table):
+        super().__init__(column, table)
+        self.hash = Runs(table[1][self.data]).hashes(self.start, self.end)
+        self.runs = Runs(self.hash)
+
     def windows(self, size):
         """First words of all runs of ``size`` words that lie in one row."""
         if len(self) < size:
