@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rasterloom.functions import vector
-from rasterloom.operators.neighbourhood import box_median_3x3
+from rasterloom.operators import blocks as block_ops
 from rasterloom.operators.pairs import MIN_FIELDS, min_samples
 from rasterloom.operators.quantiles import grouped_quantile, largest_group
 
 CELL = ["region", "iy", "ix"]
+COMPONENTS = ("dmag", "dx", "dy")
 
 
 def area(df: DataFrame) -> list:
@@ -47,20 +48,38 @@ def to_wide(px: DataFrame, keys, components=("dx", "dy"), value="value", suffix=
     )
 
 
-def a_priori_field(px: DataFrame, pairs: DataFrame, width: int, height: int) -> DataFrame:
-    """Median of the repeat-track fields per cell, 3x3-filtered before and after.
+def _filtered_median(rasters: DataFrame, keys, values, largest: int, bh: int, bw: int, height: int, width: int) -> DataFrame:
+    smooth = block_ops.median_blocks_3x3(rasters, [*keys, "field_id"], values, bh, bw, height, width)
+    composite = block_ops.median_stack(smooth, keys, values, bh, bw, largest)
+    return block_ops.median_blocks_3x3(composite, keys, values, bh, bw, height, width)
 
-    ``px`` is long with components dx, dy and dmag: speed is the median of speeds, not the speed of
-    the medians. Pairs with an ``epoch`` give one field per epoch.
-    """
+
+def repeat_tracks(pairs: DataFrame):
+    """The fields that count for the a priori field, and the most of them that one area has."""
     keys = area(pairs)
     repeat = pairs.where("orbit_match = 1").select(*keys, "field_id")
-    largest = largest_group(repeat, keys, "field_id")
-    smooth = box_median_3x3(
-        px.join(repeat, ["region", "field_id"]), [*keys, "field_id", "component"], width, height
-    )
-    composite = median_composite(smooth, [*keys, "component", "iy", "ix"], largest)
-    return box_median_3x3(composite, [*keys, "component"], width, height)
+    return repeat, largest_group(repeat, keys, "field_id")
+
+
+def a_priori_blocks(blocks: DataFrame, pairs: DataFrame, bh: int, bw: int, height: int, width: int) -> DataFrame:
+    """Median of the repeat-track fields per cell, 3x3-filtered before and after: from blocks to blocks of dmag, dx, dy.
+
+    ``blocks`` holds ``region, field_id, by, bx`` and the arrays dx and dy of ``bh`` x ``bw`` cells. Speed is the
+    median of speeds, not the speed of the medians. Pairs with an ``epoch`` give one field per epoch. Arrays
+    stay arrays throughout; what is shuffled are blocks, for the rims and for the stacks.
+    """
+    repeat, largest = repeat_tracks(pairs)
+    rasters = blocks.join(repeat, ["region", "field_id"]).withColumn("dmag", F.zip_with("dx", "dy", vector.magnitude))
+    return _filtered_median(rasters, area(pairs), COMPONENTS, largest, bh, bw, height, width)
+
+
+def a_priori_field(px: DataFrame, pairs: DataFrame, width: int, height: int, size: int = block_ops.BLOCK) -> DataFrame:
+    """The same from a row per cell and component (dx, dy, dmag) to rows again."""
+    repeat, largest = repeat_tracks(pairs)
+    keys, bh, bw = [*area(pairs), "component"], min(size, height), min(size, width)
+    rasters = block_ops.gather_blocks(px.join(repeat, ["region", "field_id"]), [*keys, "field_id"], ["value"], bh, bw)
+    found = _filtered_median(rasters, keys, ["value"], largest, bh, bw, height, width)
+    return block_ops.scan_blocks(found, keys, ["value"], bh, bw, height, width)
 
 
 def flow_reference(a_priori: DataFrame) -> DataFrame:

@@ -1,22 +1,28 @@
 """Resampling and clipping.
 
-Source cells push their value to the target cells they touch. A target is touched by neighbours that
-mostly sit in the same input partition, so Spark sums weights and values before the shuffle, and there
-is no join. Nearest neighbour needs no shuffle at all: each target lies in exactly one source cell.
+Bilinear and cubic resampling work on blocks of the target grid: a source cell travels once, and once
+more for each further block within the kernel's reach, whatever the kernel's size. Inside a block the
+kernel is separable, so both axes are matrix products. Nearest neighbour needs no shuffle at all: each
+target lies in exactly one source cell.
 
 A grid's members may be numbers or columns; with columns every row can have a grid of its own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rasterloom.functions.grid import Grid
-from rasterloom.functions.kernels import KERNELS
+from rasterloom.functions.kernels import ARRAY_KERNELS
+from rasterloom.operators import blocks as block_ops
 from rasterloom.sources.pixels import scan_pixels
 
 MIN_WEIGHT = 1e-6
+# A kernel that is not widened skips source cells when targets are larger than this times the source's cells.
+COARSEST = 1.2
 
 
 def _targets(df, cell, name, first, last, limit):
@@ -41,47 +47,161 @@ def resample_nearest(px: DataFrame, src: Grid, dst: Grid) -> DataFrame:
     return placed.drop("iy", "ix").withColumnsRenamed({"_ty": "iy", "_tx": "ix"})
 
 
-def resample_weighted(px: DataFrame, src: Grid, dst: Grid, method: str, keys, values=("value",)) -> DataFrame:
+def _widening(src_res, dst_res, widen):
+    """Factor of the kernel's width: 1, or with ``widen`` the ratio of the cells where targets are larger."""
+    if not widen:
+        return 1.0
+    ratio = dst_res / src_res
+    return F.greatest(ratio, F.lit(1.0)) if isinstance(ratio, Column) else max(ratio, 1.0)
+
+
+def _refuse(src_res, dst_res):
+    raise ValueError(f"cells of {src_res} cannot be resampled to cells of {dst_res} without widen=True")
+
+
+def _axis_weights(shift, src_res, dst_res, first, targets, low, cells, method, widen):
+    """Weights of source cells ``low..`` for targets ``first..`` along an axis, and whether they are within reach."""
+    kernel, support = ARRAY_KERNELS[method]
+    centre = (shift + (first + np.arange(targets) + 0.5) * dst_res) / src_res - 0.5
+    distance = (centre[:, None] - (low + np.arange(cells))[None, :]) / _widening(src_res, dst_res, widen)
+    return kernel(distance), np.abs(distance) < support
+
+
+def _weighted_mean(cells, wy, wx):
+    """Weighted mean of the cells that are not NaN; NaN where too little weight is left."""
+    valid = ~np.isnan(cells)
+    total = wy @ np.where(valid, cells, 0.0) @ wx.T
+    weight = wy @ valid.astype(float) @ wx.T
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(weight > MIN_WEIGHT, total / weight, np.nan)
+
+
+def _resample_cells(keys, values, method, size, widen):
+    """Blocks with lists of the source cells in reach to a row per target cell in reach of a row of the source."""
+    def run(batches):
+        for batch in batches:
+            grids = np.array(batch.column("grid").to_pylist(), float).reshape(batch.num_rows, 8)
+            by, bx = batch.column("by").to_numpy(), batch.column("bx").to_numpy()
+            bounds = batch.column("cells").offsets.to_numpy()
+            inner = batch.column("cells").flatten()
+            ys, xs = inner.field("iy").to_numpy(), inner.field("ix").to_numpy()
+            raw = [inner.field(v).cast(pa.float64()).to_numpy(zero_copy_only=False) for v in values]
+            bounds = bounds - bounds[0]
+            alike = {}
+            for i in range(batch.num_rows):
+                alike.setdefault((by[i], bx[i], *grids[i]), []).append(i)
+            row, iy, ix, made = [], [], [], [[] for _ in values]
+            for (cy, cx, sx, sy, sr, dx, dy, dr, width, height), rows in alike.items():
+                if dr > COARSEST * sr and not widen:
+                    _refuse(sr, dr)
+                top, left = int(cy) * size, int(cx) * size
+                h, w = min(size, int(height) - top), min(size, int(width) - left)
+                inside = np.concatenate([np.arange(bounds[i], bounds[i + 1]) for i in rows])
+                low_y, low_x = ys[inside].min(), xs[inside].min()
+                n_y, n_x = int(ys[inside].max() - low_y) + 1, int(xs[inside].max() - low_x) + 1
+                (wy, near_y), (wx, near_x) = (
+                    _axis_weights(sy - dy, sr, dr, top, h, low_y, n_y, method, widen), _axis_weights(dx - sx, sr, dr, left, w, low_x, n_x, method, widen))
+                step = max(1, block_ops.CELLS_AT_ONCE // (n_y * n_x))
+                for start in range(0, len(rows), step):
+                    some = rows[start:start + step]
+                    at = np.concatenate([np.arange(bounds[i], bounds[i + 1]) for i in some])
+                    own = np.repeat(np.arange(len(some)), [bounds[i + 1] - bounds[i] for i in some])
+                    there = np.zeros((len(some), n_y, n_x))
+                    there[own, ys[at] - low_y, xs[at] - low_x] = 1
+                    k, y, x = np.nonzero(near_y.astype(float) @ there @ near_x.astype(float).T > 0.5)
+                    row.append(np.array(some)[k])
+                    iy.append(y + top)
+                    ix.append(x + left)
+                    for out, v in zip(made, raw):
+                        cells = np.full((len(some), n_y, n_x), np.nan)
+                        cells[own, ys[at] - low_y, xs[at] - low_x] = v[at]
+                        out.append(_weighted_mean(cells, wy, wx)[k, y, x])
+            if row:
+                place = pa.array(np.concatenate(row))
+                flat = [np.concatenate(v) for v in made]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(k).take(place) for k in keys), *(pa.array(np.concatenate(x).astype(np.int32)) for x in (iy, ix)),
+                     *(pa.array(v, mask=np.isnan(v)) for v in flat)], [*keys, "iy", "ix", *values])
+    return run
+
+
+def resample_weighted(px: DataFrame, src: Grid, dst: Grid, method: str, keys, values=("value",), size=block_ops.BLOCK, widen=False) -> DataFrame:
     """Kernel-weighted mean of the non-null source cells around every target centre.
 
-    For targets of about the source's cell size or finer, as the kernel is not widened: grids of numbers
-    that are coarser by more than a fifth are refused.
+    Cells coarser than the source's by more than a fifth are refused, for numbers here and for columns when
+    the job meets them, unless ``widen`` lets the kernel cover the target's whole cell. A target gets a
+    row if a row of the source is in reach.
     """
-    if all(isinstance(g.res, (int, float)) for g in (src, dst)) and dst.res > 1.2 * src.res:
-        raise ValueError(f"cells of {src.res} cannot be resampled to cells of {dst.res}: average them first")
-    kernel, support = KERNELS[method]
-    shifts = {"iy": src.ymax - dst.ymax, "ix": dst.xmin - src.xmin}
-    sizes = {"iy": dst.height, "ix": dst.width}
+    keys, values = list(keys), list(values)
+    if not widen and all(isinstance(g.res, (int, float)) for g in (src, dst)) and dst.res > COARSEST * src.res:
+        _refuse(src.res, dst.res)
+    reach = ARRAY_KERNELS[method][1] * _widening(src.res, dst.res, widen)
     placed = px
-    weight = F.lit(1.0)
-    for axis, target in (("iy", "_ty"), ("ix", "_tx")):
-        def position(edge, shift=shifts[axis]):
+    for axis, block, shift, limit in (("iy", "by", src.ymax - dst.ymax, dst.height), ("ix", "bx", dst.xmin - src.xmin, dst.width)):
+        def position(edge, shift=shift):
             return ((edge + 0.5) * src.res - shift) / dst.res - 0.5
 
-        first = F.floor(position(F.col(axis) - support)) + 1
-        last = F.ceil(position(F.col(axis) + support)) - 1
-        placed = _targets(placed, axis, target, first, last, sizes[axis])
-        centre = (F.lit(shifts[axis]) + (F.col(target) + 0.5) * dst.res) / src.res - 0.5
-        placed = placed.withColumn(f"_w{axis}", kernel(centre - F.col(axis)))
-        weight = weight * F.col(f"_w{axis}")
-    placed = placed.withColumn("_w", weight)
-    sums = placed.groupBy(*keys, F.col("_ty").alias("iy"), F.col("_tx").alias("ix")).agg(*[
-        agg for v in values for agg in (
-            F.sum(F.col("_w") * F.col(v)).alias(f"_s_{v}"),
-            F.sum(F.when(F.col(v).isNotNull(), F.col("_w"))).alias(f"_n_{v}"),
-        )
-    ])
-    return sums.select(*keys, "iy", "ix", *[
-        F.when(F.col(f"_n_{v}") > MIN_WEIGHT, F.col(f"_s_{v}") / F.col(f"_n_{v}")).alias(v) for v in values
-    ])
-
-
-def resample_bilinear(px, src, dst, keys, values=("value",)):
-    return resample_weighted(px, src, dst, "bilinear", keys, values)
-
-
-def resample_cubic(px, src, dst, keys, values=("value",)):
-    return resample_weighted(px, src, dst, "cubic", keys, values)
+        first = F.greatest(F.floor(position(F.col(axis) - reach)) + 1, F.lit(0))
+        last = F.least(F.ceil(position(F.col(axis) + reach)) - 1, F.lit(limit) - 1)
+        spread = placed.withColumns({"_lo": first.cast("int"), "_hi": last.cast("int")}).where("_lo <= _hi")
+        placed = spread.withColumn(block, F.explode(F.sequence(F.floor(F.col("_lo") / size), F.floor(F.col("_hi") / size)))).drop("_lo", "_hi")
+    members = (src.xmin, src.ymax, src.res, dst.xmin, dst.ymax, dst.res, dst.width, dst.height)
+    grid = F.array(*[(m if isinstance(m, Column) else F.lit(m)).cast("double") for m in members])
+    found = placed.groupBy(*keys, F.col("by").cast("int").alias("by"), F.col("bx").cast("int").alias("bx")).agg(
+        F.first(grid).alias("grid"), F.collect_list(F.struct("iy", "ix", *values)).alias("cells"))
+    schema = block_ops.ddl(found, keys, ", ".join(["iy int, ix int", *(f"`{v}` double" for v in values)]))
+    return found.mapInArrow(_resample_cells(keys, values, method, size, widen), schema)
+
+
+def _source_windows(shift, src_res, dst_res, targets, size, cells, reach):
+    """Source cells in reach of each block of targets along an axis."""
+    first = np.arange(0, targets, size)
+    last = np.minimum(first + size, targets) - 1
+    low, high = (((shift + (t + 0.5) * dst_res) / src_res - 0.5) for t in (first, last))
+    return tuple(np.clip(x, 0, cells).astype(int) for x in (np.floor(low - reach) + 1, np.ceil(high + reach)))
+
+
+def resample_blocks(blocks: DataFrame, src: Grid, dst: Grid, method: str, keys, bh: int, bw: int, values=("value",), size=block_ops.BLOCK, widen=False):
+    """The same from blocks to blocks: (blocks, their rows, their columns).
+
+    ``blocks`` holds ``bh`` x ``bw`` cells a row. Every cell of the target grid is in the result, null where nothing is in reach.
+    """
+    values = list(values)
+    if not widen and dst.res > COARSEST * src.res:
+        _refuse(src.res, dst.res)
+    oh, ow = min(size, dst.height), min(size, dst.width)
+    reach = ARRAY_KERNELS[method][1] * _widening(src.res, dst.res, widen)
+    shift_y, shift_x = src.ymax - dst.ymax, dst.xmin - src.xmin
+    rows = _source_windows(shift_y, src.res, dst.res, dst.height, oh, src.height, reach)
+    cols = _source_windows(shift_x, src.res, dst.res, dst.width, ow, src.width, reach)
+
+    def kernel(window, by, bx):
+        out = [[None] * len(by) for _ in values]
+        for y, x in sorted({(int(a), int(b)) for a, b in zip(by, bx)}):
+            mine = np.flatnonzero((by == y) & (bx == x))
+            n_y, n_x = int(rows[1][y] - rows[0][y]), int(cols[1][x] - cols[0][x])
+            h, w = min(oh, dst.height - y * oh), min(ow, dst.width - x * ow)
+            wy = _axis_weights(shift_y, src.res, dst.res, y * oh, h, rows[0][y], n_y, method, widen)[0]
+            wx = _axis_weights(shift_x, src.res, dst.res, x * ow, w, cols[0][x], n_x, method, widen)[0]
+            for k in range(len(values)):
+                made = np.full((len(mine), h, ow), np.nan)
+                made[:, :, :w] = _weighted_mean(window[k, mine, :n_y, :n_x], wy, wx)
+                for i, block in zip(mine, made):
+                    out[k][i] = block
+        return out
+
+    one = src.height <= bh and src.width <= bw and dst.height <= oh and dst.width <= ow
+    found = block_ops.whole(blocks, keys, values, bw) if one else block_ops.windows(blocks, keys, values, bh, bw, rows, cols)
+    cells = int(max(rows[1] - rows[0], default=1) * max(cols[1] - cols[0], default=1))
+    return block_ops.map_windows(found, keys, values, values, rows, cols, cells, kernel), oh, ow
+
+
+def resample_bilinear(px, src, dst, keys, values=("value",), widen=False):
+    return resample_weighted(px, src, dst, "bilinear", keys, values, widen=widen)
+
+
+def resample_cubic(px, src, dst, keys, values=("value",), widen=False):
+    return resample_weighted(px, src, dst, "cubic", keys, values, widen=widen)
 
 
 def _index_range(grid: Grid, bounds):

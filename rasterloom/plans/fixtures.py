@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rasterloom.functions import names
+from rasterloom.operators.blocks import cleaned
 from rasterloom.operators.pairs import orbit_pair_label
 from rasterloom.sources.pixels import scan_pixels, scan_vector_pixels
 
@@ -85,6 +86,18 @@ def chunks(spark, d):
     )
 
 
+def blocks(spark, d):
+    """The same without codes for nodata, as one block per field and component."""
+    return cleaned(chunks(spark, d), NODATA, ["values"]).withColumnsRenamed({"chunk_y": "by", "chunk_x": "bx", "values": "value"})
+
+
+def field_blocks(spark, d):
+    """One block per field with both components."""
+    raw = _raw(spark, d).select(
+        "region", "field_id", F.lit(0).alias("by"), F.lit(0).alias("bx"), F.slice("cells", 1, HALF).alias("dx"), F.slice("cells", HALF + 1, HALF).alias("dy"))
+    return cleaned(raw, NODATA, ["dx", "dy"])
+
+
 def px(spark, d):
     return scan_pixels(chunks(spark, d), WIDTH, HEIGHT, NODATA)
 

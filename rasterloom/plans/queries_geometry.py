@@ -8,7 +8,7 @@ from rasterloom.functions import grid as grids
 from rasterloom.functions import projection
 from rasterloom.functions.grid import Grid
 from rasterloom.functions.polygon import box_ring
-from rasterloom.operators import masks as mask_ops, mosaic, regions as region_ops, resample, scenes as scene_ops, spatial
+from rasterloom.operators import blocks as block_ops, masks as mask_ops, mosaic, regions as region_ops, resample, scenes as scene_ops, spatial
 from rasterloom.plans import fixtures as fx
 from rasterloom.plans.oracle_geo import polar_to_utm, utm_to_polar
 from rasterloom.plans.registry import query
@@ -199,16 +199,20 @@ def cubic_sql(t):
             f"WHEN abs({t}) < 2 THEN -0.5 * abs({t}) ** 3 + 2.5 * {t} ** 2 - 4 * abs({t}) + 2 ELSE 0 END")
 
 
+def resampled(spark, d, method):
+    keys = ["field_id", "component"]
+    found, bh, bw = resample.resample_blocks(fx.blocks(spark, d), SRC, SHIFTED, method, keys, fx.HEIGHT, fx.WIDTH)
+    return block_ops.scan_blocks(found, keys, ["value"], bh, bw, SHIFTED.height, SHIFTED.width)
+
+
 @query("resample_bilinear", weighted_sql("1 - abs(v)", "1 - abs(u)", 1), ["px", "cells"])
 def _(spark, d):
-    out = resample.resample_bilinear(fx.px(spark, d), SRC, SHIFTED, ["field_id", "component"])
-    return steady(out, "value")
+    return steady(resampled(spark, d, "bilinear"), "value")
 
 
 @query("resample_cubic", weighted_sql(cubic_sql("v"), cubic_sql("u"), 2), ["px", "cells"])
 def _(spark, d):
-    out = resample.resample_cubic(fx.px(spark, d), SRC, SHIFTED, ["field_id", "component"])
-    return steady(out, "value")
+    return steady(resampled(spark, d, "cubic"), "value")
 
 
 @query("clip_to_bounds", """

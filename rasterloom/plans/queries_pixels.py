@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from rasterloom.functions import vector
 from rasterloom.functions.grid import Grid
-from rasterloom.operators import correction, masks as mask_ops, offsets, pairs as pair_ops
-from rasterloom.operators.neighbourhood import box_median_3x3
+from rasterloom.operators import blocks as block_ops, correction, masks as mask_ops, offsets, pairs as pair_ops
 from rasterloom.operators.quantiles import largest_group
 from rasterloom.operators.rasters import content_digest, shape_uniformity
 from rasterloom.plans import fixtures as fx
@@ -25,13 +24,9 @@ def masked(spark, d):
     return mask_ops.rock_mask(fx.masks(spark, d))
 
 
-def px3(spark, d):
-    """dmag, dx, dy in long form."""
-    return offsets.to_long(offsets.add_magnitude(fx.px_wide(spark, d)))
-
-
 def a_priori(spark, d):
-    return offsets.a_priori_field(px3(spark, d), fx.fields(spark, d), W, H)
+    found = offsets.a_priori_blocks(fx.field_blocks(spark, d), fx.fields(spark, d), H, W, H, W)
+    return offsets.to_long(block_ops.scan_blocks(found, ["region"], offsets.COMPONENTS, H, W, H, W))
 
 
 def offset_table(spark, d, reference=None):
@@ -144,8 +139,10 @@ def _(spark, d):
 
 @query("median_composite", "SELECT region, component, iy, ix, median(value) AS value FROM px GROUP BY ALL", ["px"])
 def _(spark, d):
-    # The field table bounds the groups, so the pixels are read once.
-    return offsets.median_composite(fx.px(spark, d), largest=largest_group(fx.fields(spark, d), ["region"], "field_id"))
+    # The field table bounds the stacks, so the blocks are read once.
+    keys, largest = ["region", "component"], largest_group(fx.fields(spark, d), ["region"], "field_id")
+    found = block_ops.median_stack(fx.blocks(spark, d), keys, ["value"], H, W, largest)
+    return block_ops.scan_blocks(found, keys, ["value"], H, W, H, W)
 
 
 @query("box_median_3x3", """
@@ -154,7 +151,9 @@ def _(spark, d):
     JOIN px n ON n.field_id = c.field_id AND n.component = c.component AND n.iy = k.ny AND n.ix = k.nx
     GROUP BY ALL""", ["px", "near"])
 def _(spark, d):
-    return box_median_3x3(fx.px(spark, d), ["field_id", "component"], W, H)
+    keys = ["field_id", "component"]
+    found = block_ops.median_blocks_3x3(fx.blocks(spark, d), keys, ["value"], H, W, H, W)
+    return block_ops.scan_blocks(found, keys, ["value"], H, W, H, W)
 
 
 @query("a_priori_field", "SELECT region, component, iy, ix, value FROM a_priori", ["a_priori"])
