@@ -99,14 +99,14 @@ def slices(batch, text):
 class Spans:
     """Where the words of a slice of texts lie.
 
-    start, end: byte bounds in ``data``; row: of each word; first: index of each row's first word,
-    with the total as last entry.
+    start, end: byte bounds in ``data``; at: byte bounds of the rows; row: of each word; first: index of
+    each row's first word, with the total as last entry.
     """
 
     def __init__(self, column, table):
         inside = table[0]
         self.data, at = buffers(column)
-        self.rows = len(at) - 1
+        self.at, self.rows = at, len(at) - 1
         kind = inside[self.data]
         begins, ends = kind > 0, kind > 0
         begins[1:] &= kind[1:] != kind[:-1]
