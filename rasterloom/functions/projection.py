@@ -1,4 +1,4 @@
-"""Map projections as closed column expressions (no UDF).
+"""Map projections as closed expressions, of columns or, with ``m=Arrays``, of NumPy arrays.
 
 Polar stereographic: Snyder, "Map Projections - A Working Manual" (USGS PP 1395), eqs. 15-9, 21-33,
 3-5. Transverse Mercator: Krueger's series to the third order in the flattening, good to about a
@@ -7,8 +7,22 @@ millimetre inside a zone.
 
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
+
+class Arrays:
+    """NumPy's names for the functions that the projections use."""
+
+    sin, cos, tan, sinh, cosh, sqrt = np.sin, np.cos, np.tan, np.sinh, np.cosh, np.sqrt
+    asin, atan, atan2, atanh = np.arcsin, np.arctan, np.arctan2, np.arctanh
+    radians, degrees, pow = np.radians, np.degrees, np.power
+
+    @staticmethod
+    def lit(x):
+        return x
+
+
 # WGS 84, EPSG:3413 and UTM.
 A = 6378137.0
 FLATTENING = 1 / 298.257223563
@@ -43,62 +57,62 @@ def _polar_scale():
 POLAR_SCALE = _polar_scale()
 
 
-def _sine_series(angle, terms):
-    total = F.lit(0.0)
+def _sine_series(angle, terms, m=F):
+    total = m.lit(0.0)
     for k, c in enumerate(terms, start=1):
-        total = total + c * F.sin(2.0 * k * angle)
+        total = total + c * m.sin(2.0 * k * angle)
     return total
 
 
-def polar_from_lonlat(lon, lat):
-    phi = F.radians(lat)
-    s = F.sin(phi)
-    t = F.tan(math.pi / 4 - phi / 2) / F.pow((1 - E * s) / (1 + E * s), F.lit(E / 2))
+def polar_from_lonlat(lon, lat, m=F):
+    phi = m.radians(lat)
+    s = m.sin(phi)
+    t = m.tan(math.pi / 4 - phi / 2) / m.pow((1 - E * s) / (1 + E * s), m.lit(E / 2))
     rho = POLAR_SCALE * t
-    dlon = F.radians(lon - POLAR_MERIDIAN)
-    return rho * F.sin(dlon), -rho * F.cos(dlon)
+    dlon = m.radians(lon - POLAR_MERIDIAN)
+    return rho * m.sin(dlon), -rho * m.cos(dlon)
 
 
-def lonlat_from_polar(x, y):
-    rho = F.sqrt(x * x + y * y)
-    chi = math.pi / 2 - 2 * F.atan(rho / POLAR_SCALE)
-    lon = POLAR_MERIDIAN + F.degrees(F.atan2(x, -y))
-    return lon, F.degrees(chi + _sine_series(chi, CONFORMAL))
+def lonlat_from_polar(x, y, m=F):
+    rho = m.sqrt(x * x + y * y)
+    chi = math.pi / 2 - 2 * m.atan(rho / POLAR_SCALE)
+    lon = POLAR_MERIDIAN + m.degrees(m.atan2(x, -y))
+    return lon, m.degrees(chi + _sine_series(chi, CONFORMAL, m))
 
 
 def central_meridian(zone):
-    return zone.cast("double") * 6.0 - 183.0
+    return zone * 6.0 - 183.0
 
 
-def utm_from_lonlat(lon, lat, zone):
+def utm_from_lonlat(lon, lat, zone, m=F):
     k = 2 * math.sqrt(N) / (1 + N)
-    s = F.sin(F.radians(lat))
-    t = F.sinh(F.atanh(s) - k * F.atanh(k * s))
-    dlon = F.radians(lon - central_meridian(zone))
-    xi = F.atan2(t, F.cos(dlon))
-    eta = F.atanh(F.sin(dlon) / F.sqrt(1 + t * t))
+    s = m.sin(m.radians(lat))
+    t = m.sinh(m.atanh(s) - k * m.atanh(k * s))
+    dlon = m.radians(lon - central_meridian(zone))
+    xi = m.atan2(t, m.cos(dlon))
+    eta = m.atanh(m.sin(dlon) / m.sqrt(1 + t * t))
     east, north = eta, xi
     for j, c in enumerate(ALPHA, start=1):
-        east = east + c * F.cos(2.0 * j * xi) * F.sinh(2.0 * j * eta)
-        north = north + c * F.sin(2.0 * j * xi) * F.cosh(2.0 * j * eta)
+        east = east + c * m.cos(2.0 * j * xi) * m.sinh(2.0 * j * eta)
+        north = north + c * m.sin(2.0 * j * xi) * m.cosh(2.0 * j * eta)
     return UTM_EASTING + UTM_SCALE * RECTIFYING * east, UTM_SCALE * RECTIFYING * north
 
 
-def lonlat_from_utm(x, y, zone):
+def lonlat_from_utm(x, y, zone, m=F):
     xi = y / (UTM_SCALE * RECTIFYING)
     eta = (x - UTM_EASTING) / (UTM_SCALE * RECTIFYING)
     xi_p, eta_p = xi, eta
     for j, c in enumerate(BETA, start=1):
-        xi_p = xi_p - c * F.sin(2.0 * j * xi) * F.cosh(2.0 * j * eta)
-        eta_p = eta_p - c * F.cos(2.0 * j * xi) * F.sinh(2.0 * j * eta)
-    chi = F.asin(F.sin(xi_p) / F.cosh(eta_p))
-    lat = F.degrees(chi + _sine_series(chi, DELTA))
-    return central_meridian(zone) + F.degrees(F.atan2(F.sinh(eta_p), F.cos(xi_p))), lat
+        xi_p = xi_p - c * m.sin(2.0 * j * xi) * m.cosh(2.0 * j * eta)
+        eta_p = eta_p - c * m.cos(2.0 * j * xi) * m.sinh(2.0 * j * eta)
+    chi = m.asin(m.sin(xi_p) / m.cosh(eta_p))
+    lat = m.degrees(chi + _sine_series(chi, DELTA, m))
+    return central_meridian(zone) + m.degrees(m.atan2(m.sinh(eta_p), m.cos(xi_p))), lat
 
 
-def polar_from_utm(x, y, zone):
-    return polar_from_lonlat(*lonlat_from_utm(x, y, zone))
+def polar_from_utm(x, y, zone, m=F):
+    return polar_from_lonlat(*lonlat_from_utm(x, y, zone, m), m)
 
 
-def utm_from_polar(x, y, zone):
-    return utm_from_lonlat(*lonlat_from_polar(x, y), zone)
+def utm_from_polar(x, y, zone, m=F):
+    return utm_from_lonlat(*lonlat_from_polar(x, y, m), zone, m)

@@ -196,6 +196,41 @@ def resample_blocks(blocks: DataFrame, src: Grid, dst: Grid, method: str, keys,
     return block_ops.map_windows(found, keys, values, values, rows, cols, cells, kernel), oh, ow
 
 
+def nearest_blocks(blocks: DataFrame, src: Grid, dst: Grid, keys, bh: int, bw: int, values=("value",), size=block_ops.BLOCK):
+    """``resample_nearest`` from blocks to blocks: (blocks, their rows, their columns). Targets outside the source are null."""
+    values = list(values)
+    oh, ow = min(size, dst.height), min(size, dst.width)
+
+    def axis(shift, targets, step, cells):
+        """The source cell of each target, and the bounds of those that each block takes from."""
+        cell = np.floor(((np.arange(targets) + 0.5) * dst.res + shift) / src.res).astype(int)
+        first = np.arange(0, targets, step)
+        bounds = cell[first], cell[np.minimum(first + step, targets) - 1] + 1
+        return cell, tuple(np.clip(b, 0, cells) for b in bounds)
+
+    (cell_y, rows), (cell_x, cols) = axis(src.ymax - dst.ymax, dst.height, oh, src.height), axis(dst.xmin - src.xmin, dst.width, ow, src.width)
+
+    def kernel(window, by, bx):
+        out = [[None] * len(by) for _ in values]
+        for y, x in sorted({(int(a), int(b)) for a, b in zip(by, bx)}):
+            mine = np.flatnonzero((by == y) & (bx == x))
+            iy, ix = cell_y[y * oh:(y + 1) * oh], cell_x[x * ow:(x + 1) * ow]
+            in_y, in_x = (iy >= rows[0][y]) & (iy < rows[1][y]), (ix >= cols[0][x]) & (ix < cols[1][x])
+            for k in range(len(values)):
+                made = np.full((len(mine), len(iy), ow), np.nan)
+                if in_y.any() and in_x.any():
+                    part = window[k][mine[:, None, None], (iy[in_y] - rows[0][y])[None, :, None], (ix[in_x] - cols[0][x])[None, None, :]]
+                    made[np.ix_(range(len(mine)), np.flatnonzero(in_y), np.flatnonzero(in_x))] = part
+                for i, block in zip(mine, made):
+                    out[k][i] = block
+        return out
+
+    one = src.height <= bh and src.width <= bw and dst.height <= oh and dst.width <= ow
+    found = block_ops.whole(blocks, keys, values, bw) if one else block_ops.windows(blocks, keys, values, bh, bw, rows, cols)
+    cells = int(max(rows[1] - rows[0], default=1) * max(cols[1] - cols[0], default=1))
+    return block_ops.map_windows(found, keys, values, values, rows, cols, cells, kernel), oh, ow
+
+
 def resample_bilinear(px, src, dst, keys, values=("value",), widen=False):
     return resample_weighted(px, src, dst, "bilinear", keys, values, widen=widen)
 

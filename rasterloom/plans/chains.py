@@ -15,13 +15,14 @@ from rasterloom import schemas
 from rasterloom.functions import names
 from rasterloom.functions.grid import Grid
 from rasterloom.operators import (
-    correction, cube, documents, masks as mask_ops, mosaic, offsets, pairs as pair_ops, regions as region_ops,
+    blocks as block_ops, correction, cube, documents, masks as mask_ops, mosaic, offsets, pairs as pair_ops, regions as region_ops,
     resample, scenes as scene_ops, spatial,
 )
 from rasterloom.session import scratch_dir
 from rasterloom.sources import catalog as cat_ops
 
 FIELD = correction.FIELD
+MOSAIC = ["region", "mosaic_key"]
 
 
 @dataclass(frozen=True)
@@ -30,6 +31,7 @@ class Settings:
 
     min_overlap: float = 0.05
     min_coverage: float = 0.5
+    template_coverage: float = 0.95
     min_fields: int = pair_ops.MIN_FIELDS
     max_angle: float = correction.MAX_ANGLE
     min_ice_share: float = correction.MIN_ICE_SHARE
@@ -76,12 +78,54 @@ def mosaic_clip(
     if not isinstance(template, Grid):
         grids = region_ops.grid_spec(regions, template, template).select("region", "xmin", "ymax", "res", "width", "height")
         ranked, template = ranked.join(grids, "region"), Grid.of_columns()
-    clipped = mosaic.mosaic_first_valid(mosaic.mosaic_match_template(ranked, src, template), ("region", "mosaic_key"))
-    areas = scene_ops.coverage_area(clipped, ["region", "mosaic_key"], cell_m2)
-    kept = scene_ops.filter_coverage(scene_ops.coverage_fraction(areas, regions), cfg.min_coverage).select("region", "mosaic_key")
-    keys = ["region", "mosaic_key"]
-    lineage = scene_ops.mosaic_lineage(scenes, tiles).join(kept, keys, "left_semi")
-    return clipped.join(kept, keys, "left_semi"), lineage
+    # Coverage, output and lineage all read the mosaic, so it is stored once.
+    clipped = materialise(mosaic.mosaic_first_valid(mosaic.mosaic_match_template(ranked, src, template), MOSAIC), "mosaics")
+    areas = scene_ops.coverage_area(clipped, MOSAIC, cell_m2)
+    kept = scene_ops.filter_coverage(scene_ops.coverage_fraction(areas, regions), cfg.min_coverage).select(*MOSAIC)
+    return clipped.join(kept, MOSAIC, "left_semi"), scene_ops.mosaic_lineage(scenes, tiles).join(kept, MOSAIC, "left_semi")
+
+
+def mosaic_clip_blocks(
+    blocks: DataFrame, scenes: DataFrame, regions: DataFrame, src: Grid, template: Grid, bh: int, bw: int, cell_m2: float, cfg=Settings()
+):
+    """``mosaic_clip`` from stored blocks, ``name, tile, by, bx, value``, to (pixels, lineage) on one template.
+
+    Tiles are brought onto the template once, not once a region, and stay arrays until the pixels that are
+    delivered are made. Mosaics are stored once.
+    """
+    tiles = scene_ops.tile_priority(regions)
+    placed, oh, ow = resample.nearest_blocks(blocks, src, template, ["name", "tile"], bh, bw)
+    ranked = scene_ops.scenes_per_region(placed, tiles).withColumn("mosaic_key", names.mosaic_key(F.col("name")))
+    merged = materialise(mosaic.first_valid_blocks(ranked, MOSAIC), "mosaics")
+    cells = F.sum(F.size(F.filter("value", lambda x: x > 0)))
+    areas = merged.groupBy(*MOSAIC).agg((cells * cell_m2 / 1e6).alias("area_covered_km2"))
+    kept = scene_ops.filter_coverage(scene_ops.coverage_fraction(areas, regions), cfg.min_coverage).select(*MOSAIC)
+    pixels = block_ops.scan_blocks(merged.join(kept, MOSAIC, "left_semi"), MOSAIC, ["value"], oh, ow, template.height, template.width)
+    return pixels, scene_ops.mosaic_lineage(scenes, tiles).join(kept, MOSAIC, "left_semi")
+
+
+def mosaic_regions(px: DataFrame, scenes: DataFrame, regions: DataFrame, res: float, template_res: float, cfg=Settings(), size=block_ops.BLOCK):
+    """Tiles of one or two UTM zones to mosaics on each region's polar grid: (pixels, lineage, templates).
+
+    ``px`` holds ``name, x, y, value`` with cells of ``res`` in the tile's zone, ``scenes`` one row per tile image with
+    ``name`` and the time ``acquired``. Mosaics whose tiles lie in one zone take their nearest cells; those of two
+    zones are brought onto the grid by the cubic kernel, the zone of the region's first tile in front. Mosaics that
+    cover more than ``min_coverage`` of their region stay. ``templates`` has, for each region, the
+    earliest mosaic that covers ``template_coverage`` of it.
+    """
+    grids = region_ops.grid_spec(regions, template_res, template_res).select("region", "xmin", "ymax", "res", "width", "height")
+    tiles = scene_ops.tile_priority(regions)
+    named = scene_ops.add_tile_and_zone(scene_ops.add_mosaic_key(scenes.select("name", "acquired"))).withColumn("zone", F.col("zone").cast("int"))
+    listed = materialise(scene_ops.scenes_per_region(named, tiles).select(*MOSAIC, F.col("name").alias("tile"), "zone", "rank", "acquired"), "tiles")
+    cells = px.withColumnRenamed("name", "tile").join(listed.select(*MOSAIC, "tile"), "tile")
+    found = mosaic.mosaic_two_zone(cells, listed.join(grids, "region"), res, Grid.of_columns(), MOSAIC, size, one_zone="nearest")
+    found = materialise(found, "mosaics")
+    areas = scene_ops.coverage_fraction(scene_ops.coverage_area(found, MOSAIC, template_res**2), regions)
+    covered = materialise(areas.join(listed.groupBy(*MOSAIC).agg(F.min("acquired").alias("acquired")), MOSAIC), "coverage")
+    kept = scene_ops.filter_coverage(covered, cfg.min_coverage).select(*MOSAIC)
+    templates = scene_ops.pick_template(covered.withColumnRenamed("mosaic_key", "scene"), cfg.template_coverage).withColumnRenamed("scene", "mosaic_key")
+    lineage = scene_ops.mosaic_lineage(named, tiles).join(kept, MOSAIC, "left_semi")
+    return found.join(kept, MOSAIC, "left_semi"), lineage, templates
 
 
 def orbit_pairs(scenes: DataFrame, good: DataFrame, start: str, end: str) -> DataFrame:

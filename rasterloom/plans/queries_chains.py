@@ -57,11 +57,10 @@ def _(spark, d):
     # Every scene has an image: the speed of one of the fields.
     n = fx.fields(spark, d).count()
     scenes = fx.scenes(spark, d).groupBy("name", "tile").agg((F.min("event_id") % n).alias("field_id"))
-    speed = F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy"))
-    cells = fx.px_wide(spark, d).select("field_id", "iy", "ix", F.when(speed >= 1, speed).alias("value"))
-    px = scenes.join(cells, "field_id").drop("field_id")
+    speed = F.zip_with("dx", "dy", lambda x, y: F.when(F.sqrt(x * x + y * y) >= 1, F.sqrt(x * x + y * y)))
+    images = scenes.join(fx.field_blocks(spark, d).select("field_id", "by", "bx", speed.alias("value")), "field_id").drop("field_id")
     template = Grid(100.0, 700.0, 100.0, W - 1, H - 1)
-    clipped, lineage = chains.mosaic_clip(px, scenes.drop("field_id"), fx.regions(spark, d), SRC, template, 40e6)
+    clipped, lineage = chains.mosaic_clip_blocks(images, scenes.drop("field_id"), fx.regions(spark, d), SRC, template, H, W, 40e6)
     return clipped.join(lineage.select("region", "mosaic_key", "sources"), ["region", "mosaic_key"])
 
 
