@@ -31,19 +31,19 @@ def apply_field_mask(px: DataFrame, mask: DataFrame, columns, keep_only_one=Fals
     return joined.withColumns({c: F.when(~hidden, F.col(c)) for c in columns}).drop("mask")
 
 
-def join_extent_intersects(tiles: DataFrame, regions: DataFrame, bin_size: float) -> DataFrame:
+def join_extent_intersects(tiles: DataFrame, regions: DataFrame, finest: float | None = None) -> DataFrame:
     """Mask tiles and the regions whose box they touch."""
-    return join_boxes(tiles, regions, bin_size).select("tile", "region")
+    return join_boxes(tiles, regions, finest).select("tile", "region")
 
 
-def merge_mask_tiles(tile_cells: DataFrame, tiles: DataFrame, regions: DataFrame, res: float, bin_size: float) -> DataFrame:
+def merge_mask_tiles(tile_cells: DataFrame, tiles: DataFrame, regions: DataFrame, res: float, finest: float | None = None) -> DataFrame:
     """Masks on each region's grid from the tiles that touch it; on overlap the later tile wins.
 
     ``tile_cells`` holds ``tile, x, y`` (cell centres) and the flags.
     """
     boxes = regions.select("region", F.col("xmin").alias("rx0"), F.col("ymin").alias("ry0"),
                            F.col("xmax").alias("rx1"), F.col("ymax").alias("ry1"))
-    wanted = join_extent_intersects(tiles, regions, bin_size).join(boxes, "region")
+    wanted = join_extent_intersects(tiles, regions, finest).join(boxes, "region")
     inside = tile_cells.join(wanted, "tile").where(
         (F.col("x") >= F.col("rx0")) & (F.col("x") < F.col("rx1")) & (F.col("y") > F.col("ry0")) & (F.col("y") <= F.col("ry1"))
     )

@@ -35,7 +35,8 @@ class Settings:
     min_fields: int = pair_ops.MIN_FIELDS
     max_angle: float = correction.MAX_ANGLE
     min_ice_share: float = correction.MIN_ICE_SHARE
-    bin_size: float = 3000.0
+    # Least bin of the box index; without one the boxes' own sizes decide.
+    finest_bin: float | None = None
     # Day from which pairs were made with another elevation model; offsets are estimated apart before and after.
     dem_switch: str | None = None
     dem_date: str = "datetime_1"
@@ -58,7 +59,7 @@ def scene_selection(catalog: DataFrame, regions: DataFrame, done: DataFrame, cfg
     subset ids, with a ``region`` if they count for that region only.
     """
     usable = cat_ops.filter_platforms(catalog)
-    near = spatial.filter_intersect_fraction(spatial.join_footprint_overlap(usable, regions, cfg.bin_size), cfg.min_overlap)
+    near = spatial.filter_intersect_fraction(spatial.join_footprint_overlap(usable, regions, cfg.finest_bin), cfg.min_overlap)
     return scene_ops.anti_new_scenes(cat_ops.scene_subset_id(near), done)
 
 

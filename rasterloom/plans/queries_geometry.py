@@ -14,7 +14,6 @@ from rasterloom.plans.oracle_geo import polar_to_utm, utm_to_polar
 from rasterloom.plans.registry import query
 from rasterloom.plans.rounding import NUDGE, steady
 
-BIN = 3000.0
 SRC = Grid(0.0, 800.0, 100.0, fx.WIDTH, fx.HEIGHT)
 SHIFTED = Grid(25.0, 775.0, 100.0, fx.WIDTH, fx.HEIGHT)
 FINER = Grid(-20.0, 820.0, 60.0, 7, 14)
@@ -127,13 +126,13 @@ def mask_tiles(spark, d):
 
 @query("join_extent_intersects", "SELECT scene_no AS tile, region FROM meets", ["meets"])
 def _(spark, d):
-    return mask_ops.join_extent_intersects(mask_tiles(spark, d), fx.regions(spark, d), BIN)
+    return mask_ops.join_extent_intersects(mask_tiles(spark, d), fx.regions(spark, d))
 
 
 def overlaps(spark, d):
     ring = box_ring(*[F.col(c) for c in ("x0", "y0", "x1", "y1")])
     scenes = fx.footprints(spark, d).withColumn("ring", ring)
-    return spatial.join_footprint_overlap(scenes, fx.regions(spark, d), BIN).select("scene_no", "region", "frac")
+    return spatial.join_footprint_overlap(scenes, fx.regions(spark, d)).select("scene_no", "region", "frac")
 
 
 @query("join_footprint_overlap", "SELECT scene_no, region, round(frac, 9) AS frac FROM meets", ["meets"])
@@ -165,7 +164,7 @@ def _(spark, d):
                 ((F.col("i") + F.col("j") + F.col("tile")) % 3 != 0).alias("is_ice"),
                 ((F.col("i") * F.col("j") + F.col("tile")) % 7 == 0).alias("is_ocean"))
     )
-    merged = mask_ops.merge_mask_tiles(cells, tiles, fx.regions(spark, d), 300.0, BIN)
+    merged = mask_ops.merge_mask_tiles(cells, tiles, fx.regions(spark, d), 300.0)
     return merged.withColumns({c: F.col(c).cast("int") for c in ("is_ice", "is_ocean")})
 
 

@@ -123,3 +123,79 @@ def test_stream_keeps_all_scenes_of_a_second_whatever_the_batches(spark, tmp_pat
     found = run(spark, tmp_path, files_per_batch=1).collect()
     assert sorted((r.stamp[:8], r.orbits) for r in found) == [("20200101", "083"), ("20200105", "077"), ("20200105", "078")]
     assert len({(r.job, r.batch) for r in found}) == 3
+
+
+def landed_seconds(spark, folder, orbits):
+    """Scenes of one second, each in a file of its own."""
+    for orbit in orbits:
+        name = NAME.format(5).replace("R083", orbit)
+        spark.createDataFrame([("r", name)], "region string, name string").coalesce(1).write.mode("append").parquet(str(folder / "in"))
+
+
+def start(spark, folder, fail=None):
+    scenes = new_scenes.read_landing(spark, str(folder / "in"), schemas.struct({"region": schemas.S, "name": schemas.S}), files_per_batch=1)
+    if fail:
+        scenes = scenes.withColumn("name", F.when(F.contains("name", F.lit(fail)), F.raise_error(F.lit("broken off"))).otherwise(F.col("name")))
+    return new_scenes.stream_new_scenes(scenes, str(folder / "table"), str(folder / "cp"))
+
+
+def stored_scenes(spark, folder):
+    return sorted((r.region, r.name) for r in new_scenes.read_scenes(spark, str(folder / "table")).collect())
+
+
+@pytest.mark.parametrize("stop", [False, True])
+def test_a_broken_run_ends_like_an_unbroken_one(spark, tmp_path, stop):
+    orbits = ["R071", "R072", "R073", "R074"]
+    for name in ("whole", "broken"):
+        (tmp_path / name).mkdir()
+        landed_seconds(spark, tmp_path / name, orbits)
+    start(spark, tmp_path / "whole").awaitTermination()
+    job = start(spark, tmp_path / "broken", fail="R073")
+    with pytest.raises(Exception, match="broken off"):
+        job.awaitTermination()
+    assert 1 <= len(stored_scenes(spark, tmp_path / "broken")) < 4
+    again = start(spark, tmp_path / "broken")
+    assert again.run == job.run
+    again.awaitTermination()
+    assert stored_scenes(spark, tmp_path / "broken") == stored_scenes(spark, tmp_path / "whole") and len(stored_scenes(spark, tmp_path / "whole")) == 4
+    # That run is over: what comes now is another one's, and the second is known.
+    landed_seconds(spark, tmp_path / "broken", ["R075"])
+    last = start(spark, tmp_path / "broken")
+    if stop:
+        last.stop()
+        assert start(spark, tmp_path / "broken").run == last.run != job.run
+    else:
+        last.awaitTermination()
+        assert len(stored_scenes(spark, tmp_path / "broken")) == 4 and last.run != job.run
+
+
+def test_compaction(spark, tmp_path):
+    for day in (1, 2):
+        for orbit in ("R071", "R072", "R073"):
+            spark.createDataFrame([("r", NAME.format(day).replace("R083", orbit))], "region string, name string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    start(spark, tmp_path).awaitTermination()
+    before, table, cp = stored_scenes(spark, tmp_path), str(tmp_path / "table"), str(tmp_path / "cp")
+    folders = lambda: sorted(str(p.parent.name) for p in (tmp_path / "table").glob("day=2020*/*/*"))
+    assert len(before) == 6 and len(folders()) == 6
+    # What a job that died before its record has left does not count.
+    half = new_scenes.read_scenes(spark, table).where("day = '20200101'").withColumn("job", F.lit("compacted-0"))
+    half.write.mode("append").partitionBy("day", "job", "batch").parquet(table)
+    assert stored_scenes(spark, tmp_path) == before
+    assert new_scenes.compact(spark, table, cp, most=3) == 0
+    assert new_scenes.compact(spark, table, cp, most=2) == 2
+    assert stored_scenes(spark, tmp_path) == before
+    assert len([f for f in folders() if f != "job=compacted-0"]) == 2
+    # Known scenes stay known, new ones come in, and a second compaction takes the first one's folders along.
+    landed_seconds(spark, tmp_path, ["R079"])
+    spark.createDataFrame([("r", NAME.format(1).replace("R083", "R071"))], "region string, name string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    start(spark, tmp_path).awaitTermination()
+    assert len(stored_scenes(spark, tmp_path)) == 7
+    assert new_scenes.compact(spark, table, cp, most=0) == 3
+    assert len(stored_scenes(spark, tmp_path)) == 7
+
+
+def test_open_runs_are_not_compacted(spark, tmp_path):
+    landed_seconds(spark, tmp_path, ["R071", "R072", "R073"])
+    with pytest.raises(Exception, match="broken off"):
+        start(spark, tmp_path, fail="R073").awaitTermination()
+    assert new_scenes.compact(spark, str(tmp_path / "table"), str(tmp_path / "cp"), most=0) == 0
