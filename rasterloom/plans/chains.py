@@ -15,7 +15,7 @@ from rasterloom import schemas
 from rasterloom.functions import names
 from rasterloom.functions.grid import Grid
 from rasterloom.operators import (
-    blocks as block_ops, correction, cube, documents, masks as mask_ops, mosaic, offsets, pairs as pair_ops, regions as region_ops,
+    blocks as block_ops, correction, cube, documents, footprints as footprint_ops, masks as mask_ops, mosaic, offsets, pairs as pair_ops, regions as region_ops,
     resample, scenes as scene_ops, spatial,
 )
 from rasterloom.session import scratch_dir
@@ -63,6 +63,26 @@ def scene_selection(catalog: DataFrame, regions: DataFrame, done: DataFrame, cfg
     return scene_ops.anti_new_scenes(cat_ops.scene_subset_id(near), done)
 
 
+def scene_selection_from_coordinates(catalog: DataFrame, regions: DataFrame, done: DataFrame, cfg=Settings()) -> DataFrame:
+    """``scene_selection`` of a catalogue as it was found: its polygons in degrees are projected here."""
+    usable = footprint_ops.project_footprints(cat_ops.filter_platforms(catalog))
+    return scene_selection(usable, regions, done, cfg)
+
+
+def tile_scene_selection(scenes: DataFrame, regions: DataFrame, done: DataFrame, start: str, end: str) -> DataFrame:
+    """Scene names to the mosaics still to be made: region, mosaic_key, acquired, n_scenes.
+
+    Scenes of the region's tile list, acquired from ``start`` up to the end of ``end`` (yyyyMMdd), a copy of a scene once, minus the
+    mosaics in ``done`` (region, mosaic_key).
+    """
+    stamp = F.get(F.split("name", "_"), F.lit(2))
+    named = scene_ops.add_tile_and_zone(scene_ops.add_mosaic_key(scenes.select("name").distinct())).withColumn("acquired", names.datetime_to_timestamp(stamp))
+    period = named.where(F.substring(stamp, 1, 8).between(start, end))
+    listed = scene_ops.scenes_per_region(period, scene_ops.tile_priority(regions))
+    mosaics = listed.groupBy(*MOSAIC).agg(F.min("acquired").alias("acquired"), F.count(F.lit(1)).alias("n_scenes"))
+    return mosaics.join(done.select(*MOSAIC), MOSAIC, "left_anti")
+
+
 def mosaic_clip(
     px: DataFrame, scenes: DataFrame, regions: DataFrame, src: Grid, template: Grid | float, cell_m2: float, cfg=Settings()
 ):

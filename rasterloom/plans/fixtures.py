@@ -208,6 +208,23 @@ def catalog(spark, d):
     )
 
 
+def polygons(spark, d):
+    """Footprints in degrees as a catalogue has them: closed rings around the regions of ``polar_regions``."""
+    c = F.col("c_custkey")
+    lon, lat = -50.0 + (c % 40) * 0.25, 66.0 + (F.floor(c / 40) % 40) * 0.1
+    corner = lambda x, y: F.array(lon + x, lat + y)
+    ring = F.array(corner(0.0, 0.0), corner(2.5, 0.2), corner(2.7, 1.1), corner(-0.2, 0.9), corner(0.0, 0.0))
+    return table(spark, d, "customer").select(c.alias("scene_no"), F.array(ring).alias("coordinates"))
+
+
+def polar_regions(spark, d):
+    """Regions of 60 to 84 km on the polar grid."""
+    k = F.col("k")
+    x, y = -250000.0 + (k % 5) * 100000.0, -2650000.0 + F.floor(k / 5) * 100000.0
+    size = 60000.0 + 6000.0 * (k % 5)
+    return regions(spark, d).withColumns({"xmin": x, "ymin": y, "xmax": x + size, "ymax": y + size})
+
+
 def stack(spark, d):
     """Large stack: one row per field and cell observation."""
     key = F.col("l_orderkey")

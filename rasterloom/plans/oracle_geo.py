@@ -43,3 +43,14 @@ def polar_to_utm(source, keep):
                  tan(pi() / 4 - radians(70) / 2) / pow((1 - e * sin(radians(70))) / (1 + e * sin(radians(70))), e / 2) AS tc
     FROM (SELECT *, sqrt(f * (2 - f)) AS e, f * (2 - f) AS e2, f / (2 - f) AS n
     FROM (SELECT *, 1 / {F_INV} :: DOUBLE AS f FROM ({source}))))))))"""
+
+
+def lonlat_to_polar(source, keep):
+    """``source`` is a query with columns lon, lat and those in ``keep``; yields keep, px_x, px_y."""
+    kept = ", ".join(keep)
+    return f"""
+    SELECT {kept}, rho * sin(radians(lon + 45)) AS px_x, -rho * cos(radians(lon + 45)) AS px_y
+    FROM (SELECT {kept}, lon, {A} * cos(radians(70)) / sqrt(1 - e * e * pow(sin(radians(70)), 2))
+              / (tan(pi() / 4 - radians(70) / 2) / pow((1 - e * sin(radians(70))) / (1 + e * sin(radians(70))), e / 2))
+              * tan(pi() / 4 - radians(lat) / 2) / pow((1 - e * sin(radians(lat))) / (1 + e * sin(radians(lat))), e / 2) AS rho
+    FROM (SELECT *, sqrt(f * (2 - f)) AS e FROM (SELECT *, 1 / {F_INV} :: DOUBLE AS f FROM ({source}))))"""

@@ -39,6 +39,18 @@ def _(spark, d):
     return picked.select("region", "subset_id")
 
 
+@query("chain_tile_selection", """
+    WITH t AS (SELECT p.region, left(s.name, 37) AS mosaic_key, s.name, s.ts, s.is_done FROM scenes s JOIN tiles p ON p.tile = s.tile)
+    SELECT region, mosaic_key, strftime(min(ts), '%Y%m%d%H%M%S') AS acquired, count(DISTINCT name) AS n_scenes FROM t
+    WHERE strftime(ts, '%Y%m%d') BETWEEN '20240103' AND '20240120'
+    AND NOT EXISTS (SELECT 1 FROM t o WHERE o.is_done AND o.region = t.region AND o.mosaic_key = t.mosaic_key) GROUP BY region, mosaic_key""", ["scenes", "tiles"])
+def _(spark, d):
+    scenes, regions = fx.scenes(spark, d), fx.regions(spark, d)
+    finished = scene_ops.scenes_per_region(scene_ops.add_mosaic_key(fx.done(spark, d)), scene_ops.tile_priority(regions)).select("region", "mosaic_key").distinct()
+    picked = chains.tile_scene_selection(scenes, regions, finished, "20240103", "20240120")
+    return picked.withColumn("acquired", F.date_format("acquired", "yyyyMMddHHmmss"))
+
+
 @query("chain_mosaic_clip", """
     WITH t AS (SELECT s.event_id, s.name, left(s.name, 37) AS k, s.tile, e.iy, e.ix, e.value
                FROM (SELECT name, tile, min(event_id) AS event_id FROM scenes GROUP BY ALL) s

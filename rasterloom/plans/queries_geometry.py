@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from rasterloom.functions import grid as grids
 from rasterloom.functions import projection
 from rasterloom.functions.grid import Grid
-from rasterloom.functions.polygon import box_ring
-from rasterloom.operators import blocks as block_ops, masks as mask_ops, mosaic, regions as region_ops, resample, scenes as scene_ops, spatial
+from rasterloom.functions.polygon import box_ring, ring_area
+from rasterloom.operators import blocks as block_ops, footprints, masks as mask_ops, mosaic, regions as region_ops, resample, scenes as scene_ops, spatial
 from rasterloom.plans import fixtures as fx
-from rasterloom.plans.oracle_geo import polar_to_utm, utm_to_polar
+from rasterloom.plans.oracle_geo import lonlat_to_polar, polar_to_utm, utm_to_polar
 from rasterloom.plans.registry import query
 from rasterloom.plans.rounding import NUDGE, steady
 
@@ -120,6 +120,24 @@ def _(spark, d):
     return points.select("c_custkey", F.round(x, 4).alias("px"), F.round(y, 4).alias("py"))
 
 
+EDGES_SQL = """
+    SELECT c_custkey AS scene_no, i * 8 + k AS j,
+           -50.0 + (c_custkey % 40) * 0.25 + x0 + (x1 - x0) * k / 8 AS lon, 66.0 + ((c_custkey // 40) % 40) * 0.1 + y0 + (y1 - y0) * k / 8 AS lat
+    FROM customer, range(8) r(k), (VALUES (0, 0.0, 0.0, 2.5, 0.2), (1, 2.5, 0.2, 2.7, 1.1), (2, 2.7, 1.1, -0.2, 0.9), (3, -0.2, 0.9, 0.0, 0.0)) e(i, x0, y0, x1, y1)"""
+
+
+@query("project_footprints", f"""
+    WITH p AS ({lonlat_to_polar(EDGES_SQL, ['scene_no', 'j'])}),
+    n AS (SELECT *, coalesce(lead(px_x) OVER w, first_value(px_x) OVER w) AS nx, coalesce(lead(px_y) OVER w, first_value(px_y) OVER w) AS ny
+          FROM p WINDOW w AS (PARTITION BY scene_no ORDER BY j))
+    SELECT scene_no, CAST(count(*) AS INTEGER) AS n_points, round(min(px_x), 2) AS x0, round(min(px_y), 2) AS y0, round(max(px_x), 2) AS x1,
+           round(max(px_y), 2) AS y1, round(abs(sum(px_x * ny - nx * px_y)) / 2e6, 3) AS area_km2 FROM n GROUP BY ALL""")
+def _(spark, d):
+    found = footprints.project_footprints(fx.polygons(spark, d))
+    return found.select("scene_no", F.size("ring").alias("n_points"), *[F.round(c, 2).alias(c) for c in ("x0", "y0", "x1", "y1")],
+                        F.round(ring_area(F.col("ring")) / 1e6, 3).alias("area_km2"))
+
+
 def mask_tiles(spark, d):
     return fx.footprints(spark, d).withColumnRenamed("scene_no", "tile")
 
