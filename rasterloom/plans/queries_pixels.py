@@ -10,10 +10,10 @@ from rasterloom.operators import blocks as block_ops, correction, masks as mask_
 from rasterloom.operators.quantiles import largest_group
 from rasterloom.operators.rasters import content_digest, shape_uniformity
 from rasterloom.plans import fixtures as fx
-from rasterloom.plans.chains import materialise
 from rasterloom.plans.registry import query
 from rasterloom.plans.rounding import steady, steady_sql
 from rasterloom.sources.pixels import scan_pixels
+from rasterloom.sources.store import intermediate
 
 W, H = fx.WIDTH, fx.HEIGHT
 CELL = ["region", "iy", "ix"]
@@ -24,14 +24,21 @@ def masked(spark, d):
     return mask_ops.rock_mask(fx.masks(spark, d))
 
 
-def a_priori(spark, d):
+def made_a_priori(spark, d):
     found = offsets.a_priori_blocks(fx.field_blocks(spark, d), fx.fields(spark, d), H, W, H, W)
     return offsets.to_long(block_ops.scan_blocks(found, ["region"], offsets.COMPONENTS, H, W, H, W))
 
 
+def a_priori(spark, d):
+    """The a priori field where other steps read it: made once for the files it comes from."""
+    return intermediate(spark, "a-priori", [fx.table(spark, d, "embeddings")], {"min_fields": pair_ops.MIN_FIELDS}, lambda: made_a_priori(spark, d))
+
+
 def offset_table(spark, d, reference=None):
-    reference = a_priori(spark, d) if reference is None else reference
-    return offsets.orbit_pair_offset(fx.px_wide(spark, d), fx.fields(spark, d), reference)
+    def made():
+        return offsets.orbit_pair_offset(fx.px_wide(spark, d), fx.fields(spark, d), a_priori(spark, d) if reference is None else reference)
+
+    return intermediate(spark, "offsets", [fx.table(spark, d, "embeddings")], {"min_fields": pair_ops.MIN_FIELDS}, made)
 
 
 def corrected(spark, d, reference=None):
@@ -44,13 +51,8 @@ def corrected_masked(spark, d, reference=None):
     return mask_ops.join_masks(corrected(spark, d, reference), masked(spark, d))
 
 
-def shared_a_priori(spark, d):
-    """The a priori field where several steps read it."""
-    return materialise(a_priori(spark, d), "a-priori")
-
-
 def ready_to_filter(spark, d):
-    reference = shared_a_priori(spark, d)
+    reference = a_priori(spark, d)
     return correction.join_flow_reference(
         corrected_masked(spark, d, reference), offsets.flow_reference(reference)
     )
@@ -158,7 +160,7 @@ def _(spark, d):
 
 @query("a_priori_field", "SELECT region, component, iy, ix, value FROM a_priori", ["a_priori"])
 def _(spark, d):
-    return a_priori(spark, d)
+    return made_a_priori(spark, d)
 
 
 @query("join_a_priori", """
@@ -171,7 +173,7 @@ def _(spark, d):
 
 @query("orbit_pair_offset", "SELECT region, orbit_pair, iy, ix, dx_offset, dy_offset FROM off_wide", ["off_wide"])
 def _(spark, d):
-    return offset_table(spark, d)
+    return offsets.orbit_pair_offset(fx.px_wide(spark, d), fx.fields(spark, d), a_priori(spark, d))
 
 
 @query("offset_magnitude", """
