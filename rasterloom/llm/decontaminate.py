@@ -18,20 +18,20 @@ HIT = pa.struct([("pos", pa.int32()), ("len", pa.int32()), ("h1", pa.int64()), (
 
 
 def fingerprinted(words, size):
-    """Windows of ``size`` words: first word, fingerprint and a 128-bit hash of the window.
+    """Windows of ``size`` words: first word, fingerprint and the window's two hashes.
 
     The fingerprint is the least k-gram hash of the window. Neighbouring windows mostly share it,
     which is what winnowing keeps of a text.
     """
     at, _, gram = words.anchors(size)
-    return at, W.mix(gram, seed=size), words.runs.hashes(at, at + size, 100 + size), words.runs.hashes(at, at + size, 200 + size)
+    return at, W.mix(gram, seed=size), words.hashes(at, at + size, 0), words.hashes(at, at + size, 1)
 
 
 def _item_windows(window):
     def run(batches):
         for batch in batches:
             for part in W.slices(batch, "text"):
-                words = W.Words(part.column("text"), W.ALNUM)
+                words = W.NamedWords(part.column("text"), W.ALNUM)
                 item = part.column("item")
                 for size in range(1, window + 1):
                     at, print_, h1, h2 = fingerprinted(words, size)
@@ -51,7 +51,7 @@ def _document_hits(bitmap, sizes, keep):
         mask = W.U64(64 * len(bits) - 1)
         for batch in batches:
             for part in W.slices(batch, "text"):
-                words = W.Words(part.column("text"), W.ALNUM)
+                words = W.NamedWords(part.column("text"), W.ALNUM)
                 found = []
                 for size in sizes:
                     at, print_, h1, h2 = fingerprinted(words, size)
@@ -70,6 +70,24 @@ def _document_hits(bitmap, sizes, keep):
     return run
 
 
+def _merged(batches):
+    """Windows of each row, sorted, to the stretches that they cover; windows that overlap or touch make one."""
+    for batch in batches:
+        at = batch.column("at")
+        inner, bounds = at.flatten(), at.offsets.to_numpy()
+        bounds = bounds - bounds[0]
+        row = np.repeat(np.arange(batch.num_rows), np.diff(bounds)) << 32  # rows lie apart
+        pos, end = (inner.field(c).to_numpy().astype(np.int64) + row for c in ("pos", "end"))
+        reach = np.maximum.accumulate(end) if len(end) else end
+        first = np.flatnonzero(np.append(True, pos[1:] > reach[:-1])) if len(pos) else np.zeros(0, np.int64)
+        last = np.append(first[1:], len(pos)) - 1
+        spans = pa.StructArray.from_arrays(
+            [pa.array((x & 0xFFFFFFFF).astype(np.int32)) for x in (pos[first], reach[last] if len(first) else reach)], names=["pos", "end"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("uid"), pa.ListArray.from_arrays(pa.array(np.searchsorted(first, bounds).astype(np.int32)), spans), batch.column("items")],
+            ["uid", "spans", "items"])
+
+
 def contamination(docs, benchmark, window=WINDOW, keep=("doc_id",)):
     """Words of each document that lie in an occurrence of a window of benchmark words.
 
@@ -82,8 +100,8 @@ def contamination(docs, benchmark, window=WINDOW, keep=("doc_id",)):
     shares a fingerprint: the guarantee is exact at the window's own length. Document fingerprints
     are joined with the benchmark's in two steps. A bitmap of at most 1 MB of the benchmark's
     fingerprints goes to all tasks and holds back what cannot match. Around what is left, matches are
-    extended to the windows that the fingerprint stands for, as 128-bit hashes of ten words, and
-    joined exactly. Overlapping windows merge to spans.
+    extended to the windows that the fingerprint stands for, as two independent hashes of their words, and
+    joined on both. Overlapping windows merge to spans.
 
     Returns the kept columns, uid, n_words, spans (array of struct(pos, end) in words), items (sorted ids).
     """
@@ -104,10 +122,5 @@ def contamination(docs, benchmark, window=WINDOW, keep=("doc_id",)):
     found = found.groupBy("uid").agg(
         F.sort_array(F.collect_set(F.struct("pos", (F.col("pos") + F.col("len")).alias("end")))).alias("at"),
         F.sort_array(F.collect_set("item")).alias("items"))
-    merged = F.expr("""
-        aggregate(at, cast(array() as array<struct<pos:int,end:int>>), (done, x) ->
-            if(size(done) > 0 and x.pos <= done[size(done) - 1].end,
-               concat(slice(done, 1, size(done) - 1),
-                      array(struct(done[size(done) - 1].pos as pos, greatest(x.end, done[size(done) - 1].end) as end))),
-               concat(done, array(x))))""")
-    return rows.drop("hits").join(found.select("uid", merged.alias("spans"), "items"), "uid", "left")
+    spans = found.mapInArrow(_merged, "uid bigint, spans array<struct<pos:int,end:int>>, items array<string>")
+    return rows.drop("hits").join(spans, "uid", "left")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rasterloom.llm import words as W
 from rasterloom.llm.components import components
-from rasterloom.llm.tables import Seen, numbered, schema, stored
+from rasterloom.llm.tables import Seen, numbered, schema, spread_join, stored
 
 #: A tile holds at most about so many documents and so many shingles.
 TILE_ROWS, TILE_SHINGLES = 512, 1 << 22
@@ -70,9 +70,10 @@ def range_keys(values, bands):
 
 
 def _sets(part, size):
-    words = W.Words(part.column("text"), W.LOWER)
-    for row, values in enumerate(W.shingle_sets(words, size)):
-        yield row, values
+    """Row, sorted shingle hashes, and the set's two names."""
+    words = W.NamedWords(part.column("text"), W.LOWER)
+    for row, (values, second) in enumerate(W.shingle_sets(words, size)):
+        yield row, values, (W.set_hash(values, 1), W.set_hash(second, 3))
 
 
 def signature(values):
@@ -114,7 +115,7 @@ def _identities(size, keep):
     def run(batches):
         for batch in batches:
             for part in W.slices(batch, "text"):
-                found = [(len(v), W.set_hash(v, 1), W.set_hash(v, 3), signature(v).tobytes()) for _, v in _sets(part, size)]
+                found = [(len(v), *names, signature(v).tobytes()) for _, v, names in _sets(part, size)]
                 n, h1, h2, bits = zip(*found)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in keep), part.column("uid"), *(pa.array(x, pa.int64()) for x in (n, h1, h2)), pa.array(bits, pa.binary())],
@@ -128,64 +129,181 @@ def _keys(size, bands):
         for batch in batches:
             for part in W.slices(batch, "text"):
                 keys, owners = [], []
-                for _, values in _sets(part, size):
-                    if len(values) and seen.add(h1 := W.set_hash(values, 1)):
+                for _, values, names in _sets(part, size):
+                    if len(values) and seen.add(names):
                         for k in range_keys(values, bands):
                             keys.append(k)
-                            owners.append(np.full(len(k), h1, np.int64))
+                            owners.append(np.full(len(k), names[0], np.int64))
                 if keys:
                     yield pa.RecordBatch.from_arrays([pa.array(W.signed(np.concatenate(keys))), pa.array(np.concatenate(owners))], ["key", "h1"])
     return run
 
 
-def _runs(batches):
+def _tile(name, number=0):
+    """A tile's number from a name and a number in it."""
+    return int(W.mix(np.array([name], np.int64).view(W.U64) + W.U64(number << 32), 14).view(np.int64)[0])
+
+
+class _Run:
+    """One key with more owners than a tile holds, taken as its rows come, so that no task holds its owners."""
+
+    def __init__(self, key, star, half):
+        self.key, self.star, self.half = key, star, half
+        self.first, self.rest, self.number, self.last = None, np.zeros(0, np.int64), 0, None
+
+    def add(self, owners, end=False):
+        """(tile, owners) that these rows complete: each block with the first one; or without ``star`` (None, owners)."""
+        owners = owners[np.append(True, owners[1:] != owners[:-1])] if len(owners) else owners
+        if len(owners) and owners[0] == self.last:
+            owners = owners[1:]
+        if not len(owners) and not end:
+            return
+        self.last = owners[-1] if len(owners) else self.last
+        if not self.star:
+            if len(owners):
+                yield None, owners
+            return
+        self.rest = np.append(self.rest, owners)
+        while len(self.rest) >= self.half or (end and len(self.rest)):
+            block, self.rest = self.rest[:self.half], self.rest[self.half:]
+            if self.first is None:
+                self.first = block
+            else:
+                self.number += 1
+                yield _tile(self.key, self.number), np.append(self.first, block)
+
+
+def _runs(star, size):
     """Sets that share a key, as tiles: rows come sorted by key and owner.
 
-    Near copies share many keys; keys with the same owners make one tile. A key with more owners than
-    a tile holds is cut into blocks, and each pair of blocks is a tile.
+    Near copies share many keys; keys with the same owners make one tile. Of a key with more than ``size``
+    owners each block of half as many meets the first one or, without ``star``, its owners are named with the key
+    in ``hot`` and have no tile.
     """
-    seen, key, owner = Seen(), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def tiles(key, owner):
-        fresh = np.ones(len(key), bool)
-        fresh[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
-        key, owner = key[fresh], owner[fresh]
-        start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        end = np.append(start[1:], len(key))
-        large = end - start > 1
-        sums = W.Runs(W.mix(owner.view(W.U64), 12))
-        names = W.signed(sums.hashes(start[large], end[large], 13))
-        out = [[], []]
-        for low, high, name in zip(start[large].tolist(), end[large].tolist(), names.tolist()):
-            if not seen.add(name):
+    def run(batches):
+        seen, key, owner, large = Seen(), np.zeros(0, np.int64), np.zeros(0, np.int64), None
+
+        def batch_of(found):
+            key, tile, members = zip(*found)
+            rows = [len(m) for m in members]
+            tile = [np.full(n, t or 0, np.int64) for n, t in zip(rows, tile)]
+            none = np.repeat([t is None for _, t, _ in found], rows)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(tile), mask=none), pa.array(np.concatenate(members)), pa.array(np.repeat(np.array(key, np.int64), rows), mask=~none)],
+                ["tile", "h1", "hot"])
+
+        def tiles(key, owner):
+            """Keys that are complete."""
+            fresh = np.ones(len(key), bool)
+            fresh[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+            key, owner = key[fresh], owner[fresh]
+            start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            end = np.append(start[1:], len(key))
+            several = end - start > 1
+            start, end = start[several], end[several]
+            names = W.signed(W.Residues(W.mix(owner.view(W.U64), 12), 0).hashes(start, end, 13))
+            for low, high, name in zip(start.tolist(), end.tolist(), names.tolist()):
+                if high - low > size:
+                    yield from ((int(key[low]), *x) for x in _Run(int(key[low]), star, size // 2 or 1).add(owner[low:high], end=True))
+                elif seen.add(name):
+                    yield 0, _tile(name), owner[low:high]
+
+        def more(owners, end=False):
+            yield from ((large.key, *x) for x in large.add(owners, end))
+
+        for batch in batches:
+            new_key, new_owner = batch.column("key").to_numpy(), batch.column("h1").to_numpy()
+            if not len(new_key):
                 continue
-            half = TILE_ROWS // 2 or 1
-            blocks = [owner[i:i + half] for i in range(low, high, half)] if high - low > TILE_ROWS else [owner[low:high]]
-            for i in range(len(blocks)):
-                for j in range(i + 1 if len(blocks) > 1 else i, len(blocks)):
-                    members = np.concatenate([blocks[i], blocks[j]]) if i < j else blocks[i]
-                    out[0].append(np.full(len(members), int(W.mix(np.array([name], np.int64).view(W.U64) + W.U64(i << 32 | j), 14).view(np.int64)[0])))
-                    out[1].append(members)
-        if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["tile", "h1"])
-
-    for batch in batches:
-        key, owner = (np.append(x, batch.column(c).to_numpy()) for x, c in ((key, "key"), (owner, "h1")))
-        if not len(key):
-            continue
-        last = np.searchsorted(key, key[-1])  # the last key may go on in the next batch
-        yield from tiles(key[:last], owner[:last])
-        key, owner = key[last:], owner[last:]
-    if len(key):
-        yield from tiles(key, owner)
+            found = []
+            if large is not None:
+                same = int(np.searchsorted(new_key, large.key, "right"))
+                found += more(new_owner[:same], end=same < len(new_key))
+                new_key, new_owner = new_key[same:], new_owner[same:]
+                large = None if len(new_key) else large
+            key, owner = np.append(key, new_key), np.append(owner, new_owner)
+            if len(key):
+                last = np.searchsorted(key, key[-1])  # the last key may go on in the next batch
+                found += tiles(key[:last], owner[:last])
+                key, owner = key[last:], owner[last:]
+                if len(np.unique(owner)) > size:
+                    large = _Run(int(key[0]), star, size // 2 or 1)
+                    found += more(owner)
+                    key, owner = key[:0], owner[:0]
+            if found:
+                yield batch_of(found)
+        found = [*(more(owner[:0], end=True) if large is not None else ()), *(tiles(key, owner) if len(key) else ())]
+        if found:
+            yield batch_of(found)
+    return run
+
+
+TILES = "tile bigint, h1 bigint, hot bigint"
+
+
+def _stars(keys):
+    """Tiles of the owners of keys (key, h1, weight): all of a key in one, or each block with that of the weightiest."""
+    rows = keys.repartition("key").sortWithinPartitions("key", F.desc("weight"), "h1").select("key", "h1").mapInArrow(_runs(True, TILE_ROWS), TILES)
+    return rows.select("tile", "h1").distinct().withColumn("label", F.col("h1"))
+
+
+def _candidate_groups(keys, plausible):
+    """(h1, group) of sets that plausible pairs connect, of all pairs that share a key.
+
+    Keys with few owners are tiles. Keys with many owners, which a large group of near copies has, are taken in
+    three steps, none of which has more rows than owners unless their sets do not belong together: first each owner
+    meets others under the one key that most share with it, then under each key one owner of each group
+    so far, and at last the owners outside of a key's largest group meet all of its owners.
+    """
+    runs = stored(keys.repartition("key").sortWithinPartitions("key", "h1").mapInArrow(_runs(False, TILE_ROWS), TILES), "runs")
+    hot = stored(runs.filter("hot is not null").select("hot", "h1").distinct(), "hot")
+    # A key's owners are counted before the shuffle and meet the count again in a join that can split a hot key.
+    counts = hot.groupBy("hot").count()
+    most = spread_join(hot, counts, ["hot"]).groupBy("h1").agg(F.max_by("hot", F.struct("count", "hot")).alias("key")).withColumn("weight", F.lit(0))
+    cold = runs.filter("tile is not null").select("tile", "h1").distinct().withColumn("label", F.col("h1"))
+    edges = stored(plausible(cold.unionByName(_stars(most))), "edges")
+    if hot.isEmpty():
+        return components(edges).withColumnsRenamed({"node": "h1", "component": "group"})
+    for meeting in (_one_of_each, _outside):
+        groups = stored(components(edges), "groups").withColumnsRenamed({"node": "h1", "component": "label"})
+        labelled = stored(hot.join(groups, "h1", "left").withColumn("label", F.coalesce("label", "h1")), "labelled")
+        edges = stored(edges.unionByName(plausible(meeting(labelled))), "edges")
+    return components(edges).withColumnsRenamed({"node": "h1", "component": "group"})
+
+
+def _one_of_each(labelled):
+    """Tiles of each key's groups so far, by one owner each. The largest groups meet all others."""
+    return _stars(labelled.groupBy("hot", "label").agg(F.min("h1").alias("h1"), F.count(F.lit(1)).alias("weight")).withColumnRenamed("hot", "key"))
+
+
+def _outside(rows):
+    """Tiles for what earlier steps may have missed: owners outside their key's largest group against all its owners.
+
+    ``rows``: hot, h1, label of the group so far. An owner outside, in part i of its kind, meets part j of all
+    owners of the key, each part at most about half a tile. Owners of one group need no test.
+    """
+    main = rows.groupBy("hot", "label").count().groupBy("hot").agg(
+        F.max_by("label", F.struct("count", "label")).alias("main"), F.sum("count").alias("n"), F.max("count").alias("top"))
+    half = TILE_ROWS // 2 or 1
+    main = main.where("n > top").select(
+        "hot", "main", F.ceil(F.col("n") / half).cast("int").alias("parts"), F.ceil((F.col("n") - F.col("top")) / half).cast("int").alias("out_parts"))
+    rows = stored(spread_join(rows, main, ["hot"]), "outside")
+    place = lambda n: F.pmod(F.xxhash64("h1"), F.col(n))
+    named = lambda i, j: F.xxhash64("hot", i.cast("int"), j.cast("int")).alias("tile")
+    out = rows.where("label != main").withColumn("j", F.explode(F.expr("sequence(0, parts - 1)"))).select("h1", "label", named(place("out_parts"), F.col("j")))
+    all_ = rows.withColumn("i", F.explode(F.expr("sequence(0, out_parts - 1)"))).select("h1", "label", named(F.col("i"), place("parts")))
+    return out.unionByName(all_).distinct()
 
 
 def _plausible(num, den):
-    """Edges that join all sets of a tile whose signatures do not rule out a link; rows come sorted by tile and size."""
-    def edges(tile, owner, n, bits):
+    """Edges that join all sets of a tile whose signatures do not rule out a link; rows come sorted by tile and size.
+
+    Sets of one label are joined already.
+    """
+    def edges(tile, owner, n, bits, label):
         cut = np.flatnonzero(np.append(True, tile[1:] != tile[:-1]))
         for low, high in zip(cut.tolist(), [*cut[1:].tolist(), len(tile)]):
-            group, signs = np.arange(low, high), Signatures([np.frombuffer(b, W.U64) for b in bits[low:high]])
+            group, signs = np.unique(label[low:high], return_inverse=True)[1], Signatures([np.frombuffer(b, W.U64) for b in bits[low:high]])
             for i in range(low, high - 1):
                 near = np.arange(i + 1, low + np.searchsorted(n[low:high], n[i] * den // num, "right"))
                 near = near[group[near - low] != group[i - low]]
@@ -201,7 +319,7 @@ def _plausible(num, den):
     def run(batches):
         seen, held = Seen(), None
         for batch in _and_end(batches):
-            now = None if batch is None else tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("tile", "h1", "n", "bits"))
+            now = None if batch is None else tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("tile", "h1", "n", "bits", "label"))
             if held is not None and now is not None:
                 now = tuple(np.concatenate(x) for x in zip(held, now))
             rows, held = (held, None) if now is None else (now, None)
@@ -227,8 +345,8 @@ def _packed(size):
             for part in W.slices(batch, "text"):
                 h1, h2 = part.column("h1").to_numpy(), part.column("h2").to_numpy()
                 keep, blobs = [], []
-                for row, values in _sets(part, size):
-                    if W.set_hash(values, 1) == h1[row] and W.set_hash(values, 3) == h2[row]:
+                for row, values, names in _sets(part, size):
+                    if names == (h1[row], h2[row]):
                         keep.append(row)
                         blobs.append(values.tobytes())
                 yield pa.RecordBatch.from_arrays([part.column("uid").take(pa.array(keep, pa.int64())), pa.array(blobs, pa.binary())], ["uid", "shingles"])
@@ -341,21 +459,30 @@ def near_duplicates(docs, shingle=5, num=80, den=100, keep=("doc_id",)):
 
     Returns uid, the kept columns, n_shingles, group (a long, equal for linked documents).
     """
-    rows = stored(numbered(docs, *dict.fromkeys([*keep, "text"])).mapInArrow(
-        _identities(shingle, keep), schema(docs, keep, "uid bigint, n bigint, h1 bigint, h2 bigint, bits binary")), "sets")
+    # A text is found again by its id and a hash; of an id with many texts each row meets its own text only.
+    mark = F.xxhash64("text").alias("mark")
+    source = docs.select(*(F.col(c).alias(f"k{i}") for i, c in enumerate(keep)), F.col("doc_id").alias("own_id"), mark, "text")
+    kept = [f"k{i}" for i in range(len(keep))]
+    rows = stored(numbered(source, *kept, "own_id", "mark", "text").mapInArrow(
+        _identities(shingle, [*kept, "own_id", "mark"]), schema(source, [*kept, "own_id", "mark"], "uid bigint, n bigint, h1 bigint, h2 bigint, bits binary")), "sets")
     docs = docs.select("doc_id", "text")
     bands = Bands(num, den)
     keys = docs.select("text").mapInArrow(_keys(shingle, bands), "key bigint, h1 bigint")
-    runs = keys.repartition("key").sortWithinPartitions("key", "h1").mapInArrow(_runs, "tile bigint, h1 bigint").distinct()
-    classes = rows.filter("n > 0").groupBy("h1", "h2").agg(
-        F.min("uid").alias("uid"), F.min_by("doc_id", "uid").alias("own_id"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    classes = rows.filter("n > 0").groupBy("h1", "h2").agg(F.min("uid").alias("uid"), *(
+        F.min_by(c, "uid").alias(c) for c in ("own_id", "mark")), F.first("n").alias("n"), F.first("bits").alias("bits"))
     classes = stored(classes, "classes")
-    signed = runs.join(classes.select("h1", "n", "bits"), "h1").repartition("tile").sortWithinPartitions("tile", "n", "h1")
-    groups = components(signed.mapInArrow(_plausible(num, den), "a bigint, b bigint")).withColumnRenamed("node", "h1").withColumnRenamed("component", "group")
+
+    def plausible(tiles):
+        """Distinct edges between sets that meet in a tile."""
+        met = spread_join(tiles, classes.select("h1", "n", "bits"), ["h1"]).repartition("tile").sortWithinPartitions("tile", "n", "h1")
+        return met.select("tile", "h1", "n", "bits", "label").mapInArrow(_plausible(num, den), "a bigint, b bigint").distinct()
+
+    groups = _candidate_groups(keys, plausible)
     classes = classes.drop("bits")
     candidates = stored(_celled(classes.join(groups, "h1"), num, den), "candidates")
     # Candidates grow with the corpus, so they are never broadcast: texts travel once at every size.
-    sets = docs.join(candidates.hint("merge"), F.col("doc_id").eqNullSafe(F.col("own_id"))).select("uid", "text", "h1", "h2").mapInArrow(_packed(shingle), "uid bigint, shingles binary")
+    sets = docs.withColumn("text_mark", F.xxhash64("text")).join(
+        candidates.hint("merge"), F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_mark") == F.col("mark"))).select("uid", "text", "h1", "h2").mapInArrow(_packed(shingle), "uid bigint, shingles binary")
     sets = stored(sets, "shingles")
     compare = lambda tiles: sets.join(tiles, "uid").select("uid", "tile", "label", "shingles").groupBy("tile").applyInArrow(_verify(num, den), "a bigint, b bigint")
     links = stored(compare(candidates.select("uid", F.col("uid").alias("label"), F.explode(F.expr(FIRST_TILES)).alias("tile"))), "links")
@@ -365,5 +492,6 @@ def near_duplicates(docs, shingle=5, num=80, den=100, keep=("doc_id",)):
     if not more.isEmpty():
         linked = components(links.unionByName(more))
     named = classes.join(linked.withColumnRenamed("node", "uid"), "uid", "left").select("h1", "h2", F.coalesce("component", "uid").alias("group"))
-    full = rows.filter("n > 0").join(named, ["h1", "h2"]).select("uid", *keep, F.col("n").alias("n_shingles"), "group")
-    return full.unionByName(rows.filter("n = 0").select("uid", *keep, F.col("n").alias("n_shingles"), F.col("uid").alias("group")))
+    back = [F.col(k).alias(c) for k, c in zip(kept, keep)]
+    full = rows.filter("n > 0").join(named, ["h1", "h2"]).select("uid", *back, F.col("n").alias("n_shingles"), "group")
+    return full.unionByName(rows.filter("n = 0").select("uid", *back, F.col("n").alias("n_shingles"), F.col("uid").alias("group")))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -293,9 +295,11 @@ def _find(model, keep):
                     tags = np.concatenate([tagger.decode(symbols[i:i + 2048]) for i in range(0, len(symbols), 2048)])
                     at = 0
                     for (row, text), k in zip(texts, numbers):
-                        base = spans[row][:]
+                        base = sorted(spans[row])
+                        starts, reach = [a for a, *_ in base], list(accumulate((b for _, _, b, _ in base), max))
                         for span in reconciled(tags[at:at + len(k)], len(text), k):
-                            if plausible(text, span) and not any(a < span[2] and span[0] < b for a, _, b, _ in base):
+                            before = bisect_left(starts, span[2])  # base spans that begin before this one ends
+                            if plausible(text, span) and not (before and reach[before - 1] > span[0]):
                                 spans[row].append((*span, False))
                         spans[row].sort()
                         at += len(k)
@@ -329,14 +333,24 @@ def find_personal_data(docs, keep=("doc_id",)):
         _find(model, keep), schema(docs, keep, "spans array<struct<kind:string,start:int,end:int,base:boolean>>"))
 
 
+def _masked(batches):
+    for batch in batches:
+        texts, spans = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
+        for i, (text, own) in enumerate(zip(texts, spans)):
+            if own:
+                parts, at = [], 0
+                for s in own:
+                    if s["start"] >= at:
+                        parts += [text[at:s["start"]], "[", s["kind"].upper(), "]"]
+                    at = max(at, s["end"])
+                texts[i] = "".join([*parts, text[at:]])
+        place = batch.schema.get_field_index("text")
+        yield batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
+
+
 def masked(found):
     """The text of a ``find_personal_data`` result that keeps it, with each span replaced by its kind in brackets.
 
-    Overlapping spans are masked as one, by the first one's kind.
+    Overlapping spans are masked as one, by the first one's kind. In time linear in the text and its spans.
     """
-    # Walk over the spans: text so far, and where the next piece starts.
-    step = """aggregate(spans, struct('' as done, 0 as at), (acc, s) ->
-        if(s.start < acc.at, struct(acc.done as done, greatest(acc.at, s.end) as at),
-           struct(concat(acc.done, substring(text, acc.at + 1, s.start - acc.at), '[', upper(s.kind), ']') as done, s.end as at)),
-        acc -> concat(acc.done, substring(text, acc.at + 1)))"""
-    return found.withColumn("text", F.when(F.size("spans") == 0, F.col("text")).otherwise(F.expr(step)))
+    return found.mapInArrow(_masked, found.schema)

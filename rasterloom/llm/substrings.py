@@ -42,23 +42,23 @@ def _index(window):
     def run(batches):
         for batch in batches:
             for part in W.slices(batch, "text"):
-                words = W.Words(part.column("text"), W.PLAIN)
+                words = W.NamedWords(part.column("text"), W.PLAIN)
                 _, anchor, gram = words.anchors(window)
                 first = np.ones(len(anchor), bool)
                 first[1:] = anchor[1:] != anchor[:-1]
                 anchor, gram = anchor[first], W.signed(gram[first])
                 pos = (anchor - words.first[words.row[anchor]]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    part.column("uid"), part.column("doc_id"), pa.array(words.counts.astype(np.int64)),
-                    pa.array(W.signed(words.sequences(1))), pa.array(W.signed(words.sequences(2))),
+                    part.column("uid"), part.column("doc_id"), part.column("mark"), pa.array(words.counts.astype(np.int64)),
+                    pa.array(W.signed(words.sequences(0))), pa.array(W.signed(words.sequences(1))),
                     pa.array([kept_hash(words, r) for r in range(words.rows)]), *_lists(anchor, words, words.rows, gram, pos),
-                ], ["uid", "doc_id", "n_words", "h1", "h2", "whole", "gram", "pos"])
+                ], ["uid", "doc_id", "mark", "n_words", "h1", "h2", "whole", "gram", "pos"])
     return run
 
 
 def _same(part, words):
-    """Rows whose text is the one the index was made of (a doc_id may be repeated with another text)."""
-    return (W.signed(words.sequences(1)) == part.column("h1").to_numpy()) & (W.signed(words.sequences(2)) == part.column("h2").to_numpy())
+    """Rows whose text is the one the index was made of, should two texts of an id have one mark."""
+    return (W.signed(words.sequences(0)) == part.column("h1").to_numpy()) & (W.signed(words.sequences(1)) == part.column("h2").to_numpy())
 
 
 def _candidates(window):
@@ -66,7 +66,7 @@ def _candidates(window):
     def run(batches):
         for batch in batches:
             for part in W.slices(batch, "text"):
-                words = W.Words(part.column("text"), W.PLAIN)
+                words = W.NamedWords(part.column("text"), W.PLAIN)
                 at, anchor, _ = words.anchors(window)
                 seeds = part.column("seeds")
                 counts = np.diff(seeds.offsets.to_numpy())
@@ -76,8 +76,7 @@ def _candidates(window):
                 at = at[hot[anchor]]
                 yield pa.RecordBatch.from_arrays([
                     part.column("uid").take(pa.array(words.row[at])), pa.array((at - words.first[words.row[at]]).astype(np.int32)),
-                    pa.array(W.signed(words.runs.hashes(at, at + window, 3))),
-                    pa.array((words.runs.hashes(at, at + window, 4) >> W.U64(33)).astype(np.int32)),
+                    *(pa.array(W.signed(words.hashes(at, at + window, lane))) for lane in (0, 1)),
                 ], ["uid", "start", "w1", "w2"])
     return run
 
@@ -96,7 +95,7 @@ def _parse(window):
     def run(batches):
         for batch in batches:
             for part in W.slices(batch, "text"):
-                words = W.Words(part.column("text"), W.PLAIN)
+                words = W.NamedWords(part.column("text"), W.PLAIN)
                 same = _same(part, words)
                 out = []
                 for row in np.flatnonzero(same).tolist():
@@ -134,22 +133,23 @@ def repeated_passages(docs, window=WINDOW):
     Returns uid, doc_id, n_words, n_removed, kept_sha256, spans (struct(pos, end) in words).
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    index = stored(numbered(docs, "doc_id", "text").mapInArrow(
-        _index(window), f"uid bigint, doc_id {id_type}, n_words bigint, h1 bigint, h2 bigint, whole string, gram array<bigint>, pos array<int>"), "blocks")
+    # A text is found again by its id and a hash; of an id with many texts each row meets its own text only.
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))
+    again = lambda rows: texts.join(rows.withColumnsRenamed({"doc_id": "own_id", "mark": "own_mark"}), (
+        F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("mark") == F.col("own_mark"))))
+    index = stored(numbered(texts, "doc_id", "text", "mark").mapInArrow(
+        _index(window), f"uid bigint, doc_id {id_type}, mark bigint, n_words bigint, h1 bigint, h2 bigint, whole string, gram array<bigint>, pos array<int>"), "blocks")
     blocks = index.filter(F.col("n_words") >= window).groupBy("h1", "h2").agg(F.min("uid").alias("uid"), F.count(F.lit(1)).alias("copies"))
     seeds = index.join(blocks.select("uid"), "uid").select("uid", F.explode(F.arrays_zip("gram", "pos")).alias("x")).select("uid", "x.*")
     common = seeds.groupBy("gram").count().filter("count > 1").select("gram")
     seeds = stored(spread_join(seeds, common, ["gram"]).groupBy("uid").agg(F.collect_list("pos").alias("seeds")), "seeds")
-    seeds = index.select("uid", "doc_id", "h1", "h2").join(seeds, "uid")
-    texts = docs.select("doc_id", "text")
-    texts = texts.join(seeds.withColumnRenamed("doc_id", "own_id"), F.col("doc_id").eqNullSafe(F.col("own_id"))).select("uid", "text", "h1", "h2", "seeds")
-    windows = texts.mapInArrow(_candidates(window), "uid bigint, start int, w1 bigint, w2 int")
-    again = windows.groupBy("w1", "w2").count().filter("count > 1").drop("count")
-    starts = stored(spread_join(windows, again, ["w1", "w2"]).groupBy("uid").agg(F.collect_set("start").alias("starts")), "starts")
+    seeds = index.select("uid", "doc_id", "mark", "h1", "h2").join(seeds, "uid")
+    windows = again(seeds).select("uid", "text", "h1", "h2", "seeds").mapInArrow(_candidates(window), "uid bigint, start int, w1 bigint, w2 bigint")
+    common = windows.groupBy("w1", "w2").count().filter("count > 1").drop("count")
+    starts = stored(spread_join(windows, common, ["w1", "w2"]).groupBy("uid").agg(F.collect_set("start").alias("starts")), "starts")
     # Every copy of a word sequence shares its first row's parse, or is gone whole.
-    starts = starts.join(index.select("uid", "doc_id", "h1", "h2"), "uid").join(blocks.filter("copies = 1").select("uid"), "uid")
-    texts = docs.select("doc_id", "text").join(starts.withColumnRenamed("doc_id", "own_id"), F.col("doc_id").eqNullSafe(F.col("own_id")))
-    parsed = texts.select("uid", "text", "h1", "h2", "starts").mapInArrow(
+    starts = starts.join(index.select("uid", "doc_id", "mark", "h1", "h2"), "uid").join(blocks.filter("copies = 1").select("uid"), "uid")
+    parsed = again(starts).select("uid", "text", "h1", "h2", "starts").mapInArrow(
         _parse(window), "uid bigint, spans array<struct<pos:int,end:int>>, n_removed bigint, kept_sha256 string")
     # A repeated doc_id with the same text has copies, so each uid is parsed once.
     copied = index.join(blocks.filter("copies > 1").select("h1", "h2"), ["h1", "h2"]).select(
