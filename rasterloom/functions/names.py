@@ -45,6 +45,7 @@ def landsat_id_columns(name, suffix=""):
     Ids beyond 80 characters carry the current layout, ``AST`` at 16-18 marks another instrument,
     and everything else is the pre-collection layout.
     """
+    # Positions in the ids of the three generations.
     long_id = F.length(name) > 80
     aster = F.substring(name, 16, 3) == "AST"
     satellite = (

@@ -17,7 +17,7 @@ def same(names, data_type):
 
 GOOD_LIST = struct({"id": S, "filter_ratio_1": D, "filter_ratio_2": D})
 
-# Nested catalogue item, as saved by a catalogue search. The links sit under the band's asset.
+# Property names of a public catalogue. A nested item as a search saves it; the links sit under the band's asset.
 _HREF = struct({"href": S})
 _ASSET = struct({"href": S, "alternate": struct({"s3": _HREF})})
 CATALOG_ITEM = struct({
@@ -39,6 +39,7 @@ ASSET_ITEM = struct({
     "id": S, "properties": struct({"datetime": S, "s2:product_uri": S}), "assets": T.MapType(S, _HREF),
 })
 
+# Names in the delivered metadata documents.
 FIELD_DOCUMENT = struct({
     "field_info": struct({
         **same(("id", "region_id", "data", "units", "source_product", "scene_1_satellite", "scene_2_satellite",

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rasterloom.session import scratch_dir
+
 
 def _rebalanced(df: DataFrame, *keys) -> DataFrame:
     """Rows of one key together, as far as a task's fair share allows: Spark cuts large keys by measured size and joins small ones."""
@@ -53,6 +59,38 @@ def sink_cube(pixels: DataFrame, fields: DataFrame, path: str, rows_per_slice: i
     _write_cube(fields.withColumn("_fields", block).repartition(*where, "_fields").drop("_fields"), where, ["index"], f"{path}/fields")
 
 
+def year_digests(pixels: DataFrame, fields: DataFrame, where=("public_id", "year")) -> DataFrame:
+    """Content of each year: rows of pixels and fields and sums of their hashes in two lanes, in no order. Combined before the shuffle."""
+    def summed(df, name):
+        lane = lambda seed: F.sum(F.xxhash64(F.lit(seed), *sorted(set(df.columns) - set(where))).cast("decimal(38,0)")).cast("string")
+        return df.groupBy(*where).agg(F.concat_ws(":", F.count(F.lit(1)), lane(1), lane(2)).alias(name))
+
+    # A year may lack pixels, but has fields.
+    return summed(fields, "_fields").join(summed(pixels, "_pixels"), list(where), "left").select(
+        *where, F.concat_ws("/", "_fields", F.coalesce("_pixels", F.lit("none"))).alias("digest"))
+
+
+def deliver_cube(pixels: DataFrame, fields: DataFrame, path: str, **slices) -> DataFrame:
+    """``sink_cube`` of the years whose content has changed since they were last delivered; returns them.
+
+    ``<path>/digests`` holds the digest of each delivered year, a file for each delivery; the latest counts. It is written
+    after the years themselves, so a job that dies in between delivers them again. Both tables should be stored:
+    they are read for the digests and again for what has changed.
+    """
+    spark, where = pixels.sparkSession, ["public_id", "year"]
+    now = year_digests(pixels, fields)
+    columns = T.StructType([*(fields.schema[c] for c in where), T.StructField("digest", T.StringType()), T.StructField("delivered", T.LongType())])
+    spark.createDataFrame([], columns).write.mode("ignore").parquet(f"{path}/digests")
+    known = spark.read.schema(columns).parquet(f"{path}/digests").groupBy(*where).agg(F.max_by("digest", "delivered").alias("old"))
+    target = scratch_dir(spark, "changed-years")
+    now.join(known, where, "left").where(~F.col("digest").eqNullSafe(F.col("old"))).select(*where, "digest").write.parquet(target)
+    changed = spark.read.parquet(target)  # a row a year
+    if not changed.isEmpty():
+        sink_cube(pixels.join(changed.select(*where), where, "left_semi"), fields.join(changed.select(*where), where, "left_semi"), path, **slices)
+        changed.withColumn("delivered", F.lit(time.time_ns())).coalesce(1).write.mode("append").parquet(f"{path}/digests")
+    return changed
+
+
 def _write_cube(df, where, order, path):
     """Years that are not delivered again stay as they are."""
     _overwrite(df.sortWithinPartitions(*where, *order), *where).option("compression", "zstd").parquet(path)
