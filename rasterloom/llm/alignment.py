@@ -11,11 +11,16 @@ from pyspark.sql import functions as F
 from rasterloom.llm import words as W
 from rasterloom.llm.packing import token_cache
 from rasterloom.llm.tables import numbered, schema, spread_join, stored
-from rasterloom.llm.tokens import PieceIds, cached, load
+from rasterloom.llm.tokens import PieceIds, cached, cuts, load
 
 MARK = "▁"  # stands for a space in the second tokenizer's pieces
 
 
+def _mixed(name):
+    """Does a piece go on from ASCII letters to digits or signs, or the other way?"""
+    return len(cuts(np.frombuffer(name.replace(MARK, " ").encode(), np.uint8))) > 0
+
+
 class ByteTokens:
     """Ids and byte lengths by a byte-level tokenizer."""
 
@@ -34,11 +39,12 @@ class ByteTokens:
 
 
 class PieceTokens:
-    """Ids and byte lengths by a sentencepiece model whose pieces hold spaces at their beginning only.
+    """Ids and byte lengths by a sentencepiece model whose pieces hold spaces at their beginning only, and letters, digits and signs apart.
 
-    Such a text's tokens are those of its stretches of spaces and what follows them, so each distinct
-    stretch is encoded once. The model puts a space before what it is given; a stretch is given
-    without its first one.
+    Such a text's tokens are those of its stretches of spaces with the run of letters, digits or signs
+    behind them, and of the further runs, so each distinct stretch is encoded once. The model puts a space before what it is
+    given: a stretch is given without its first one, and a run without any behind a line feed, which
+    joins with nothing.
     """
 
     def __init__(self, path):
@@ -46,16 +52,23 @@ class PieceTokens:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = [model.id_to_piece(i) for i in range(model.get_piece_size())]
-        if MARK not in names or any(MARK in name.lstrip(MARK) for name in names):
-            raise ValueError(f"{path} has pieces with spaces inside, or none for a space: its texts cannot be encoded in stretches")
+        text = [name for i, name in enumerate(names) if not model.is_byte(i) and not model.is_control(i) and not model.is_unknown(i)]
+        if MARK not in names or any(MARK in name.lstrip(MARK) or "\n" in name or _mixed(name) for name in text) or len(model.encode("\n")) != 2:
+            raise ValueError(f"{path} has pieces with spaces inside or of letters and signs: its texts cannot be encoded in stretches")
         self.bytes = [bytes([int(name[3:5], 16)]) if model.is_byte(i) else name.replace(MARK, " ").encode() for i, name in enumerate(names)]
         lone = [names.index(MARK)]  # the model gives nothing for an empty string
-        self.pieces = PieceIds(lambda strings: [ids or lone for ids in model.encode([s[1:] for s in strings], num_threads=1)])
+
+        def encode(strings):
+            made = model.encode([s[1:] if s[0] == " " else "\n" + s for s in strings], num_threads=1)
+            return [(ids or lone) if s[0] == " " else ids[2:] for s, ids in zip(strings, made)]
+
+        self.pieces = PieceIds(encode)
 
     def encode(self, data, at):
         space = data == 32
         begins = space.copy()
         begins[1:] &= ~space[:-1]
+        begins[cuts(data)] = True
         begins[at[:-1][np.diff(at) > 0]] = True  # each row begins with a space of its own
         start = np.flatnonzero(begins)
         ids, to = self.pieces.of(data, start, np.append(start[1:], len(data)))
@@ -130,7 +143,7 @@ class Aligned:
 
     def __init__(self, column, a, b):
         data, at = spaced(column)
-        self.rows = len(at) - 1
+        self.rows, self.size = len(at) - 1, len(data)
         (ids_a, of_a), (ids_b, of_b) = a.encode(data, at), b.encode(data, at)
         same_a, ends_a = same_bytes(a, ids_a, of_a, data, at)
         same_b, ends_b = same_bytes(b, ids_b, of_b, data, at)
@@ -155,8 +168,10 @@ class Aligned:
 
     def links(self):
         """Row, A id and B id of each pair of tokens that share bytes. What two tokens share ends where one of them ends, and nowhere else."""
-        ends = np.union1d(self.ends_a, self.ends_b)
-        a, b = np.searchsorted(self.ends_a, ends), np.searchsorted(self.ends_b, ends)
+        mark = np.zeros((2, self.size + 1), bool)
+        mark[0, self.ends_a] = mark[1, self.ends_b] = True
+        ends = np.flatnonzero(mark[0] | mark[1])
+        a, b = (np.cumsum(m)[ends] - m[ends] for m in mark)  # ends before this one
         return np.searchsorted(self.of_a, a, "right") - 1, self.ids_a[a], self.ids_b[b]
 
     def digests(self, texts, n_texts):

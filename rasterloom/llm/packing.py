@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import zlib
 
 import numpy as np
@@ -29,10 +28,8 @@ class TokenCache:
 
     def __init__(self, path, limit=LIMIT):
         self.tokenizer = load(path)
-        with open(path, encoding="utf-8") as file:
-            settings = json.load(file)
-        cut = settings["pre_tokenizer"] or {}
-        if settings["normalizer"] or (cut.get("type"), cut.get("use_regex", True), cut.get("add_prefix_space")) != ("ByteLevel", True, False):
+        cut = self.tokenizer.pre_tokenizer
+        if self.tokenizer.normalizer is not None or type(cut).__name__ != "ByteLevel" or not cut.use_regex or cut.add_prefix_space:
             raise ValueError(f"{path} does not cut texts by the byte-level pattern")
         self.parts = PieceIds(encoder(self.tokenizer), limit)
         self.kinds = np.full(0x110000, -1, np.int8)

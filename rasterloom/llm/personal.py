@@ -277,7 +277,22 @@ def _labelled(batches):
 SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
 
 
+def mask(text, spans):
+    """A text with each span (start, kind, end, base) replaced by its kind in brackets; spans are sorted.
+
+    Overlapping spans are masked as one, by the first one's kind. In time linear in the text and its spans.
+    """
+    parts, at = [], 0
+    for start, kind, end, _ in spans:
+        if start >= at:
+            parts += [text[at:start], "[", KINDS[kind].upper(), "]"]
+        at = max(at, end)
+    return "".join([*parts, text[at:]])
+
+
 def _find(model, keep):
+    keeps_text = "text" in keep
+
     def run(batches):
         tagger = model.value
         for batch in batches:
@@ -304,7 +319,13 @@ def _find(model, keep):
                         spans[row].sort()
                         at += len(k)
                 rows = [[{"kind": KINDS[k], "start": a, "end": b, "base": c} for a, k, b, c in s] for s in spans]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(rows, SPAN)], [*keep, "spans"])
+                more = []
+                if keeps_text:  # masked here, as a second pass in Python would hold a second worker's memory
+                    clean = [None] * part.num_rows
+                    for row in (i for i, s in enumerate(spans) if s):
+                        clean[row] = mask(part.column("text")[row].as_py(), spans[row])
+                    more = [pa.array(clean, pa.string())]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(rows, SPAN), *more], [*keep, "spans", *(["_masked"] if more else [])])
     return run
 
 
@@ -319,7 +340,8 @@ def find_personal_data(docs, keep=("doc_id",)):
     takes the tag of the window it is in the middle of; runs are then read over the whole text.
 
     Null and empty texts have no spans; repeated rows get equal spans; without training windows there
-    are base spans only. Returns the kept columns and spans.
+    are base spans only. Returns the kept columns and spans and, where text is kept, ``_masked``: the text
+    without them, null where it has none.
     """
     share = min(1.0, TRAIN_DOCUMENTS / max(1, docs.count()))
     chosen = docs.select("doc_id", "text").filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < int(share * 1_000_003) + 1)
@@ -330,27 +352,9 @@ def find_personal_data(docs, keep=("doc_id",)):
         tagger = Tagger().fit(read(1), read(2))
     model = docs.sparkSession.sparkContext.broadcast(tagger)
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(
-        _find(model, keep), schema(docs, keep, "spans array<struct<kind:string,start:int,end:int,base:boolean>>"))
-
-
-def _masked(batches):
-    for batch in batches:
-        texts, spans = batch.column("text").to_pylist(), batch.column("spans").to_pylist()
-        for i, (text, own) in enumerate(zip(texts, spans)):
-            if own:
-                parts, at = [], 0
-                for s in own:
-                    if s["start"] >= at:
-                        parts += [text[at:s["start"]], "[", s["kind"].upper(), "]"]
-                    at = max(at, s["end"])
-                texts[i] = "".join([*parts, text[at:]])
-        place = batch.schema.get_field_index("text")
-        yield batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
+        _find(model, keep), schema(docs, keep, "spans array<struct<kind:string,start:int,end:int,base:boolean>>" + (", _masked string" if "text" in keep else "")))
 
 
 def masked(found):
-    """The text of a ``find_personal_data`` result that keeps it, with each span replaced by its kind in brackets.
-
-    Overlapping spans are masked as one, by the first one's kind. In time linear in the text and its spans.
-    """
-    return found.mapInArrow(_masked, found.schema)
+    """The text of a ``find_personal_data`` result that keeps it, with each span replaced by its kind in brackets (see ``mask``)."""
+    return found.withColumn("text", F.coalesce("_masked", "text")).drop("_masked")

@@ -11,8 +11,8 @@ import pyarrow.compute as pc
 
 from rasterloom.llm import words as W
 
-#: Pieces that a worker remembers; beyond, it starts afresh, which costs time and no result.
-LIMIT = 1 << 20
+#: Pieces that a worker remembers; beyond, it starts afresh, which costs some time and no result. Frequent pieces are soon known again.
+LIMIT = 1 << 18
 
 
 def gather(at, size):
@@ -84,6 +84,12 @@ KINDS[:128] = [0 if i in W.SPACES else 2 if chr(i).isdigit() else 1 if chr(i).is
 KINDS[ord("'")] = 4
 
 
+def cuts(data):
+    """Bytes at which a run of ASCII letters, digits or signs begins right behind one of another kind."""
+    kind = KINDS[data]
+    return 1 + np.flatnonzero((kind[1:] != kind[:-1]) & (kind[1:] % 4 > 0) & (kind[:-1] % 4 > 0))
+
+
 class SpacedTokens:
     """Ids by a tokenizer that drops white space and case and keeps letters, digits and signs apart.
 
@@ -103,8 +109,7 @@ class SpacedTokens:
     def encode(self, column):
         """Token ids of all rows of a text column, end to end, and the bounds of the rows."""
         words = W.Spans(column, W.PLAIN)
-        data, kind = words.data, KINDS[words.data]
-        inner = 1 + np.flatnonzero((kind[1:] != kind[:-1]) & (kind[1:] % 4 > 0) & (kind[:-1] % 4 > 0))
+        data, inner = words.data, cuts(words.data)
         begins, ends = np.zeros(len(data) + 1, bool), np.zeros(len(data) + 1, bool)
         begins[words.start] = begins[inner] = ends[words.end] = ends[inner] = True
         # A capital before a mark beyond ASCII may combine with it in another way than its small letter.
