@@ -70,20 +70,39 @@ def shared_tiles(scenes: DataFrame, region_tiles: DataFrame) -> DataFrame:
     return scenes.select("tile", "name").distinct().join(users, "tile")
 
 
-def mosaic_lineage(scenes: DataFrame, region_tiles: DataFrame) -> DataFrame:
-    """Sources of every mosaic in the region's tile order, comma-joined.
+def tile_lists(region_tiles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Regions with one tile list have the same mosaics: (list and region, list and its ranks and tiles).
+
+    A list is named after the first of its regions. Work on scenes is done once a list, not once a region.
+    """
+    per_region = region_tiles.groupBy("region").agg(F.sort_array(F.collect_set(F.struct("rank", "tile"))).alias("_tiles"))
+    lists = per_region.groupBy("_tiles").agg(F.min("region").alias("list"), F.collect_list("region").alias("_regions"))
+    return lists.select("list", F.explode("_regions").alias("region")), lists.select("list", F.inline("_tiles"))
+
+
+def list_lineage(scenes: DataFrame, tiles: DataFrame) -> DataFrame:
+    """Sources of every mosaic of a tile list, ``list, rank, tile``, in the list's order, comma-joined.
 
-    Copies fall away first, so a list is no longer than the region's tile list.
+    Copies fall away first, so the sources are no more than the list's tiles.
     """
-    named = scenes_per_region(scenes.select("name", "tile"), region_tiles)
-    unique = named.select("region", names.mosaic_key(F.col("name")).alias("mosaic_key"), "rank", "name").distinct()
+    named = scenes_per_region(scenes.select("name", "tile"), tiles)
+    unique = named.select("list", names.mosaic_key(F.col("name")).alias("mosaic_key"), "rank", "name").distinct()
     ordered = F.sort_array(F.collect_list(F.struct("rank", "name")))
-    return unique.groupBy("region", "mosaic_key").agg(
+    return unique.groupBy("list", "mosaic_key").agg(
         F.array_join(F.transform(ordered, lambda s: F.concat(s["name"], F.lit("_B08.tif"))), ",").alias("sources"),
         F.count("*").alias("n_sources"),
     )
 
 
+def mosaic_lineage(scenes: DataFrame, region_tiles: DataFrame) -> DataFrame:
+    """Sources of every mosaic in the region's tile order, comma-joined.
+
+    Regions get their rows in the last step, so scenes are neither told apart nor shuffled once a region.
+    """
+    members, tiles = tile_lists(region_tiles)
+    return list_lineage(scenes, tiles).join(members, "list").select("region", "mosaic_key", "sources", "n_sources")
+
+
 def funnel_counts(scenes: DataFrame, region_tiles: DataFrame, done: DataFrame) -> DataFrame:
     """Per region: scenes on its tiles, distinct mosaics among them, mosaics left to do.
 

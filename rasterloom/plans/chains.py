@@ -111,18 +111,26 @@ def mosaic_clip_blocks(
 ):
     """``mosaic_clip`` from stored blocks, ``name, tile, by, bx, value``, to (pixels, lineage) on one template.
 
-    Tiles are brought onto the template once, not once a region, and stay arrays until the pixels that are
-    delivered are made. Mosaics are stored once.
+    Tiles are brought onto the template once and merged once a tile list, not once a region, and stay arrays until
+    the pixels that are delivered are made. Mosaics are stored once. Pixels carry their mosaic's ``sources``: what is
+    known of a mosaic joins its blocks, and rows by region and cell are made last and never shuffled.
     """
-    tiles = scene_ops.tile_priority(regions)
+    listed = ["list", "mosaic_key"]
+    members, tiles = scene_ops.tile_lists(scene_ops.tile_priority(regions))
     placed, oh, ow = resample.nearest_blocks(blocks, src, template, ["name", "tile"], bh, bw)
     ranked = scene_ops.scenes_per_region(placed, tiles).withColumn("mosaic_key", names.mosaic_key(F.col("name")))
-    merged = materialise(mosaic.first_valid_blocks(ranked, MOSAIC), "mosaics")
+    merged = materialise(mosaic.first_valid_blocks(ranked, listed), "mosaics")
     cells = F.sum(F.size(F.filter("value", lambda x: x > 0)))
-    areas = merged.groupBy(*MOSAIC).agg((cells * cell_m2 / 1e6).alias("area_covered_km2"))
-    kept = scene_ops.filter_coverage(scene_ops.coverage_fraction(areas, regions), cfg.min_coverage).select(*MOSAIC)
-    pixels = block_ops.scan_blocks(merged.join(kept, MOSAIC, "left_semi"), MOSAIC, ["value"], oh, ow, template.height, template.width)
-    return pixels, scene_ops.mosaic_lineage(scenes, tiles).join(kept, MOSAIC, "left_semi")
+    areas = merged.groupBy(*listed).agg((cells * cell_m2 / 1e6).alias("area_covered_km2"))
+    # Both sides have a row for each mosaic, so neither is for a broadcast, whatever its estimate.
+    known = areas.hint("merge").join(scene_ops.list_lineage(scenes, tiles), listed, "left")
+
+    def kept(df):
+        return scene_ops.filter_coverage(scene_ops.coverage_fraction(df.join(members, "list"), regions), cfg.min_coverage)
+
+    delivered = kept(merged.hint("merge").join(known.select(*listed, "area_covered_km2", "sources"), listed))
+    pixels = block_ops.scan_blocks(delivered, [*MOSAIC, "sources"], ["value"], oh, ow, template.height, template.width)
+    return pixels, kept(known.where("sources IS NOT NULL")).select(*MOSAIC, "sources", "n_sources")
 
 
 def mosaic_regions(px: DataFrame, scenes: DataFrame, regions: DataFrame, res: float, template_res: float, cfg=Settings(), size=block_ops.BLOCK):
