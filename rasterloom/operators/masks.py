@@ -44,7 +44,8 @@ def merge_mask_tiles(tile_cells: DataFrame, tiles: DataFrame, regions: DataFrame
     boxes = regions.select("region", F.col("xmin").alias("rx0"), F.col("ymin").alias("ry0"),
                            F.col("xmax").alias("rx1"), F.col("ymax").alias("ry1"))
     wanted = join_extent_intersects(tiles, regions, finest).join(boxes, "region")
-    inside = tile_cells.join(wanted, "tile").where(
+    # Cells may come from a small table that unfolds them, which Spark would take for small itself and broadcast.
+    inside = tile_cells.hint("merge").join(wanted, "tile").where(
         (F.col("x") >= F.col("rx0")) & (F.col("x") < F.col("rx1")) & (F.col("y") > F.col("ry0")) & (F.col("y") <= F.col("ry1"))
     )
     placed = inside.select(

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from rasterloom.functions.grid import Grid
+from rasterloom.operators import masks
 from rasterloom.plans import chains
 
 NAME = "S2A_MSIL2A_20240105T1200{:02d}_N0200_R001_T{}"
@@ -33,3 +34,23 @@ def test_mosaics_are_merged_and_stored_once_a_tile_list(spark, monkeypatch):
         assert [got[region, key, k // 2, k % 2] for k in range(4)] == [(c, sources) for c in cells]
     plan = pixels._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("posexplode") < plan.index("Join"), "cells are made after the last join"
+
+
+def joins_on(df, key):
+    """The joins of the plan on a key, as Spark names them."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    return {word for line in lines for word in line.split() if word.endswith("Join") and f"{word} [{key}#" in line}
+
+
+def test_cells_of_mask_tiles_are_never_broadcast(spark):
+    # Few tiles in storage, which unfold to any number of cells.
+    tiles = spark.range(40).select(F.col("id").alias("tile"), (F.col("id") * 100.0).alias("x0"), F.lit(0.0).alias("y0"), (F.col("id") * 100.0 + 300).alias("x1"), F.lit(300.0).alias("y1"))
+    cells = tiles.select("tile", "x0", F.explode(F.sequence(F.lit(0), F.lit(8))).alias("k")).select(
+        "tile", (F.col("x0") + F.col("k") % 3 * 100 + 50).alias("x"), (F.floor(F.col("k") / 3) * 100.0 + 50).alias("y"),
+        (F.col("tile") % 3 == 0).alias("is_ice"), (F.col("k") == 4).alias("is_ocean"))
+    regions = spark.createDataFrame([("a", 0.0, 0.0, 1000.0, 300.0), ("b", 900.0, 100.0, 2000.0, 200.0)], "region string, xmin double, ymin double, xmax double, ymax double")
+    merged = masks.merge_mask_tiles(cells, tiles, regions, 100.0)
+    assert joins_on(merged, "tile") == {"SortMergeJoin"}
+    got = {(r.region, r.iy, r.ix): (r.is_ice, r.is_ocean) for r in merged.collect()}
+    # The latest of the three tiles over a cell wins: the one that begins there.
+    assert got == {(r, iy, ix): ((ix + shift) % 3 == 0, False) for r, shift, h, w in (("a", 0, 3, 10), ("b", 9, 1, 11)) for iy in range(h) for ix in range(w)}
