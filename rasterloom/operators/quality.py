@@ -127,30 +127,72 @@ def qa_compare_schema(candidate: DataFrame, baseline: DataFrame, unit, skip=SKIP
     return compare_full_outer(kept(candidate), kept(baseline), [*unit, "variable", "rule"], ["value"])
 
 
+BITS = 62
+
+
+def _bits(number, words):
+    """Set of the numbers of a group as bits of whole numbers. Combines before the shuffle."""
+    shifted = F.call_function("shiftleft", F.lit(1).cast("bigint"), (number % BITS).cast("int"))
+    return F.array(*[F.coalesce(F.bit_or(F.when(F.floor(number / BITS) == w, shifted)), F.lit(0).cast("bigint")) for w in range(words)])
+
+
+def _has(bits, number):
+    return F.getbit(F.get(bits, F.floor(number / BITS).cast("int")), (number % BITS).cast("int")) == 1
+
+
 def qa_validate_spec(observed: DataFrame, units: DataFrame, unit, attributes=None) -> DataFrame:
     """Departures from the specification as ``unit, variable, rule, issue``.
 
-    The rules are a fixed list, so every unit carries them as one array; what was observed joins by
-    unit, variable and rule. A variable that is missing altogether gives one issue.
+    The rules are a fixed list. An observed entry is held against its own rule where it stands; what a unit lacks follows
+    from the set of rules and variables seen in it, a few numbers a unit. So neither the entries nor the
+    expected rules are shuffled or joined, whatever a plan takes their size for. A variable that is missing
+    altogether gives one issue.
     """
+    unit = list(unit)
+    specified = rule_rows(attributes)
+    variables = sorted({v for v, *_ in specified if v})
     rules = F.array(*[
-        F.struct(F.lit(v).alias("variable"), F.lit(r).alias("rule"), F.lit(k).alias("kind"), F.lit(e).cast("string").alias("expected"))
-        for v, r, k, e in rule_rows(attributes)
+        F.struct(F.lit(v).alias("variable"), F.lit(r).alias("rule"), F.lit(k).alias("kind"), F.lit(e).cast("string").alias("expected"),
+                 F.lit(i).alias("number"), F.lit(variables.index(v) if v else None).cast("int").alias("of"))
+        for i, (v, r, k, e) in enumerate(specified)
     ])
-    expected = units.select(*unit, F.inline(rules))
-    variables = observed.select(*unit, "variable").distinct().withColumn("_known", F.lit(True))
-    seen = observed.select(*unit, "variable", "rule", "value")
-    joined = expected.join(variables, [*unit, "variable"], "left").join(seen, [*unit, "variable", "rule"], "left")
-    value, dataset = F.col("value"), F.col("variable") == ""
+    # One small row unfolded: small for the planner too, so the entries stay where they are.
+    table = observed.sparkSession.range(0, 1, 1, 1).select(F.inline(rules)).drop("of")
+    seen = observed.dropna(subset=unit).join(table, ["variable", "rule"], "left")
+    value = F.col("value")
     issue = (
-        F.when(~dataset & F.col("_known").isNull(), "missing variable")
-        .when((F.col("kind") == "absent") & value.isNotNull(), "must be absent")
-        .when((F.col("kind") == "present") & value.isNull(), "missing")
-        .when((F.col("kind") == "exact") & value.isNull(), "missing")
+        F.when((F.col("kind") == "absent") & value.isNotNull(), "must be absent")
+        .when((F.col("kind") != "absent") & value.isNull(), "missing")
         .when((F.col("kind") == "exact") & (value != F.col("expected")), F.concat(F.lit("got "), value))
     )
-    rule = F.when(~dataset & F.col("_known").isNull(), "").otherwise(F.col("rule")).alias("rule")
-    return joined.select(*unit, "variable", rule, issue.alias("issue")).where("issue IS NOT NULL").distinct()
+    wrong = seen.select(*unit, "variable", "rule", issue.alias("issue")).where("issue IS NOT NULL")
+
+    known = F.array_position(F.array(*map(F.lit, variables)), F.col("variable")) - 1
+    sides = seen.select(*unit, "number", known.alias("of"), F.lit(False).alias("asked")).unionByName(
+        units.select(*unit, F.lit(None).cast("int").alias("number"), F.lit(None).cast("bigint").alias("of"), F.lit(True).alias("asked")))
+    sets = sides.groupBy(*unit).agg(
+        F.bool_or("asked").alias("asked"), _bits(F.col("number"), len(specified) // BITS + 1).alias("numbers"),
+        _bits(F.col("of"), len(variables) // BITS + 1).alias("known")).where("asked")
+
+    def lacks(r):
+        return F.when(r["of"].isNotNull() & ~_has(F.col("known"), r["of"]), "missing variable").when(
+            (r["kind"] != "absent") & ~_has(F.col("numbers"), r["number"]), "missing")
+
+    # Most units lack nothing, which shows by the numbers as a whole.
+    needed = [i for i, (_, _, kind, _) in enumerate(specified) if kind != "absent"]
+    sound = F.lit(True)
+    for column, numbers, words in (("numbers", needed, len(specified) // BITS + 1), ("known", range(len(variables)), len(variables) // BITS + 1)):
+        for w in range(words):
+            mask = sum(1 << i % BITS for i in numbers if i // BITS == w)
+            sound &= F.get(column, F.lit(w)).bitwiseAND(F.lit(mask).cast("bigint")) == mask
+    found = F.filter(
+        F.transform(rules, lambda r: F.struct(r["variable"].alias("variable"), r["rule"].alias("rule"), lacks(r).alias("issue"))), lambda x: x["issue"].isNotNull())
+    named = F.transform(found, lambda x: F.struct(
+        x["variable"].alias("variable"), F.when(x["issue"] == "missing", x["rule"]).otherwise("").alias("rule"), x["issue"].alias("issue")))
+    lacking = sets.where(~sound).select(*unit, F.inline(F.array_distinct(named)))
+    # Units are asked for as often as they like, and entries may be repeated. Neither side is known to be small.
+    wrong = wrong.distinct().hint("merge").join(units.select(*unit), unit, "left_semi")
+    return wrong.unionByName(lacking)
 
 
 def qa_raster_sanity(px: DataFrame, meta: DataFrame, expect: dict, keys=("region", "raster"), value="value") -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from rasterloom.functions.grid import Grid
-from rasterloom.operators import masks
+from rasterloom.operators import masks, quality
 from rasterloom.plans import chains
 
 NAME = "S2A_MSIL2A_20240105T1200{:02d}_N0200_R001_T{}"
@@ -54,3 +54,31 @@ def test_cells_of_mask_tiles_are_never_broadcast(spark):
     got = {(r.region, r.iy, r.ix): (r.is_ice, r.is_ocean) for r in merged.collect()}
     # The latest of the three tiles over a cell wins: the one that begins there.
     assert got == {(r, iy, ix): ((ix + shift) % 3 == 0, False) for r, shift, h, w in (("a", 0, 3, 10), ("b", 9, 1, 11)) for iy in range(h) for ix in range(w)}
+
+
+def test_spec_entries_are_never_broadcast_and_issues_are_those_of_the_joins(spark):
+    attributes = {"epsg": "3413", "title": "t"}
+    rules = spark.createDataFrame(quality.rule_rows(attributes), "variable string, rule string, kind string, expected string")
+    units = spark.range(60).select((F.col("id") % 50).alias("unit")).union(spark.createDataFrame([(None,)], "unit long"))
+    # Entries unfold from a small table; units 50 to 59 are not asked for, unit 7 has no entries, some entries are twice, null or of no rule.
+    listed = F.array(*[F.struct(F.lit(v).alias("variable"), F.lit(r).alias("rule"), F.lit(e).cast("string").alias("expected"))
+                       for v, r, _, e in quality.rule_rows(attributes)])
+    pick = F.pmod(F.xxhash64("unit", "variable", "rule"), F.lit(40))
+    entries = spark.range(60).select(F.col("id").alias("unit"), F.inline(listed)).where((F.col("unit") != 7) & (pick != 3) & ~((F.col("variable") == "crs") & (F.col("unit") % 9 == 4)))
+    value = F.when(pick == 5, "odd").when(pick == 6, None).otherwise(F.coalesce("expected", F.when(F.col("unit") % 2 == 0, "x")))
+    entries = entries.select("unit", "variable", "rule", value.alias("value"))
+    more = spark.createDataFrame([(1, "vx", "dtype", None), (1, "vx", "dtype", "int8"), (2, "vx", None, "z"), (3, "extra", "dtype", "z"), (None, "vx", "dtype", "z"), (1, "", "epsg", None)],
+                                 "unit long, variable string, rule string, value string")
+    observed = entries.union(entries.where("unit < 5")).union(more)
+    found = quality.qa_validate_spec(observed, units, ["unit"], attributes)
+    sizes = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "BroadcastHashJoin" in line]
+    assert sizes and all("[variable#" in line for line in sizes), "only the rules may be broadcast"
+
+    joined = units.crossJoin(rules).join(observed.select("unit", "variable").distinct().withColumn("known", F.lit(True)), ["unit", "variable"], "left").join(
+        observed, ["unit", "variable", "rule"], "left")
+    whole = (F.col("variable") != "") & F.col("known").isNull()
+    issue = F.when(whole, "missing variable").when((F.col("kind") == "absent") & F.col("value").isNotNull(), "must be absent").when(
+        (F.col("kind") != "absent") & F.col("value").isNull(), "missing").when((F.col("kind") == "exact") & (F.col("value") != F.col("expected")), F.concat(F.lit("got "), "value"))
+    expected = joined.select("unit", "variable", F.when(whole, "").otherwise(F.col("rule")).alias("rule"), issue.alias("issue")).where("issue IS NOT NULL").distinct()
+    a, b = sorted(map(str, found.collect())), sorted(map(str, expected.collect()))
+    assert a == b and {i.issue.split()[0] for i in expected.collect()} == {"missing", "must", "got"}
