@@ -12,11 +12,14 @@ from rasterloom.functions import names
 
 
 def read_landing(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
-    """File stream over a landing folder."""
+    """File stream over a landing folder.
+
+    A batch may be one large file, which few tasks can read; its rows are spread over all before anything is made of them.
+    """
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    return reader.parquet(folder).repartition(max(2, spark.sparkContext.defaultParallelism))
 
 
 class Runs:
@@ -84,29 +87,37 @@ def stream_new_scenes(scenes: DataFrame, table: str, checkpoint: str, key: str =
     run leaves the table that an unbroken one would have left. Read the table by ``read_scenes``, which also
     knows days that ``compact`` has put together.
     """
-    parsed = scenes.select("*", *names.scene_name_columns(F.col("name")))
-    keyed = parsed.withColumn(key, F.regexp_replace("datetime", r"\D", ""))
-    keyed = keyed.withColumn("day", F.substring(key, 1, 8))
+    def keyed(df):
+        parsed = df.select("*", *names.scene_name_columns(F.col("name")))
+        return parsed.withColumn(key, F.regexp_replace("datetime", r"\D", "")).withColumn("day", F.substring(key, 1, 8))
 
     spark = scenes.sparkSession
-    rest = [f for f in keyed.schema.fields if f.name != "day"]
+    rest = [f for f in keyed(scenes).schema.fields if f.name != "day"]
     # An empty folder gives the table its columns; a later job leaves the table as it is.
     spark.createDataFrame([], T.StructType(rest)).write.mode("ignore").parquet(f"{table}/day=none/job=none/batch=-1")
     runs = Runs(spark, checkpoint)
     run = runs.begin()
 
     def append(batch: DataFrame, batch_id: int):
-        once = batch.groupBy("region", "name").agg(F.any_value(F.struct(*batch.columns)).alias("s")).select("s.*")
-        days = [r.day for r in once.select("day").distinct().collect()]  # a batch spans few days, and at most all days
-        stored = read_scenes(batch.sparkSession, table, rest).where(F.col("day").isin(days))
-        before = stored.where(F.col("job") != run).select("region", key)
-        # Only earlier batches count, so a retried batch is not its own past.
-        mine = stored.where((F.col("job") == run) & (F.col("batch") < batch_id)).select("region", "name")
-        fresh = once.join(before, ["region", key], "left_anti").join(mine, ["region", "name"], "left_anti")
-        fresh = fresh.select(*[f.name for f in rest], "day", F.lit(run).alias("job"), F.lit(batch_id).alias("batch"))
-        fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "job", "batch").parquet(table)
-
-    query = keyed.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        # Its days are asked for before it is stored, so the batch is kept meanwhile and its files are read once.
+        batch.persist()
+        try:
+            days = [r.day for r in keyed(batch).select("day").distinct().collect()]  # a batch spans few days, and at most all days
+            once = keyed(batch.groupBy("region", "name").agg(F.any_value(F.struct(*batch.columns)).alias("s")).select("s.*"))
+            stored = read_scenes(batch.sparkSession, table, rest).where(F.col("day").isin(days))
+            # The stored table packs well, so its files tell little of its rows: it is never broadcast.
+            before = stored.where(F.col("job") != run).select("region", key).hint("merge")
+            # Only earlier batches count, so a retried batch is not its own past.
+            mine = stored.where((F.col("job") == run) & (F.col("batch") < batch_id)).select("region", "name").hint("merge")
+            fresh = once.join(before, ["region", key], "left_anti").join(mine, ["region", "name"], "left_anti")
+            fresh = fresh.select(*[f.name for f in rest], "day", F.lit(run).alias("job"), F.lit(batch_id).alias("batch"))
+            # Rows of one day together, as far as a task's fair share allows: else every task writes a file for every day.
+            fresh = fresh.hint("rebalance", F.col("day"))
+            fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "job", "batch").parquet(table)
+        finally:
+            batch.unpersist()
+
+    query = scenes.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     return Job(query, runs, run)
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from rasterloom.functions.grid import Grid
 from rasterloom.operators import masks, quality
 from rasterloom.plans import chains
+from rasterloom.streaming import new_scenes
 
 NAME = "S2A_MSIL2A_20240105T1200{:02d}_N0200_R001_T{}"
 
@@ -82,3 +83,12 @@ def test_spec_entries_are_never_broadcast_and_issues_are_those_of_the_joins(spar
     expected = joined.select("unit", "variable", F.when(whole, "").otherwise(F.col("rule")).alias("rule"), issue.alias("issue")).where("issue IS NOT NULL").distinct()
     a, b = sorted(map(str, found.collect())), sorted(map(str, expected.collect()))
     assert a == b and {i.issue.split()[0] for i in expected.collect()} == {"missing", "must", "got"}
+
+
+def test_rows_of_one_landed_file_are_spread_over_tasks(spark, tmp_path):
+    spark.range(1000).coalesce(1).write.parquet(f"{tmp_path}/landing")
+    seen = []
+    rows = new_scenes.read_landing(spark, f"{tmp_path}/landing", "id long", files_per_batch=1)
+    rows.writeStream.foreachBatch(lambda batch, _: seen.append(sorted(r[1] for r in batch.groupBy(F.spark_partition_id()).count().collect()))).option(
+        "checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    assert len(seen) == 1 and sum(seen[0]) == 1000 and len(seen[0]) > 1
