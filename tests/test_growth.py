@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from rasterloom.functions.grid import Grid
-from rasterloom.operators import masks, quality
+from rasterloom.operators import masks, quality, scenes
 from rasterloom.plans import chains
 from rasterloom.streaming import new_scenes
 
@@ -92,3 +92,14 @@ def test_rows_of_one_landed_file_are_spread_over_tasks(spark, tmp_path):
     rows.writeStream.foreachBatch(lambda batch, _: seen.append(sorted(r[1] for r in batch.groupBy(F.spark_partition_id()).count().collect()))).option(
         "checkpointLocation", f"{tmp_path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     assert len(seen) == 1 and sum(seen[0]) == 1000 and len(seen[0]) > 1
+
+
+def test_lineage_is_made_once_a_tile_list(spark):
+    listed = scenes.tile_priority(tiled_regions(spark, ["22VFP,24WWU"] * 6 + ["24WWU,22VFP"]))
+    rows = [(NAME.format(s, t), t) for s in range(5) for t in ("22VFP", "24WWU")] * 2
+    named = spark.createDataFrame(rows, "name string, tile string")
+    assert scenes.list_lineage(named, scenes.tile_lists(listed)[1]).count() == 10
+    whole = scenes.mosaic_lineage(named, listed)
+    got = {(r.region, r.mosaic_key): (r.sources, r.n_sources) for r in whole.collect()}
+    order = lambda region: ("24WWU", "22VFP") if region == "006_R" else ("22VFP", "24WWU")
+    assert got == {(f"{i:03d}_R", NAME.format(s, "")[:37]): (",".join(NAME.format(s, t) + "_B08.tif" for t in order(f"{i:03d}_R")), 2) for i in range(7) for s in range(5)}
