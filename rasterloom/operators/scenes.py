@@ -70,12 +70,13 @@ def shared_tiles(scenes: DataFrame, region_tiles: DataFrame) -> DataFrame:
     return scenes.select("tile", "name").distinct().join(users, "tile")
 
 
-def tile_lists(region_tiles: DataFrame) -> tuple[DataFrame, DataFrame]:
+def tile_lists(region_tiles: DataFrame, collect=F.collect_set) -> tuple[DataFrame, DataFrame]:
     """Regions with one tile list have the same mosaics: (list and region, list and its ranks and tiles).
 
     A list is named after the first of its regions. Work on scenes is done once a list, not once a region.
+    ``collect_list`` keeps the copies of a region's rows, for counts.
     """
-    per_region = region_tiles.groupBy("region").agg(F.sort_array(F.collect_set(F.struct("rank", "tile"))).alias("_tiles"))
+    per_region = region_tiles.groupBy("region").agg(F.sort_array(collect(F.struct("rank", "tile"))).alias("_tiles"))
     lists = per_region.groupBy("_tiles").agg(F.min("region").alias("list"), F.collect_list("region").alias("_regions"))
     return lists.select("list", F.explode("_regions").alias("region")), lists.select("list", F.inline("_tiles"))
 
@@ -106,16 +107,19 @@ def mosaic_lineage(scenes: DataFrame, region_tiles: DataFrame) -> DataFrame:
 def funnel_counts(scenes: DataFrame, region_tiles: DataFrame, done: DataFrame) -> DataFrame:
     """Per region: scenes on its tiles, distinct mosaics among them, mosaics left to do.
 
-    Mosaics are counted from a table of distinct keys, so no task holds a region's key set.
+    Mosaics are counted from a table of distinct keys, so no task holds a region's key set. Keys are told apart
+    once a tile list; regions get their list's counts in the last step.
     """
     key = names.mosaic_key(F.col("name")).alias("mosaic_key")
-    on_tile = scenes_per_region(scenes.select("tile", key), region_tiles)
+    members, tiles = tile_lists(region_tiles, F.collect_list)
+    on_tile = scenes_per_region(scenes.select("tile", key), tiles)
     finished = done.select(key).distinct().withColumn("_done", F.lit(True))
-    per_key = on_tile.groupBy("region", "mosaic_key").agg(F.count("*").alias("n")).join(finished, "mosaic_key", "left")
-    return per_key.groupBy("region").agg(
+    per_key = on_tile.groupBy("list", "mosaic_key").agg(F.count("*").alias("n")).join(finished, "mosaic_key", "left")
+    per_list = per_key.groupBy("list").agg(
         F.sum("n").alias("n_in_tile"), F.count("*").alias("n_unique"),
         F.count_if(F.col("_done").isNull()).alias("n_remaining"),
     )
+    return per_list.join(members, "list").select("region", "n_in_tile", "n_unique", "n_remaining")
 
 
 def pick_template(coverage: DataFrame, threshold: float = 0.95) -> DataFrame:

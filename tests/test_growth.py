@@ -1,5 +1,7 @@
 """What tables must not grow by: regions that share a tile list, broadcasts of exploded rows, files of a stream."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from rasterloom.functions.grid import Grid
@@ -103,3 +105,17 @@ def test_lineage_is_made_once_a_tile_list(spark):
     got = {(r.region, r.mosaic_key): (r.sources, r.n_sources) for r in whole.collect()}
     order = lambda region: ("24WWU", "22VFP") if region == "006_R" else ("22VFP", "24WWU")
     assert got == {(f"{i:03d}_R", NAME.format(s, "")[:37]): (",".join(NAME.format(s, t) + "_B08.tif" for t in order(f"{i:03d}_R")), 2) for i in range(7) for s in range(5)}
+
+
+def test_funnel_tells_keys_apart_once_a_tile_list(spark):
+    listed = scenes.tile_priority(tiled_regions(spark, ["22VFP,24WWU"] * 3 + ["24WWU,22VFP", "24WWV", "26XMR"]))
+    listed = listed.union(listed.where("region = '002_R'"))  # a region that is given twice counts its scenes twice
+    # Five keys on two tiles, one image of them twice; the third tile has three keys of its own.
+    rows = [(NAME.format(s, t), t) for s in range(5) for t in ("22VFP", "24WWU")] + [(NAME.format(0, "22VFP"), "22VFP")]
+    rows += [(NAME.format(s, "24WWV"), "24WWV") for s in (3, 8, 9)]
+    named = spark.createDataFrame(rows, "name string, tile string")
+    found = scenes.funnel_counts(named, listed, named.where("name LIKE '%T120003%' OR name LIKE '%T120004%'"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(list#" in plan and not re.search(r"hashpartitioning\(region#\d+, mosaic_key#", plan)
+    got = {r.region: (r.n_in_tile, r.n_unique, r.n_remaining) for r in found.collect()}
+    assert got == {"000_R": (11, 5, 3), "001_R": (11, 5, 3), "002_R": (22, 5, 3), "003_R": (11, 5, 3), "004_R": (3, 3, 2)}
