@@ -73,14 +73,15 @@ def tile_scene_selection(scenes: DataFrame, regions: DataFrame, done: DataFrame,
     """Scene names to the mosaics still to be made: region, mosaic_key, acquired, n_scenes.
 
     Scenes of the region's tile list, acquired from ``start`` up to the end of ``end`` (yyyyMMdd), a copy of a scene once, minus the
-    mosaics in ``done`` (region, mosaic_key).
+    mosaics in ``done`` (region, mosaic_key). Scenes are grouped once a tile list; regions get their rows after that.
     """
+    members, tiles = scene_ops.tile_lists(scene_ops.tile_priority(regions))
     stamp = F.get(F.split("name", "_"), F.lit(2))
     named = scene_ops.add_tile_and_zone(scene_ops.add_mosaic_key(scenes.select("name").distinct())).withColumn("acquired", names.datetime_to_timestamp(stamp))
     period = named.where(F.substring(stamp, 1, 8).between(start, end))
-    listed = scene_ops.scenes_per_region(period, scene_ops.tile_priority(regions))
-    mosaics = listed.groupBy(*MOSAIC).agg(F.min("acquired").alias("acquired"), F.count(F.lit(1)).alias("n_scenes"))
-    return mosaics.join(done.select(*MOSAIC), MOSAIC, "left_anti")
+    listed = scene_ops.scenes_per_region(period, tiles)
+    mosaics = listed.groupBy("list", "mosaic_key").agg(F.min("acquired").alias("acquired"), F.count(F.lit(1)).alias("n_scenes"))
+    return mosaics.join(members, "list").select(*MOSAIC, "acquired", "n_scenes").join(done.select(*MOSAIC), MOSAIC, "left_anti")
 
 
 def mosaic_clip(

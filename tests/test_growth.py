@@ -119,3 +119,15 @@ def test_funnel_tells_keys_apart_once_a_tile_list(spark):
     assert "hashpartitioning(list#" in plan and not re.search(r"hashpartitioning\(region#\d+, mosaic_key#", plan)
     got = {r.region: (r.n_in_tile, r.n_unique, r.n_remaining) for r in found.collect()}
     assert got == {"000_R": (11, 5, 3), "001_R": (11, 5, 3), "002_R": (22, 5, 3), "003_R": (11, 5, 3), "004_R": (3, 3, 2)}
+
+
+def test_tile_selection_groups_scenes_once_a_tile_list(spark):
+    regions = tiled_regions(spark, ["22VFP,24WWU"] * 3 + ["24WWU,22VFP", "26XMR"])
+    rows = [(NAME.format(s, t),) for s in range(5) for t in ("22VFP", "24WWU")] * 2
+    # What one region has stored is still to be made for the others, those with its tile list too.
+    done = spark.createDataFrame([("001_R", NAME.format(4, "")[:37])], "region string, mosaic_key string")
+    found = chains.tile_scene_selection(spark.createDataFrame(rows, "name string"), regions, done, "20240101", "20240131")
+    aggregates = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Aggregate(" in line and "mosaic_key#" in line]
+    assert any("keys=[list#" in line or "key=[list#" in line for line in aggregates) and not any("[region#" in line for line in aggregates)
+    got = {(r.region, r.mosaic_key): r.n_scenes for r in found.collect()}
+    assert got == {(f"{i:03d}_R", NAME.format(s, "")[:37]): 2 for i in range(4) for s in range(5) if (i, s) != (1, 4)}
