@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rasterloom.llm.tables import spread_join, stored
+from rasterloom.llm.tables import shuffled, spread_join, stored
 
 
 def components(edges):
@@ -19,13 +19,13 @@ def components(edges):
     while True:
         # Done when the edges are stars: each node hangs on one other, and none that others hang on hangs itself.
         n = e.agg(F.count(F.lit(1)), F.count_distinct("hi")).first()
-        if n[0] == n[1] and e.join(e.select(F.col("lo").alias("hi")), "hi", "left_semi").isEmpty():
+        if n[0] == n[1] and e.join(shuffled(e.select(F.col("lo").alias("hi"))), "hi", "left_semi").isEmpty():
             break
         both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(e.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("lo"), F.least("u", "m").alias("m"))
-        large = spread_join(e, least, ["lo"]).select("hi", F.col("m").alias("lo")).distinct()
+        large = spread_join(e, shuffled(least), ["lo"]).select("hi", F.col("m").alias("lo")).distinct()
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = spread_join(large, least, ["hi"]).select(F.explode(F.array(
+        small = spread_join(large, shuffled(least), ["hi"]).select(F.explode(F.array(
             F.struct(F.col("hi"), F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("x"))
         e = stored(small.select("x.*").filter("hi <> lo").distinct(), "edges")
     root = e.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rasterloom.llm import words as W
 from rasterloom.llm.components import components
-from rasterloom.llm.tables import Seen, numbered, schema, spread_join, stored
+from rasterloom.llm.tables import Seen, numbered, schema, shuffled, spread_join, stored
 
 #: A tile holds at most about so many documents and so many shingles.
 TILE_ROWS, TILE_SHINGLES = 512, 1 << 22
@@ -259,14 +259,14 @@ def _candidate_groups(keys, plausible):
     hot = stored(runs.filter("hot is not null").select("hot", "h1").distinct(), "hot")
     # A key's owners are counted before the shuffle and meet the count again in a join that can split a hot key.
     counts = hot.groupBy("hot").count()
-    most = spread_join(hot, counts, ["hot"]).groupBy("h1").agg(F.max_by("hot", F.struct("count", "hot")).alias("key")).withColumn("weight", F.lit(0))
+    most = spread_join(hot, shuffled(counts), ["hot"]).groupBy("h1").agg(F.max_by("hot", F.struct("count", "hot")).alias("key")).withColumn("weight", F.lit(0))
     cold = runs.filter("tile is not null").select("tile", "h1").distinct().withColumn("label", F.col("h1"))
     edges = stored(plausible(cold.unionByName(_stars(most))), "edges")
     if hot.isEmpty():
         return components(edges).withColumnsRenamed({"node": "h1", "component": "group"})
     for meeting in (_one_of_each, _outside):
         groups = stored(components(edges), "groups").withColumnsRenamed({"node": "h1", "component": "label"})
-        labelled = stored(hot.join(groups, "h1", "left").withColumn("label", F.coalesce("label", "h1")), "labelled")
+        labelled = stored(hot.join(shuffled(groups), "h1", "left").withColumn("label", F.coalesce("label", "h1")), "labelled")
         edges = stored(edges.unionByName(plausible(meeting(labelled))), "edges")
     return components(edges).withColumnsRenamed({"node": "h1", "component": "group"})
 
@@ -287,7 +287,7 @@ def _outside(rows):
     half = TILE_ROWS // 2 or 1
     main = main.where("n > top").select(
         "hot", "main", F.ceil(F.col("n") / half).cast("int").alias("parts"), F.ceil((F.col("n") - F.col("top")) / half).cast("int").alias("out_parts"))
-    rows = stored(spread_join(rows, main, ["hot"]), "outside")
+    rows = stored(spread_join(rows, shuffled(main), ["hot"]), "outside")
     place = lambda n: F.pmod(F.xxhash64("h1"), F.col(n))
     named = lambda i, j: F.xxhash64("hot", i.cast("int"), j.cast("int")).alias("tile")
     out = rows.where("label != main").withColumn("j", F.explode(F.expr("sequence(0, parts - 1)"))).select("h1", "label", named(place("out_parts"), F.col("j")))
@@ -420,7 +420,7 @@ def _rest_tiles(classes, labels):
     ``labels``: uid, label (component so far). A class outside, in tile i of its kind, meets tile j of all
     classes of its own and the two neighbouring bands. Classes of one label need no test.
     """
-    rows = classes.filter("not small").join(labels, "uid", "left").withColumn("label", F.coalesce("label", "uid"))
+    rows = classes.filter("not small").join(shuffled(labels), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
     main = rows.groupBy("group", "label").count().groupBy("group").agg(F.max_by("label", F.struct("count", "label")).alias("main"))
     rows = stored(rows.join(main, "group").withColumn("outside", F.col("label") != F.col("main")), "labelled")
     out = rows.filter("outside").groupBy("group", "band").agg(_parts(F.count(F.lit(1)), F.sum("n")).alias("m"))
@@ -474,24 +474,24 @@ def near_duplicates(docs, shingle=5, num=80, den=100, keep=("doc_id",)):
 
     def plausible(tiles):
         """Distinct edges between sets that meet in a tile."""
-        met = spread_join(tiles, classes.select("h1", "n", "bits"), ["h1"]).repartition("tile").sortWithinPartitions("tile", "n", "h1")
+        met = spread_join(tiles, shuffled(classes.select("h1", "n", "bits")), ["h1"]).repartition("tile").sortWithinPartitions("tile", "n", "h1")
         return met.select("tile", "h1", "n", "bits", "label").mapInArrow(_plausible(num, den), "a bigint, b bigint").distinct()
 
     groups = _candidate_groups(keys, plausible)
     classes = classes.drop("bits")
-    candidates = stored(_celled(classes.join(groups, "h1"), num, den), "candidates")
-    # Candidates grow with the corpus, so they are never broadcast: texts travel once at every size.
+    candidates = stored(_celled(classes.join(shuffled(groups), "h1"), num, den), "candidates")
+    # Texts travel once at every size.
     sets = docs.withColumn("text_mark", F.xxhash64("text")).join(
-        candidates.hint("merge"), F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_mark") == F.col("mark"))).select("uid", "text", "h1", "h2").mapInArrow(_packed(shingle), "uid bigint, shingles binary")
+        shuffled(candidates), F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_mark") == F.col("mark"))).select("uid", "text", "h1", "h2").mapInArrow(_packed(shingle), "uid bigint, shingles binary")
     sets = stored(sets, "shingles")
-    compare = lambda tiles: sets.join(tiles, "uid").select("uid", "tile", "label", "shingles").groupBy("tile").applyInArrow(_verify(num, den), "a bigint, b bigint")
+    compare = lambda tiles: sets.join(shuffled(tiles), "uid").select("uid", "tile", "label", "shingles").groupBy("tile").applyInArrow(_verify(num, den), "a bigint, b bigint")
     links = stored(compare(candidates.select("uid", F.col("uid").alias("label"), F.explode(F.expr(FIRST_TILES)).alias("tile"))), "links")
     linked = stored(components(links), "linked")
     rest = _rest_tiles(candidates, linked.withColumnsRenamed({"node": "uid", "component": "label"}))
     more = stored(compare(rest), "links")
     if not more.isEmpty():
         linked = components(links.unionByName(more))
-    named = classes.join(linked.withColumnRenamed("node", "uid"), "uid", "left").select("h1", "h2", F.coalesce("component", "uid").alias("group"))
+    named = classes.join(shuffled(linked.withColumnRenamed("node", "uid")), "uid", "left").select("h1", "h2", F.coalesce("component", "uid").alias("group"))
     back = [F.col(k).alias(c) for k, c in zip(kept, keep)]
-    full = rows.filter("n > 0").join(named, ["h1", "h2"]).select("uid", *back, F.col("n").alias("n_shingles"), "group")
+    full = rows.filter("n > 0").join(shuffled(named), ["h1", "h2"]).select("uid", *back, F.col("n").alias("n_shingles"), "group")
     return full.unionByName(rows.filter("n = 0").select("uid", *back, F.col("n").alias("n_shingles"), F.col("uid").alias("group")))

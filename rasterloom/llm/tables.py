@@ -40,6 +40,15 @@ def unfolded(rows, columns):
     return rows.select(*(F.col(c) if c in ("doc_id", "text") else F.col("rest").getField(c).alias(c) for c in columns))
 
 
+def shuffled(df):
+    """The right side of a join that broadcasts neither side, for tables that grow with the corpus.
+
+    Spark takes rows that a table unfolds, by explode or mapInArrow, for as small as the stored table, and stored
+    tables of repeated values for as small as their files; a broadcast of either goes through the driver whole.
+    """
+    return df.hint("merge")
+
+
 def spread_join(left, right, keys):
     """Inner join on integer keys, in which a hot key of ``left`` can be split.
 

@@ -1,5 +1,6 @@
 """Texts that a polynomial modulo a power of two cannot tell apart, repeated ids and hot keys."""
 
+import re
 import time
 import zlib
 
@@ -8,7 +9,7 @@ import public_tokenizers as P
 import pyarrow as pa
 import pytest
 
-from rasterloom.llm import decontaminate, jaccard, packing, personal, substrings
+from rasterloom.llm import components, decontaminate, jaccard, packing, personal, substrings
 from rasterloom.llm import words as W
 
 SCHEMA = "doc_id bigint, text string"
@@ -95,6 +96,23 @@ def test_hot_keys_lose_no_link(spark, monkeypatch, tile):
     assert sorted(map(len, groups.values())) == [1] * 75 + [300] and set(range(300)) in groups.values()
 
 
+def test_what_grows_is_never_broadcast(spark, monkeypatch):
+    """Tiles unfold from small stored tables, which Spark takes for as small; they stay out of the driver."""
+    plans = []
+    for module in (jaccard, components):
+        def noted(df, name="llm", real=module.stored):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return real(df, name)
+
+        monkeypatch.setattr(module, "stored", noted)
+    monkeypatch.setattr(jaccard, "TILE_ROWS", 8)
+    found = jaccard.near_duplicates(near_copies(spark, 100), shingle=4, num=80, den=100)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    joins = [set(re.findall(rf"{kind}Join \[(\w+)#", "\n".join(plans))) for kind in ("SortMerge", "BroadcastHash")]
+    assert joins[0] >= {"_h1", "_hot", "_hi", "_lo", "uid", "h1"}
+    assert joins[1] <= {"group"}, "one row a group or a cell of it"
+
+
 def test_edges_grow_like_the_group(spark, monkeypatch):
     """Rows of tiles and plausible edges of one large group of near copies: in proportion to its size."""
     made = {}
